@@ -312,8 +312,12 @@ def _column(batch, name, lo, hi):
     return col.to_numpy(zero_copy_only=False)
 
 
-def _cutter(keys, lim, with_txn, entry, schema):
-    """The row pass: appends `batch_id`. `entry` maps partition numbers to states."""
+def _cutter(keys, lim, with_txn, entry, schema, flags=False):
+    """The row pass: appends `batch_id`. `entry` maps partition numbers to states.
+
+    With `flags`, also `closes` (the row reached a limit) and `opens` (the
+    first row of its key).
+    """
 
     def go(batches):
         key, state, first = None, None, True
@@ -323,6 +327,9 @@ def _cutter(keys, lim, with_txn, entry, schema):
             starts = _codes(batch, keys)
             t, nb = (_column(batch, c, 0, batch.num_rows) for c in ("_t", "_nb"))
             ids = np.zeros(batch.num_rows, dtype=np.int64)
+            closes, opens = np.zeros((2, batch.num_rows), dtype=bool)
+            if flags:
+                opens[starts[:-1]] = True
             busy = np.ones(len(starts) - 1, dtype=bool)
             if not with_txn:
                 # keys that begin and end here and stay below all limits are batch 0
@@ -339,10 +346,16 @@ def _cutter(keys, lim, with_txn, entry, schema):
                         found = entry.get(batch.column("_pid")[0].as_py())
                         state = State(*found) if found else state
                     key, first = here, False
+                opens[lo] = flags and not state.started
                 txn = batch.column("_txn").slice(lo, hi - lo).to_pylist() if with_txn else None
                 ids[lo:hi] = walk_key(t[lo:hi], nb[lo:hi], txn, lim, state)
+                closes[lo:hi - 1] = ids[lo + 1:hi] != ids[lo:hi - 1]
+                closes[hi - 1] = state.rows == 0
             cols = [batch.column(c) for c in schema] + [pa.array(ids)]
-            yield pa.RecordBatch.from_arrays(cols, names=[*schema, "batch_id"])
+            names = [*schema, "batch_id"]
+            if flags:
+                cols, names = cols + [pa.array(closes), pa.array(opens)], names + ["closes", "opens"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return go
 
@@ -466,7 +479,6 @@ def assign(df: DataFrame, limits: Limits, *, order: list[str], key: list[str] |
     A key with more than `spread_above` rows, or no key at all, takes the
     spread plan.
     """
-    spark = df.sparkSession
     lim, keys = _bounds(limits), list(key or [])
     if limits.interval and time is None:
         raise ValueError("an interval needs a `time` column")
@@ -474,13 +486,24 @@ def assign(df: DataFrame, limits: Limits, *, order: list[str], key: list[str] |
         raise ValueError("with an interval, `order` must start with the `time` column")
     if limits.bytes and size is None:
         raise ValueError("a byte limit needs a `size` column")
+    return cut(df, lim, order=order, keys=keys, time=time, size=size, txn=txn,
+               spread_above=spread_above, partitions=partitions, fan_in=fan_in)
+
+
+def cut(df: DataFrame, lim: tuple[int, int, int], *, order: list[str], keys: list[str],
+        time: str | None = None, size: str | None = None, txn: str | None = None,
+        spread_above: int = 20_000_000, partitions: int | None = None, fan_in: int = 16,
+        flags: bool = False) -> DataFrame:
+    """`assign` with raw bounds: rows, bytes and microseconds."""
+    spark = df.sparkSession
     columns = df.columns
     work = df.withColumns({
         "_t": F.col(time).cast("bigint") if time else F.lit(0).cast("bigint"),
         "_nb": F.col(size).cast("bigint") if size else F.lit(0).cast("bigint"),
         **({"_txn": F.col(txn).cast("string")} if txn else {}),
     })
-    out = T.StructType(df.schema.fields + [T.StructField("batch_id", T.LongType())])
+    added = "batch_id bigint" + (", closes boolean, opens boolean" if flags else "")
+    out = T.StructType(df.schema.fields + T.StructType.fromDDL(added).fields)
 
     rows, largest = None, None
     if keys:
@@ -489,7 +512,7 @@ def assign(df: DataFrame, limits: Limits, *, order: list[str], key: list[str] |
         largest, rows = found[0] or 0, found[1] or 0
         if largest <= spread_above:
             near = work.repartition(*keys).sortWithinPartitions(*keys, *order)
-            return near.mapInArrow(_cutter(keys, lim, bool(txn), None, columns), out)
+            return near.mapInArrow(_cutter(keys, lim, bool(txn), None, columns, flags), out)
 
     if partitions is None:
         partitions = partitions_for(rows if rows is not None else df.count(), spark)
@@ -504,7 +527,7 @@ def assign(df: DataFrame, limits: Limits, *, order: list[str], key: list[str] |
     # one small state per partition
     entry = {r["seg"]: tuple(r[f"in_{k}"] for k in STATE_FIELDS)
              for r in states.filter("leads").drop(*keys).collect()}
-    return ranged.mapInArrow(_cutter(keys, lim, bool(txn), entry, columns), out)
+    return ranged.mapInArrow(_cutter(keys, lim, bool(txn), entry, columns, flags), out)
 
 
 def by_rows(df: DataFrame, n: int, *, order: list[str]) -> DataFrame:

@@ -7,16 +7,18 @@ lines need lengths read from the line itself and go through an Arrow function.
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tslines.functions import binary
+from tslines.functions.binary import ARRAY_TAG, DECIMAL_TAG, DOUBLE_TAG
 from tslines.functions.text import unescape
 
 # Tokens of the text format.
@@ -24,9 +26,13 @@ TABLE_TOKEN = r"[^\\, ]*+(?:\\.[^\\, ]*+)*+"
 KEY_TOKEN = r"[^\\=, ]*+(?:\\.[^\\=, ]*+)*+"
 BARE_TOKEN = r"[^\\, ]*+(?:\\.[^\\, ]*+)*+"
 QUOTED_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+VALUE_TOKEN = (r"(?:-?[0-9]++[itn]|[tfTF]|true|false|-?(?:NaN|Infinity)"
+               r"|[-+]?(?:[0-9]++\.?[0-9]*+|\.[0-9]++)(?:[eE][-+]?[0-9]++)?)(?=[, ]|\z)")
 FIELD_TOKEN = f"{KEY_TOKEN}=(?:{QUOTED_TOKEN}|{BARE_TOKEN})"
-LINE = (f"(?s)^{TABLE_TOKEN}(?:,{KEY_TOKEN}={BARE_TOKEN})*+"
-        f"(?: {FIELD_TOKEN}(?:,{FIELD_TOKEN})*+)?(?: -?[0-9]+[tn]?)?\\z")
+_FIELDS = (f" {KEY_TOKEN}=(?:{QUOTED_TOKEN}|{VALUE_TOKEN})"
+           f"(?:,{KEY_TOKEN}=(?:{QUOTED_TOKEN}|{VALUE_TOKEN}))*+")
+LINE = (f"(?s)^(?=[^, ]){TABLE_TOKEN}(?:(?:,{KEY_TOKEN}={BARE_TOKEN})++(?:{_FIELDS})?|{_FIELDS})"
+        f"(?: -?[0-9]++[tn]?)?\\z")
 
 SYMBOLS = T.ArrayType(T.StructType([
     T.StructField("name", T.StringType()), T.StructField("value", T.StringType())]))
@@ -47,65 +53,70 @@ def split_text(payloads: DataFrame, column: str = "payload", *keep: str) -> Data
     return payloads.select(*keep, F.posexplode(lines).alias("line_no", "line"))
 
 
+def _plain(v: Column) -> Column:
+    """Unescape; most text has nothing to unescape and skips the regex."""
+    return F.when(v.contains("\\"), unescape(v)).otherwise(v)
+
+
 def _kind(v: Column) -> Column:
+    """The kind of a well-formed value, by its ends."""
     return (
         F.when(v.startswith('"'), "string")
-        .when(v.rlike("^-?[0-9]+i$"), "integer")
-        .when(v.rlike("^-?[0-9]+t$"), "timestamp_us")
-        .when(v.rlike("^-?[0-9]+n$"), "timestamp_ns")
         .when(v.isin("t", "f", "T", "F", "true", "false"), "boolean")
-        .when(v.try_cast("double").isNotNull(), "float")
+        .when(v.endswith("i"), "integer")
+        .when(v.endswith("t"), "timestamp_us")
+        .when(v.endswith("n"), "timestamp_ns")
+        .otherwise("float")
     )
 
 
 def _value(v: Column, kind: Column) -> Column:
     return (
-        F.when(kind == "string", unescape(F.substring(v, F.lit(2), F.length(v) - 2)))
-        .when(kind.isin("integer", "timestamp_us", "timestamp_ns"),
-              F.substring(v, F.lit(1), F.length(v) - 1))
+        F.when(kind == "float", v)
+        .when(kind == "string", _plain(F.substring(v, F.lit(2), F.length(v) - 2)))
         .when(kind == "boolean", F.lower(F.substring(v, F.lit(1), F.lit(1))))
-        .otherwise(v)
+        .otherwise(F.substring(v, F.lit(1), F.length(v) - 1))
     )
 
 
+def _pairs(text: Column, token: str) -> Column:
+    """(key, rest) of each `key=rest` match, still escaped."""
+    found = F.regexp_extract_all(text, F.lit(token), F.lit(1))
+    keyed = F.transform(found, lambda p: F.struct(
+        p.alias("p"), F.regexp_extract(p, f"(?s)^{KEY_TOKEN}", 0).alias("k")))
+    return F.transform(keyed, lambda s: F.struct(
+        _plain(s["k"]).alias("name"),
+        F.substring(s["p"], F.length(s["k"]) + 2, F.length(s["p"])).alias("raw")))
+
+
 def text_lines(df: DataFrame, *keep: str, column: str = "line") -> DataFrame:
     """`keep`, `tbl`, `symbols`, `fields`, `at`, `at_unit` and `ok` for each text line."""
     line = F.col(column)
-    head = F.regexp_extract(line, f"(?s)^({TABLE_TOKEN}(?:,{KEY_TOKEN}={BARE_TOKEN})*+)", 1)
+    head = F.regexp_extract(line, f"(?s)^{TABLE_TOKEN}(?:,{KEY_TOKEN}={BARE_TOKEN})*+", 0)
     cut = df.select(*keep, line.alias("_line"), head.alias("_head"))
-    rest = F.substring("_line", F.length("_head") + 1, F.length("_line"))
-    name = lambda p: unescape(F.regexp_extract(p, f"(?s)^({KEY_TOKEN})=", 1))
-    raw = lambda p: F.regexp_extract(p, f"(?s)^{KEY_TOKEN}=(.*)\\z", 1)
+    cut = cut.withColumn("_rest", F.substring("_line", F.length("_head") + 1, F.length("_line")))
     symbols = F.transform(
-        F.regexp_extract_all("_head", F.lit(f"(?s),({KEY_TOKEN}={BARE_TOKEN})"), F.lit(1)),
-        lambda p: F.struct(name(p).alias("name"), unescape(raw(p)).alias("value")))
-    fields = F.transform(
-        F.transform(
-            F.regexp_extract_all(rest, F.lit(f"(?s)[ ,]({FIELD_TOKEN})"), F.lit(1)),
-            lambda p: F.struct(name(p).alias("name"), raw(p).alias("raw"))),
-        lambda s: F.struct(
-            s["name"].alias("name"), _kind(s["raw"]).alias("kind"),
-            _value(s["raw"], _kind(s["raw"])).alias("text")))
-    at = F.regexp_extract(rest, r"(?s) (-?[0-9]+)[tn]?\z", 1)
-    unit = F.regexp_extract(rest, r"(?s) -?[0-9]+([tn]?)\z", 1)
-    return cut.select(
+        _pairs(F.col("_head"), f"(?s),({KEY_TOKEN}={BARE_TOKEN})"),
+        lambda s: F.struct(s["name"].alias("name"), _plain(s["raw"]).alias("value")))
+    kinds = F.transform(
+        _pairs(F.col("_rest"), f"(?s)[ ,]({FIELD_TOKEN})"),
+        lambda s: F.struct(s["name"].alias("name"), _kind(s["raw"]).alias("kind"),
+                           s["raw"].alias("raw")))
+    fields = F.transform(kinds, lambda s: F.struct(
+        s["name"].alias("name"), s["kind"].alias("kind"),
+        _value(s["raw"], s["kind"]).alias("text")))
+    stamp = F.regexp_extract("_rest", r" (-?[0-9]++[tn]?)\z", 1)
+    cut = cut.select(
         *keep,
-        unescape(F.regexp_extract("_head", f"(?s)^({TABLE_TOKEN})", 1)).alias("tbl"),
-        symbols.alias("symbols"),
-        fields.alias("fields"),
-        F.when(at != "", at).try_cast("bigint").alias("at"),
-        F.when(at != "", F.when(unit == "t", "us").otherwise("ns")).alias("at_unit"),
-        F.col("_line").rlike(LINE).alias("_shape"),
-    ).select(
-        *keep, "tbl", "symbols", "fields", "at", "at_unit",
-        (F.col("_shape") & (F.col("tbl") != "")
-         & ((F.size("symbols") + F.size("fields")) > 0)
-         & F.forall("fields", lambda f: f["kind"].isNotNull())).alias("ok"),
-    )
-
-
-def _unescape(raw: bytes) -> str:
-    return re.sub(rb"\\(.)", rb"\1", raw, flags=re.S).decode()
+        _plain(F.regexp_extract("_head", f"(?s)^{TABLE_TOKEN}", 0)).alias("tbl"),
+        symbols.alias("symbols"), fields.alias("fields"), stamp.alias("_at"),
+        F.col("_line").rlike(LINE).alias("ok"))
+    return cut.select(
+        *keep, "tbl", "symbols", "fields",
+        F.rtrim(F.col("_at"), F.lit("tn")).try_cast("bigint").alias("at"),
+        F.when(F.col("_at") != "", F.when(F.col("_at").endswith("t"), "us").otherwise("ns")
+               ).alias("at_unit"),
+        "ok")
 
 
 _TABLE = re.compile(TABLE_TOKEN.encode(), re.S)
@@ -113,77 +124,154 @@ _KEY = re.compile(KEY_TOKEN.encode(), re.S)
 _BARE = re.compile(rb"[^\\, \n]*+(?:\\.[^\\, \n]*+)*+", re.S)
 _QUOTED = re.compile(QUOTED_TOKEN.encode(), re.S)
 _AT = re.compile(rb"(-?[0-9]+)([tn]?)(?=\n|\Z)")
-
-
-def _binary_value(buf: bytes, pos: int):
-    """(kind, text, number, numbers, dims, end) of the payload after `==`."""
-    tag = buf[pos]
-    if tag == binary.DOUBLE_TAG:
-        return "float", None, struct.unpack_from("<d", buf, pos + 1)[0], None, None, pos + 9
-    if tag == binary.ARRAY_TAG:
-        dims = list(struct.unpack_from(f"<{buf[pos + 2]}i", buf, pos + 3))
-        start = pos + 3 + 4 * len(dims)
-        count = int(np.prod(dims))
-        numbers = np.frombuffer(buf, "<f8", count, start).tolist()
-        return "array", None, None, numbers, dims, start + 8 * count
-    if tag == binary.DECIMAL_TAG:
-        scale, width = buf[pos + 1], buf[pos + 2]
-        end = pos + 3 + width
-        whole = int.from_bytes(buf[pos + 3:end], "big", signed=True)
-        digits = str(abs(whole)).rjust(scale + 1, "0")
-        text = ("-" if whole < 0 else "") + (
-            f"{digits[:-scale]}.{digits[-scale:]}" if scale else digits)
-        return "decimal", text, None, None, None, end
-    raise ValueError("unknown binary tag")
-
-
-def _text_value(raw: bytes):
-    text = raw.decode()
-    if text in ("t", "f", "T", "F", "true", "false"):
-        return "boolean", text[0].lower(), None
-    if re.fullmatch(r"-?\d+[itn]", text):
-        kinds = {"i": "integer", "t": "timestamp_us", "n": "timestamp_ns"}
-        return kinds[text[-1]], text[:-1], None
-    return "float", text, float(text)
-
-
-def parse_line(buf: bytes, pos: int = 0):
-    """(row, end) of the line that starts at `pos`; ValueError when malformed."""
-    m = _TABLE.match(buf, pos)
-    tbl, pos = _unescape(m.group()), m.end()
-    symbols, fields, at, unit = [], [], None, None
-    while buf[pos:pos + 1] == b",":
-        k = _KEY.match(buf, pos + 1)
-        if buf[k.end():k.end() + 1] != b"=":
-            raise ValueError("symbol without value")
-        v = _BARE.match(buf, k.end() + 1)
-        symbols.append({"name": _unescape(k.group()), "value": _unescape(v.group())})
-        pos = v.end()
-    if buf[pos:pos + 1] == b" " and not _AT.match(buf, pos + 1):
-        while buf[pos:pos + 1] in (b" ", b",") and (not fields or buf[pos:pos + 1] == b","):
+_ESCAPE = re.compile(rb"\\(.)", re.S)
+_KINDS = {105: "integer", 116: "timestamp_us", 110: "timestamp_ns"}  # i, t, n
+_TRUTH = {b"t": "t", b"T": "t", b"true": "t", b"f": "f", b"F": "f", b"false": "f"}
+
+
+def _text(raw: bytes) -> str:
+    return (_ESCAPE.sub(rb"\1", raw) if b"\\" in raw else raw).decode()
+
+
+class _Lines:
+    """Decoded lines as growing columns, to be turned into one Arrow array."""
+
+    def __init__(self):
+        self.tbl, self.at, self.unit, self.ok = [], [], [], []
+        self.symbol_ends, self.symbol_names, self.symbol_values = [0], [], []
+        self.field_ends, self.names, self.kinds, self.texts = [0], [], [], []
+        self.numbers, self.arrays, self.dims = [], [], []
+
+    def _binary(self, buf: bytes, pos: int) -> int:
+        tag = buf[pos]
+        kind = text = number = values = dims = None
+        if tag == DOUBLE_TAG:
+            kind, number, pos = "float", struct.unpack_from("<d", buf, pos + 1)[0], pos + 9
+        elif tag == ARRAY_TAG:
+            dims = struct.unpack_from(f"<{buf[pos + 2]}i", buf, pos + 3)
+            start, count = pos + 3 + 4 * len(dims), math.prod(dims)
+            kind, values = "array", np.frombuffer(buf, "<f8", count, start)
+            pos = start + 8 * count
+        elif tag == DECIMAL_TAG:
+            scale, end = buf[pos + 1], pos + 3 + buf[pos + 2]
+            whole = int.from_bytes(buf[pos + 3:end], "big", signed=True)
+            digits = str(abs(whole)).rjust(scale + 1, "0")
+            text = ("-" if whole < 0 else "") + (
+                f"{digits[:-scale]}.{digits[-scale:]}" if scale else digits)
+            kind, pos = "decimal", end
+        else:
+            raise ValueError("unknown binary tag")
+        self._field(kind, text, number, values, dims)
+        return pos
+
+    def _field(self, kind, text, number=None, values=None, dims=None):
+        self.kinds.append(kind)
+        self.texts.append(text)
+        self.numbers.append(number)
+        self.arrays.append(values)
+        self.dims.append(dims)
+
+    def _bare(self, raw: bytes) -> None:
+        if raw in _TRUTH:
+            self._field("boolean", _TRUTH[raw])
+        elif raw[-1] in _KINDS:
+            int(raw[:-1])
+            self._field(_KINDS[raw[-1]], raw[:-1].decode())
+        else:
+            self._field("float", raw.decode(), float(raw))
+
+    def read(self, buf: bytes, pos: int = 0) -> int:
+        """Append the line that starts at `pos`; returns its end, ValueError when malformed."""
+        m = _TABLE.match(buf, pos)
+        tbl, pos = _text(m.group()), m.end()
+        symbols = fields = 0
+        while buf[pos:pos + 1] == b",":
             k = _KEY.match(buf, pos + 1)
-            pos = k.end()
-            if buf[pos:pos + 1] != b"=":
-                raise ValueError("field without value")
-            number = numbers = dims = None
-            if buf[pos:pos + 2] == b"==":
-                kind, text, number, numbers, dims, pos = _binary_value(buf, pos + 2)
-            elif (q := _QUOTED.match(buf, pos + 1)):
-                kind, text, pos = "string", _unescape(q.group()[1:-1]), q.end()
-            else:
-                b = _BARE.match(buf, pos + 1)
-                (kind, text, number), pos = _text_value(b.group()), b.end()
-            fields.append({"name": _unescape(k.group()), "kind": kind, "text": text,
-                           "number": number, "numbers": numbers, "dims": dims})
-    if buf[pos:pos + 1] == b" ":
-        a = _AT.match(buf, pos + 1)
-        if not a:
-            raise ValueError("bad timestamp")
-        at, unit, pos = int(a.group(1)), ("us" if a.group(2) == b"t" else "ns"), a.end()
-    if not tbl or not (symbols or fields) or pos < len(buf) and buf[pos] != 10:
-        raise ValueError("malformed line")
-    row = {"tbl": tbl, "symbols": symbols, "fields": fields, "at": at, "at_unit": unit, "ok": True}
-    return row, pos
+            if buf[k.end():k.end() + 1] != b"=":
+                raise ValueError("symbol without value")
+            v = _BARE.match(buf, k.end() + 1)
+            self.symbol_names.append(_text(k.group()))
+            self.symbol_values.append(_text(v.group()))
+            symbols, pos = symbols + 1, v.end()
+        byte = buf[pos:pos + 1]
+        if byte == b" " and not _AT.match(buf, pos + 1):
+            while byte == (b"," if fields else b" "):
+                k = _KEY.match(buf, pos + 1)
+                pos = k.end()
+                if buf[pos:pos + 1] != b"=":
+                    raise ValueError("field without value")
+                self.names.append(_text(k.group()))
+                if buf[pos + 1:pos + 2] == b"=":
+                    pos = self._binary(buf, pos + 2)
+                elif (q := _QUOTED.match(buf, pos + 1)):
+                    self._field("string", _text(q.group()[1:-1]))
+                    pos = q.end()
+                else:
+                    b = _BARE.match(buf, pos + 1)
+                    self._bare(b.group())
+                    pos = b.end()
+                fields, byte = fields + 1, buf[pos:pos + 1]
+        at = unit = None
+        if buf[pos:pos + 1] == b" ":
+            a = _AT.match(buf, pos + 1)
+            if not a:
+                raise ValueError("bad timestamp")
+            at, unit, pos = int(a.group(1)), ("us" if a.group(2) == b"t" else "ns"), a.end()
+        if not tbl or not (symbols or fields) or pos < len(buf) and buf[pos] != 10:
+            raise ValueError("malformed line")
+        self._end(tbl, at, unit, True)
+        return pos
+
+    def _end(self, tbl, at, unit, ok):
+        self.tbl.append(tbl)
+        self.at.append(at)
+        self.unit.append(unit)
+        self.ok.append(ok)
+        self.symbol_ends.append(len(self.symbol_names))
+        self.field_ends.append(len(self.kinds))
+
+    def read_whole(self, buf: bytes | None) -> None:
+        """Append one line, or a row that is not `ok`."""
+        rows = len(self.tbl)
+        try:
+            whole = buf is not None and self.read(buf) == len(buf)
+        except (ValueError, IndexError, struct.error):
+            whole = False
+        if not whole:
+            # forget whatever the broken line left behind
+            for col in (self.tbl, self.at, self.unit, self.ok):
+                del col[rows:]
+            del self.symbol_ends[rows + 1:], self.field_ends[rows + 1:]
+            del self.symbol_names[self.symbol_ends[-1]:], self.symbol_values[self.symbol_ends[-1]:]
+            for col in (self.names, self.kinds, self.texts, self.numbers, self.arrays, self.dims):
+                del col[self.field_ends[-1]:]
+            self._end(None, None, None, False)
+
+    def arrow(self) -> pa.Array:
+        def lists(parts, flat):
+            sizes = [0 if p is None else len(p) for p in parts]
+            missing = pa.array([p is None for p in parts] + [False])
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            return pa.ListArray.from_arrays(pc.if_else(missing, pa.scalar(None, pa.int32()), ends),
+                                            flat)
+
+        kept = [a for a in self.arrays if a is not None]
+        values = lists(self.arrays, pa.array(np.concatenate(kept) if kept else np.zeros(0)))
+        dims = lists(self.dims, pa.array([d for ds in self.dims if ds for d in ds], pa.int32()))
+        fields = pa.StructArray.from_arrays(
+            [pa.array(self.names, pa.string()), pa.array(self.kinds, pa.string()),
+             pa.array(self.texts, pa.string()), pa.array(self.numbers, pa.float64()),
+             values, dims], ["name", "kind", "text", "number", "numbers", "dims"])
+        symbols = pa.StructArray.from_arrays(
+            [pa.array(self.symbol_names, pa.string()), pa.array(self.symbol_values, pa.string())],
+            ["name", "value"])
+        return pa.StructArray.from_arrays(
+            [pa.array(self.tbl, pa.string()),
+             pa.ListArray.from_arrays(pa.array(self.symbol_ends, pa.int32()), symbols),
+             pa.ListArray.from_arrays(pa.array(self.field_ends, pa.int32()), fields),
+             pa.array(self.at, pa.int64()), pa.array(self.unit, pa.string()),
+             pa.array(self.ok, pa.bool_())],
+            ["tbl", "symbols", "fields", "at", "at_unit", "ok"])
 
 
 DECODED = T.StructType([
@@ -194,24 +282,17 @@ DECODED = T.StructType([
     T.StructField("at_unit", T.StringType()),
     T.StructField("ok", T.BooleanType()),
 ])
-_BAD = {"tbl": None, "symbols": [], "fields": [], "at": None, "at_unit": None, "ok": False}
-
-
-def _parse_cell(line: bytes | None) -> dict:
-    try:
-        row, end = parse_line(line)
-        return row if end == len(line) else _BAD
-    except (ValueError, IndexError, TypeError, struct.error, UnicodeDecodeError):
-        return _BAD
-
 
-def _parse_batch(lines: pa.Array) -> pa.Array:
-    from pyspark.sql.pandas.types import to_arrow_type
 
-    return pa.array([_parse_cell(v) for v in lines.to_pylist()], to_arrow_type(DECODED))
+def _parse(lines: pa.Array) -> pa.Array:
+    rows = _Lines()
+    for cell in lines:
+        rows.read_whole(cell.as_py())
+    return rows.arrow()
 
 
-_parsed = F.arrow_udf(_parse_batch, DECODED)
+# Declared non-deterministic so that a filter on the result does not run it twice.
+_parsed = F.arrow_udf(_parse, DECODED).asNondeterministic()
 
 
 def binary_lines(df: DataFrame, *keep: str, column: str = "line") -> DataFrame:
@@ -220,9 +301,9 @@ def binary_lines(df: DataFrame, *keep: str, column: str = "line") -> DataFrame:
 
 
 def _frames(payload: bytes) -> list[bytes]:
-    out, pos = [], 0
+    out, pos, rows = [], 0, _Lines()
     while pos < len(payload):
-        _, end = parse_line(payload, pos)
+        end = rows.read(payload, pos)
         out.append(payload[pos:end])
         pos = end + 1
     return out
@@ -230,7 +311,7 @@ def _frames(payload: bytes) -> list[bytes]:
 
 _framed = F.arrow_udf(
     lambda payloads: pa.array([_frames(p) for p in payloads.to_pylist()], pa.list_(pa.binary())),
-    T.ArrayType(T.BinaryType()))
+    T.ArrayType(T.BinaryType())).asNondeterministic()
 
 
 def split_binary(payloads: DataFrame, column: str = "payload", *keep: str) -> DataFrame:

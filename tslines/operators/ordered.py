@@ -66,7 +66,7 @@ def running(df: DataFrame, keys: list[str], pos: str, value: Column, op: str, na
     before = (Window.unboundedPreceding, -1)
 
     sliced = (df.withColumn("_v", value)
-              .withColumn("_s1", F.floor(F.call_function("div", F.col(pos), F.lit(width))))
+              .withColumn("_s1", F.call_function("div", F.col(pos), F.lit(width)))
               .withColumn("_s2", F.call_function("div", F.col("_s1"), F.lit(width))))
     level1 = sliced.groupBy(*keys, "_s2", "_s1").agg(total("_v").alias("_t"))
     level2 = level1.groupBy(*keys, "_s2").agg(total("_t").alias("_t"))

@@ -13,15 +13,14 @@ SETTINGS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
-# Static settings: they only take effect when the session is created here.
-STATIC = {
-    "spark.ui.enabled": "false",
+    # Stateful streaming operators need this store.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Only takes effect when the session is created here.
+STATIC = {"spark.ui.enabled": "false"}
+
 
 def get_spark(app: str = "tslines", master: str | None = None, **extra) -> SparkSession:
     builder = SparkSession.builder.appName(app)
