@@ -15,8 +15,9 @@ def ragged(c: Column, dims: int) -> Column:
     """True for an array with rows of unequal size or a null inside."""
     bad, level = F.lit(False), c
     for _ in range(dims - 1):
-        width = F.size(F.get(level, F.lit(0)))
-        bad = bad | F.exists(level, lambda r, w=width: r.isNull() | (F.size(r) != w))
+        sizes = F.transform(level, lambda r: F.coalesce(F.size(r), F.lit(-1)))
+        # equal sizes: the smallest is the largest, and no row is null
+        bad = bad | (F.array_min(sizes) != F.array_max(sizes)) | (F.array_min(sizes) < 0)
         level = F.flatten(level)
     return F.coalesce(bad, F.lit(False)) | F.coalesce(
         F.exists(level, lambda v: v.isNull()), F.lit(False))
