@@ -1 +1,199 @@
-QUERIES, ORACLES = {}, {}
+"""Queries over landing effects."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tslines import session
+from tslines.functions import times
+from tslines.operators import land
+from tslines.operators.ordered import global_index
+from tslines.plans import roles
+from tslines.sources.tables import parquet, table
+
+
+def _events(spark, sf):
+    return table(spark, sf, "events").withColumn("at_us", times.micros(F.col("ts")))
+
+
+def land_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks are sent twice, errors carry no instant."""
+    ev = _events(spark, sf).select(
+        "event_id", "user_id", "value",
+        F.when(F.col("event_type") != "error", F.col("at_us")).alias("at_us"),
+        F.lit(1).alias("arrival"), "event_type")
+    again = ev.filter(F.col("event_type").isin("click", "error")).withColumns(
+        {"arrival": F.lit(2), "value": F.col("value") + 1})
+    both = ev.unionByName(again).drop("event_type")
+    return land.dedup(both, ["event_id", "user_id"], "at_us", "arrival")
+
+
+LAND_DEDUP = """
+WITH e AS (SELECT event_id, user_id, value, CASE WHEN event_type <> 'error' THEN epoch_us(ts) END
+    AS at_us, 1 AS arrival, event_type FROM events),
+b AS (SELECT * FROM e UNION ALL SELECT event_id, user_id, value + 1, at_us, 2, event_type FROM e
+  WHERE event_type IN ('click', 'error')),
+n AS (SELECT *, row_number() OVER (PARTITION BY event_id, user_id, at_us ORDER BY arrival DESC)
+  AS rn FROM b)
+SELECT event_id, user_id, value, at_us, arrival FROM n WHERE at_us IS NULL OR rn = 1"""
+
+
+def land_lateness(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows arrive out of order, some users later than others."""
+    ev = _events(spark, sf).select("event_id", "event_type", "at_us", (
+        F.col("event_id") + F.col("user_id") * 3).alias("arrival"))
+    return land.lateness(ev, ["event_type"], "at_us", "arrival", width=512)
+
+
+LAND_LATENESS = """
+WITH e AS (SELECT event_id, event_type, epoch_us(ts) AS at_us, event_id + user_id * 3 AS arrival
+  FROM events)
+SELECT event_id, event_type, at_us, arrival, greatest(coalesce(max(at_us) OVER (
+  PARTITION BY event_type ORDER BY arrival RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  - at_us, 0), 0) AS late_us FROM e"""
+
+
+def land_time_order(spark: SparkSession, sf: str) -> DataFrame:
+    ev = table(spark, sf, "orders").select(
+        "o_orderkey", times.micros(F.col("o_orderdate")).alias("at_us"))
+    return global_index(ev, ["at_us", "o_orderkey"], "position")
+
+
+LAND_TIME_ORDER = """
+SELECT o_orderkey, epoch_us(o_orderdate) AS at_us,
+  row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS position FROM orders"""
+
+
+def land_day_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Events landed per table and day, read back by partition."""
+    root = session.scratch(session.configure(spark), "landed")
+    ev = table(spark, sf, "events").select(
+        F.col("event_type").alias("tbl"), F.col("ts").cast("timestamp").alias("at"), "value")
+    land.land(ev, root)
+    back = parquet(spark, root)
+    return back.groupBy("tbl", F.col("day").cast("string").alias("day")).agg(
+        F.count("*").alias("n_rows"), F.min(times.micros(F.col("at"))).alias("first_us"),
+        F.max(times.micros(F.col("at"))).alias("last_us"))
+
+
+LAND_DAY_COUNTS = """
+SELECT event_type AS tbl, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_rows,
+  min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us FROM events GROUP BY 1, 2"""
+
+_TARGET = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.LongType()),
+    T.StructField("l_quantity", T.LongType()), T.StructField("price", T.DecimalType(8, 3)),
+    T.StructField("tax", T.DecimalType(6, 1)), T.StructField("l_shipdate", T.StringType())])
+
+
+def _lines(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber"), "l_quantity",
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        F.col("l_tax").cast("decimal(6,2)").alias("tax"),
+        F.col("l_orderkey").cast("string").alias("l_shipdate"))
+
+
+def conform_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Doubles to integers, decimals to more and fewer places, for rows that keep their values."""
+    out = land.conform(_lines(spark, sf), _TARGET)
+    return out.withColumns({"price": F.col("price").cast("string"),
+                            "tax": F.col("tax").cast("string")})
+
+
+CONFORM_TYPES = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+  CAST(l_quantity AS BIGINT) AS l_quantity, CAST(CAST(l_extendedprice AS DECIMAL(8,3)) AS VARCHAR)
+  AS price, CAST(CAST(l_tax AS DECIMAL(6,1)) AS VARCHAR) AS tax,
+  CAST(l_orderkey AS VARCHAR) AS l_shipdate
+FROM lineitem WHERE CAST(l_extendedprice AS DECIMAL(12,2)) < 100000 AND
+  CAST(CAST(l_tax AS DECIMAL(6,2)) * 100 AS INTEGER) % 10 = 0 AND l_quantity = floor(l_quantity)"""
+
+
+def conform_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return land.conform_rejects(_lines(spark, sf), _TARGET, "l_orderkey", "l_linenumber")
+
+
+CONFORM_REJECTS = """
+SELECT l_orderkey, l_linenumber, 'price' AS "column",
+  CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS value
+FROM lineitem WHERE CAST(l_extendedprice AS DECIMAL(12,2)) >= 100000
+UNION ALL SELECT l_orderkey, l_linenumber, 'tax', CAST(CAST(l_tax AS DECIMAL(6,2)) AS VARCHAR)
+FROM lineitem WHERE CAST(CAST(l_tax AS DECIMAL(6,2)) * 100 AS INTEGER) % 10 <> 0"""
+
+
+def add_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers exist; suppliers arrive with another column and another integer type."""
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").cast("bigint").alias("nation"))
+    suppliers = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"))
+    return land.append(customers, suppliers)
+
+
+ADD_COLUMNS = """
+SELECT c_custkey AS "key", c_name AS name, CAST(c_nationkey AS BIGINT) AS nation,
+  CAST(NULL AS DOUBLE) AS balance FROM customer
+UNION ALL SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT), s_acctbal FROM supplier"""
+
+
+def table_catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables and columns that routed events create."""
+    ev = table(spark, sf, "events").select(
+        "event_type", F.when(F.col("event_type") == "click", F.col("value")).alias("clicked"),
+        "user_id", "props", "ts")
+    plan = roles.resolve(ev, table_col="event_type", symbols=["props"], at="ts")
+    return land.catalogue(land.long_rows(ev, plan))
+
+
+TABLE_CATALOGUE = """
+WITH c AS (
+  SELECT event_type AS tbl, 0 AS rp, 'symbol' AS role, 'props' AS name, 'SYMBOL' AS kind,
+    epoch_us(ts) AS t FROM events
+  UNION ALL SELECT event_type, 1, 'field', 'clicked', 'DOUBLE', epoch_us(ts) FROM events
+    WHERE event_type = 'click'
+  UNION ALL SELECT event_type, 1, 'field', 'user_id', 'LONG', epoch_us(ts) FROM events
+  UNION ALL SELECT event_type, 2, 'at', 'timestamp', 'TIMESTAMP', epoch_us(ts) FROM events),
+g AS (SELECT tbl, rp, role, name, kind, min(t) AS first_us, count(*) AS n_cells FROM c
+  GROUP BY ALL)
+SELECT tbl, role, name, kind, first_us, n_cells,
+  CAST(row_number() OVER (PARTITION BY tbl ORDER BY rp, first_us, name) AS INTEGER) AS position
+FROM g"""
+
+
+def arrival_stamp(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without an instant get one at landing, the others keep theirs."""
+    ev = table(spark, sf, "events").withColumn(
+        "at", F.when(F.col("event_type") != "error", F.col("ts").cast("timestamp")))
+    out = land.stamp(ev, "at")
+    return out.select("event_id", F.col("at").isNotNull().alias("has_at"), F.when(
+        F.col("event_type") != "error", times.micros(F.col("at"))).alias("own_us"))
+
+
+ARRIVAL_STAMP = """
+SELECT event_id, true AS has_at, CASE WHEN event_type <> 'error' THEN epoch_us(ts) END AS own_us
+FROM events"""
+
+
+def route_stats(spark: SparkSession, sf: str) -> DataFrame:
+    ev = table(spark, sf, "events")
+    plan = roles.resolve(ev, table_col=3, at="ts")
+    rows = roles.map_types(ev, plan)
+    return rows.groupBy("tbl").agg(
+        F.count("*").alias("n_rows"), F.min("at_us").alias("first_us"),
+        F.max("at_us").alias("last_us"), F.max("user_id").alias("max_user"))
+
+
+ROUTE_STATS = """
+SELECT event_type AS tbl, count(*) AS n_rows, min(epoch_us(ts)) AS first_us,
+  max(epoch_us(ts)) AS last_us, max(user_id) AS max_user FROM events GROUP BY 1"""
+
+
+QUERIES = {f.__name__: f for f in (
+    land_dedup, land_lateness, land_time_order, land_day_counts, conform_types, conform_rejects,
+    add_columns, table_catalogue, arrival_stamp, route_stats)}
+ORACLES = {name: globals()[name.upper()] for name in QUERIES}

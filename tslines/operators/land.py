@@ -39,7 +39,8 @@ def lateness(df: DataFrame, keys: list[str], at_us: str, arrival: str,
 
     `arrival` is a BIGINT; rows with the same arrival do not see each other.
     """
-    out = running(df, keys, arrival, F.col(at_us), "max", "_newest", width, exclusive=True)
+    out = running(df, keys, arrival, F.col(at_us), "max", "_newest", width, exclusive=True,
+                  settle=False)
     late = F.greatest(F.coalesce(F.col("_newest") - F.col(at_us), F.lit(0)), F.lit(0))
     return out.withColumn("late_us", late).drop("_newest")
 

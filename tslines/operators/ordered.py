@@ -52,14 +52,20 @@ def global_index(df: DataFrame, order: list[str], name: str = "idx",
 
 
 def running(df: DataFrame, keys: list[str], pos: str, value: Column, op: str, name: str,
-            width: int = 1 << 20, exclusive: bool = False) -> DataFrame:
+            width: int = 1 << 20, exclusive: bool = False, settle: bool = True) -> DataFrame:
     """Running `op` ('sum' or 'max') of `value` along the BIGINT column `pos` within `keys`.
 
     Rows with equal `pos` are peers; pre-aggregate them first if they are many.
     Each key is cut into slices of `width` positions. Slice totals are combined
     map-side and summed up over two levels, so a window only ever sees one
     slice of rows, or one slice of totals.
+
+    `df` is read twice, for totals and for rows. `settle` checkpoints it first,
+    so that chained calls do not repeat each other's work; switch it off for a
+    plain scan.
     """
+    if settle:
+        df = session.checkpoint(df)
     total = {"sum": F.sum, "max": F.max}[op]
     join = (lambda a, b: a + b) if op == "sum" else (lambda a, b: F.greatest(a, b))
     zero = F.lit(0) if op == "sum" else F.lit(None)
