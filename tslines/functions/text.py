@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -14,14 +15,20 @@ BARE_SPECIAL = r"[ ,=\n\r\\]"
 QUOTED_SPECIAL = r'["\n\r\\]'
 
 
+def _escape(c: Column, special: str, chars: str) -> Column:
+    # Byte searches are much cheaper than a regex, and most values need none.
+    found = reduce(lambda x, y: x | y, [c.contains(ch) for ch in chars])
+    return F.when(found, F.regexp_replace(c, f"({special})", r"\\$1")).otherwise(c)
+
+
 def escape_bare(c: Column) -> Column:
     """Escape a table name, column name or symbol value."""
-    return F.regexp_replace(c, f"({BARE_SPECIAL})", r"\\$1")
+    return _escape(c, BARE_SPECIAL, " ,=\n\r\\")
 
 
 def escape_quoted(c: Column) -> Column:
     """Escape the inside of a quoted string."""
-    return F.regexp_replace(c, f"({QUOTED_SPECIAL})", r"\\$1")
+    return _escape(c, QUOTED_SPECIAL, '"\n\r\\')
 
 
 def escape_name(name: str) -> str:
@@ -33,6 +40,8 @@ def unescape(c: Column) -> Column:
 
 
 def _shortest(values: pa.Array) -> pa.Array:
+    if values.null_count == len(values):
+        return pa.nulls(len(values), pa.string())
     out = [None if v is None else repr(v).replace("+", "") for v in values.to_pylist()]
     return pa.array(out, pa.string())
 
@@ -40,23 +49,17 @@ def _shortest(values: pa.Array) -> pa.Array:
 shortest_text = F.arrow_udf(_shortest, T.StringType())
 
 
-def float_text(c: Column, exact: bool = True) -> Column:
-    """Shortest text that reads back as the same double.
+def float_text(c: Column, jvm: Column) -> Column:
+    """Shortest text that reads back as the same double; `jvm` is `c` cast to a string.
 
     The JVM text is already that text when the value lies in [1e-3, 1e7) and
     has at most 15 significant digits, because two different decimals of up to
     15 digits never name the same double. Only the other cells go to Python;
-    the rest reach it as nulls. `exact=False` keeps the JVM text everywhere and
-    the plan inside one codegen stage.
+    the rest reach it as nulls.
     """
-    jvm = c.cast("string")
-    if not exact:
-        return jvm
     size = F.abs(c)
     plain = (
-        F.isnan(c)
-        | (size == F.lit(float("inf")))
-        | (c == 0.0)
-        | ((size >= 1e-3) & (size < 1e7) & (F.length(size.cast("string")) <= 16))
+        ((size >= 1e-3) & (size < 1e7) & (F.octet_length(jvm) <= F.when(c < 0, 17).otherwise(16)))
+        | F.isnan(c) | (size == F.lit(float("inf"))) | (c == 0.0)
     )
     return F.when(plain, jvm).otherwise(shortest_text(F.when(~plain, c)))

@@ -119,10 +119,12 @@ def text_lines(df: DataFrame, *keep: str, column: str = "line") -> DataFrame:
         "ok")
 
 
-_TABLE = re.compile(TABLE_TOKEN.encode(), re.S)
-_KEY = re.compile(KEY_TOKEN.encode(), re.S)
-_BARE = re.compile(rb"[^\\, \n]*+(?:\\.[^\\, \n]*+)*+", re.S)
-_QUOTED = re.compile(QUOTED_TOKEN.encode(), re.S)
+_LINE_KEY = r"[^\\=, \n]*+(?:\\.[^\\=, \n]*+)*+"
+_LINE_BARE = r"[^\\, \n]*+(?:\\.[^\\, \n]*+)*+"
+_TABLE = re.compile(_LINE_BARE.encode(), re.S)
+_SYMBOL = re.compile(f",({_LINE_KEY})=({_LINE_BARE})".encode(), re.S)
+# key, then the mark of a binary value, a quoted or a bare one
+_FIELD = re.compile(f"({_LINE_KEY})=(?:(=)|({QUOTED_TOKEN})|({_LINE_BARE}))".encode(), re.S)
 _AT = re.compile(rb"(-?[0-9]+)([tn]?)(?=\n|\Z)")
 _ESCAPE = re.compile(rb"\\(.)", re.S)
 _KINDS = {105: "integer", 116: "timestamp_us", 110: "timestamp_ns"}  # i, t, n
@@ -141,6 +143,7 @@ class _Lines:
         self.symbol_ends, self.symbol_names, self.symbol_values = [0], [], []
         self.field_ends, self.names, self.kinds, self.texts = [0], [], [], []
         self.numbers, self.arrays, self.dims = [], [], []
+        self.seen = {}
 
     def _binary(self, buf: bytes, pos: int) -> int:
         tag = buf[pos]
@@ -183,34 +186,32 @@ class _Lines:
     def read(self, buf: bytes, pos: int = 0) -> int:
         """Append the line that starts at `pos`; returns its end, ValueError when malformed."""
         m = _TABLE.match(buf, pos)
-        tbl, pos = _text(m.group()), m.end()
+        tbl, pos, size = m.group(), m.end(), len(buf)
         symbols = fields = 0
-        while buf[pos:pos + 1] == b",":
-            k = _KEY.match(buf, pos + 1)
-            if buf[k.end():k.end() + 1] != b"=":
+        while pos < size and buf[pos] == 44:  # comma
+            m = _SYMBOL.match(buf, pos)
+            if not m:
                 raise ValueError("symbol without value")
-            v = _BARE.match(buf, k.end() + 1)
-            self.symbol_names.append(_text(k.group()))
-            self.symbol_values.append(_text(v.group()))
-            symbols, pos = symbols + 1, v.end()
-        byte = buf[pos:pos + 1]
-        if byte == b" " and not _AT.match(buf, pos + 1):
-            while byte == (b"," if fields else b" "):
-                k = _KEY.match(buf, pos + 1)
-                pos = k.end()
-                if buf[pos:pos + 1] != b"=":
+            self.symbol_names.append(self._name(m.group(1)))
+            self.symbol_values.append(_text(m.group(2)))
+            symbols, pos = symbols + 1, m.end()
+        if pos < size and buf[pos] == 32 and not _AT.match(buf, pos + 1):  # blank
+            while True:
+                m = _FIELD.match(buf, pos + 1)
+                if not m:
                     raise ValueError("field without value")
-                self.names.append(_text(k.group()))
-                if buf[pos + 1:pos + 2] == b"=":
-                    pos = self._binary(buf, pos + 2)
-                elif (q := _QUOTED.match(buf, pos + 1)):
-                    self._field("string", _text(q.group()[1:-1]))
-                    pos = q.end()
+                key, marked, quoted, bare = m.groups()
+                self.names.append(self._name(key))
+                pos = m.end()
+                if marked:
+                    pos = self._binary(buf, pos)
+                elif quoted:
+                    self._field("string", _text(quoted[1:-1]))
                 else:
-                    b = _BARE.match(buf, pos + 1)
-                    self._bare(b.group())
-                    pos = b.end()
-                fields, byte = fields + 1, buf[pos:pos + 1]
+                    self._bare(bare)
+                fields += 1
+                if pos >= size or buf[pos] != 44:
+                    break
         at = unit = None
         if buf[pos:pos + 1] == b" ":
             a = _AT.match(buf, pos + 1)
@@ -219,9 +220,16 @@ class _Lines:
             at, unit, pos = int(a.group(1)), ("us" if a.group(2) == b"t" else "ns"), a.end()
         if not tbl or not (symbols or fields) or pos < len(buf) and buf[pos] != 10:
             raise ValueError("malformed line")
-        self._end(tbl, at, unit, True)
+        self._end(self._name(tbl), at, unit, True)
         return pos
 
+    def _name(self, raw: bytes) -> str:
+        """Names repeat from line to line."""
+        name = self.seen.get(raw)
+        if name is None:
+            name = self.seen[raw] = _text(raw)
+        return name
+
     def _end(self, tbl, at, unit, ok):
         self.tbl.append(tbl)
         self.at.append(at)

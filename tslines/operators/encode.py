@@ -34,14 +34,15 @@ def _symbol(cell: Cell) -> Column:
     return F.concat(F.lit("," + text.escape_name(cell.name) + "="), text.escape_bare(cell.col))
 
 
-def _text_value(cell: Cell, version: int, exact: bool) -> Column:
+def _text_value(cell: Cell, version: int, jvm: dict[str, Column]) -> Column:
     c = cell.wire()
     if cell.target == "boolean":
         return F.when(c, "t").when(~c, "f")
     if cell.target == "integer":
         return F.concat(c.cast("string"), F.lit("i"))
     if cell.target == "float":
-        return text.float_text(c, exact)
+        # without exactness the JVM's own text stays, in one codegen stage
+        return text.float_text(c, jvm[cell.name]) if cell.name in jvm else c.cast("string")
     if cell.target == "timestamp":
         if cell.unit == "ns" and version > 1:
             return F.concat(c.cast("string"), F.lit("n"))
@@ -74,7 +75,15 @@ def encode(df: DataFrame, roles: Roles, *keep: str, exact_floats: bool = True) -
 
     `line` is text for version 1 and binary above. Rows with nothing to write
     are left out, as a single-row append does; `validate.rejects` reports them.
+    `exact_floats=False` keeps version 1 free of Python: floats are then the
+    JVM's text, which names the same double but may not be the shortest one.
     """
+    df, jvm = df.filter(_present(roles.cells)), {}
+    if roles.version == 1 and exact_floats:
+        # the text is needed three times; as a column it is made once
+        floats = [c for c in roles.fields if c.target == "float"]
+        df = df.withColumns({f"_f{c.position}": c.wire().cast("string") for c in floats})
+        jvm = {c.name: F.col(f"_f{c.position}") for c in floats}
     out = F.lit("" if roles.version == 1 else b"")
     head = F.concat(text.escape_bare(roles.table_col()),
                     *[F.coalesce(_symbol(c), F.lit("")) for c in roles.symbols])
@@ -82,7 +91,7 @@ def encode(df: DataFrame, roles: Roles, *keep: str, exact_floats: bool = True) -
     tail = F.lit("") if at is None else F.coalesce(F.concat(F.lit(" "), at), F.lit(""))
     if roles.version == 1:
         cells = [F.concat(F.lit(text.escape_name(c.name) + "="),
-                          _text_value(c, 1, exact_floats)) for c in roles.fields]
+                          _text_value(c, 1, jvm)) for c in roles.fields]
         body = F.concat(F.lit(" "), F.concat_ws(",", *cells))
     else:
         head, tail = head.cast("binary"), tail.cast("binary")
@@ -91,7 +100,7 @@ def encode(df: DataFrame, roles: Roles, *keep: str, exact_floats: bool = True) -
             name = "," + text.escape_name(c.name) + "="
             raw = _binary_value(c)
             if raw is None:
-                value = F.concat(F.lit(name), _text_value(c, roles.version, True)).cast("binary")
+                value = F.concat(F.lit(name), _text_value(c, roles.version, {})).cast("binary")
             else:
                 value = F.concat(F.lit(name.encode()), raw)
             cells.append(F.coalesce(value, F.lit(b"")))
@@ -101,8 +110,7 @@ def encode(df: DataFrame, roles: Roles, *keep: str, exact_floats: bool = True) -
     body = F.when(_present(roles.fields), body).otherwise(out)
     line = F.concat(head, body, tail)
     return (
-        df.filter(_present(roles.cells))
-        .select(*keep, roles.table_col().alias("tbl"), line.alias("line"))
+        df.select(*keep, roles.table_col().alias("tbl"), line.alias("line"))
         .withColumn("n_bytes", F.octet_length("line").cast("bigint") + 1)
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,17 +88,16 @@ def _conversions(df: DataFrame, target: T.StructType):
 def conform(df: DataFrame, target: T.StructType) -> DataFrame:
     """Rows cast to the types of an existing table; rows that would lose a value are left out."""
     parts = list(_conversions(df, target))
-    ok = F.lit(True)
-    for _, _, lost in parts:
-        ok = ok & ~lost
-    return df.filter(ok).select(*[c.alias(n) for n, c, _ in parts])
+    return df.filter(~reduce(lambda a, b: a | b, [lost for _, _, lost in parts])).select(*[c.alias(n) for n, c, _ in parts])
 
 
 def conform_rejects(df: DataFrame, target: T.StructType, *key: str) -> DataFrame:
     """One row per value that `conform` could not keep."""
+    parts = list(_conversions(df, target))
     found = [F.when(lost, F.struct(F.lit(n).alias("column"),
                                    F.col(n).cast("string").alias("value")))
-             for n, _, lost in _conversions(df, target)]
+             for n, _, lost in parts]
+    df = df.filter(reduce(lambda a, b: a | b, [lost for _, _, lost in parts]))
     return df.select(*key, F.explode(F.filter(F.array(*found), lambda r: r.isNotNull())).alias("r")
                      ).select(*key, "r.*")
 

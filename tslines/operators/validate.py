@@ -56,13 +56,18 @@ def _rules(roles: Roles) -> list[tuple[int, str, str, Column, Column, Column]]:
 
 
 def rejects(df: DataFrame, roles: Roles, *key: str) -> DataFrame:
-    """One row per broken rule: `key`, `pos`, `rule`, `column`, `value`, `message`."""
+    """One row per broken rule: `key`, `pos`, `rule`, `column`, `value`, `message`.
+
+    A plain filter drops clean rows first; only broken ones build their list.
+    """
+    rules = _rules(roles)
+    df = df.filter(reduce(lambda a, b: a | b, [r[3] for r in rules]))
     found = [
         F.when(broken, F.struct(
             F.lit(pos).alias("pos"), F.lit(name).alias("rule"),
             F.lit(column).cast("string").alias("column"), value.alias("value"),
             message.alias("message")))
-        for pos, name, column, broken, value, message in _rules(roles)
+        for pos, name, column, broken, value, message in rules
     ]
     listed = F.filter(F.array(*found), lambda r: r.isNotNull())
     return df.select(*key, F.explode(listed).alias("_r")).select(*key, "_r.*")
