@@ -116,3 +116,14 @@ def test_generator_feeds_a_stream(spark):
     rate = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
     df = tables.fill(rate.select(F.col("value").alias("id")), "trades")
     assert df.isStreaming and df.columns == ["id", "symbol", "side", "price", "qty"]
+
+
+def test_build_agrees_with_separate_steps(spark):
+    df = spark.range(0, 3000, 1, 5).select(
+        "id", (F.col("id") % 3).alias("k"),
+        F.concat(F.lit("x"), F.col("id").cast("string")).alias("line"),
+        (F.length(F.col("id").cast("string")) + 2).cast("bigint").alias("n_bytes"))
+    rows = [sorted((r["k"], r["batch_id"], r["n_rows"], bytes(r["payload"])) for r in payloads.build(
+        df, Limits(40, 150, None), key=["k"], order=["id"], size="n_bytes", **plan).collect())
+        for plan in ({}, dict(spread_above=0, partitions=6))]
+    assert rows[0] == rows[1] and sum(r[2] for r in rows[0]) == 3000

@@ -340,7 +340,8 @@ ROUNDTRIP_V3 = """
 SELECT l_orderkey, CAST(CAST(l_tax AS DECIMAL(7,2)) AS VARCHAR) AS a,
   CAST(CAST(l_extendedprice AS DECIMAL(14,4)) AS VARCHAR) AS b,
   CAST(CAST(-l_extendedprice AS DECIMAL(38,6)) AS VARCHAR) AS c,
-  ltrim(l_partkey || lpad(CAST(l_suppkey AS VARCHAR), 30, '0'), '0') || '.'
+  coalesce(nullif(ltrim(l_partkey || lpad(CAST(l_suppkey AS VARCHAR), 30, '0'), '0'), ''), '0')
+    || '.'
     || lpad(CAST(l_linenumber AS VARCHAR), 12, '0') AS d
 FROM lineitem"""
 

@@ -104,6 +104,24 @@ SELECT user_id, batch_id, count(*) AS n_rows, true AS whole, true AS complete
 FROM s GROUP BY user_id, batch_id"""
 
 
+def payload_build(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches cut and joined in one go; sizes and line counts of each payload."""
+    ev = tables.table(spark, sf, "events")
+    plan = roles.resolve(ev, table="events", symbols=["event_type"], at="ts", version=1)
+    lines = encode(ev, plan, "event_id", "user_id")
+    joined = payloads.build(lines, Limits(50, 4000, None), key=["user_id"], order=["event_id"],
+                            size="n_bytes")
+    return joined.select("user_id", "batch_id", "n_rows", "n_bytes", F.size(
+        F.split(F.decode("payload", "utf-8"), "\n")).alias("n_ends"))
+
+
+PAYLOAD_BUILD = f"""
+WITH RECURSIVE {_LEDGER_ROWS}
+SELECT s.user_id, batch_id, count(*) AS n_rows, CAST(sum(nb) AS BIGINT) AS n_bytes,
+  CAST(count(*) + 1 AS INTEGER) AS n_ends
+FROM s JOIN e ON s.user_id = e.user_id AND s.rn = e.rn GROUP BY s.user_id, batch_id"""
+
+
 def fan_out(spark: SparkSession, sf: str) -> DataFrame:
     """The same lines to a payload table and to text files."""
     root = session.scratch(session.configure(spark), "fan")
@@ -231,7 +249,7 @@ SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_ids, CAST(0 AS BIGINT)
 
 
 QUERIES = {f.__name__: f for f in (
-    parquet_roundtrip, payload_frames, payload_frames_binary, payload_ledger, fan_out, sink_replay,
+    parquet_roundtrip, payload_frames, payload_frames_binary, payload_ledger, payload_build, fan_out, sink_replay,
     stream_equals_batch, stream_batches, stream_alerts, stream_dedup, text_stream, synthetic_rows,
     synthetic_profile)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES if name.upper() in globals()}

@@ -305,14 +305,25 @@ def _key_at(batch, keys, i):
     return tuple(batch.column(k)[i].as_py() for k in keys)
 
 
-def _column(batch, name, lo, hi):
-    col = batch.column(name).slice(lo, hi - lo)
-    if col.null_count:
+def _column(batch, name):
+    """A BIGINT column as numbers; zeros when the column is not needed."""
+    if name is None:
+        return np.zeros(batch.num_rows, dtype=np.int64)
+    if batch.column(name).null_count:
         raise ValueError(f"column {name!r} must not be null in rows that are cut into batches")
-    return col.to_numpy(zero_copy_only=False)
+    return batch.column(name).to_numpy(zero_copy_only=False)
 
 
-def _cutter(keys, lim, with_txn, entry, schema, flags=False):
+@dataclass(frozen=True)
+class _Columns:
+    """Names of the columns the kernel reads; None where it needs none."""
+
+    time: str | None
+    size: str | None
+    txn: str | None
+
+
+def _cutter(keys, lim, cols, entry, schema, flags=False):
     """The row pass: appends `batch_id`. `entry` maps partition numbers to states.
 
     With `flags`, also `closes` (the row reached a limit) and `opens` (the
@@ -325,13 +336,13 @@ def _cutter(keys, lim, with_txn, entry, schema, flags=False):
             if not batch.num_rows:
                 continue
             starts = _codes(batch, keys)
-            t, nb = (_column(batch, c, 0, batch.num_rows) for c in ("_t", "_nb"))
+            t, nb = _column(batch, cols.time), _column(batch, cols.size)
             ids = np.zeros(batch.num_rows, dtype=np.int64)
             closes, opens = np.zeros((2, batch.num_rows), dtype=bool)
             if flags:
                 opens[starts[:-1]] = True
             busy = np.ones(len(starts) - 1, dtype=bool)
-            if not with_txn:
+            if not cols.txn:
                 # keys that begin and end here and stay below all limits are batch 0
                 lo, hi = starts[:-1], starts[1:]
                 busy = ((hi - lo >= lim[0]) | (np.add.reduceat(nb, lo) >= lim[1])
@@ -347,20 +358,20 @@ def _cutter(keys, lim, with_txn, entry, schema, flags=False):
                         state = State(*found) if found else state
                     key, first = here, False
                 opens[lo] = flags and not state.started
-                txn = batch.column("_txn").slice(lo, hi - lo).to_pylist() if with_txn else None
+                txn = batch.column(cols.txn).slice(lo, hi - lo).to_pylist() if cols.txn else None
                 ids[lo:hi] = walk_key(t[lo:hi], nb[lo:hi], txn, lim, state)
                 closes[lo:hi - 1] = ids[lo + 1:hi] != ids[lo:hi - 1]
                 closes[hi - 1] = state.rows == 0
-            cols = [batch.column(c) for c in schema] + [pa.array(ids)]
+            out = [batch.column(c) for c in schema] + [pa.array(ids)]
             names = [*schema, "batch_id"]
             if flags:
-                cols, names = cols + [pa.array(closes), pa.array(opens)], names + ["closes", "opens"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                out, names = out + [pa.array(closes), pa.array(opens)], names + ["closes", "opens"]
+            yield pa.RecordBatch.from_arrays(out, names=names)
 
     return go
 
 
-def _summarizer(keys, lim, with_txn, key_types):
+def _summarizer(keys, lim, cols, schema):
     """The first pass: summaries of the first and last key of each partition."""
 
     def go(batches):
@@ -371,7 +382,7 @@ def _summarizer(keys, lim, with_txn, key_types):
                 continue
             pid = batch.column("_pid")[0].as_py()
             starts = _codes(batch, keys)
-            t, nb = (_column(batch, c, 0, batch.num_rows) for c in ("_t", "_nb"))
+            t, nb = _column(batch, cols.time), _column(batch, cols.size)
             last = len(starts) - 2
             for i in sorted({0, last}):
                 lo, hi = starts[i], starts[i + 1]
@@ -381,14 +392,14 @@ def _summarizer(keys, lim, with_txn, key_types):
                     runs = runs[:1] + [[key, [], [], []]]
                 runs[-1][1].append(t[lo:hi].copy())
                 runs[-1][2].append(nb[lo:hi].copy())
-                if with_txn:
-                    runs[-1][3] += batch.column("_txn").slice(lo, hi - lo).to_pylist()
+                if cols.txn:
+                    runs[-1][3] += batch.column(cols.txn).slice(lo, hi - lo).to_pylist()
         rows = []
         for i, (key, t, nb, txn) in enumerate(runs):
-            s = Summary.of(np.concatenate(t), np.concatenate(nb), txn if with_txn else None, lim)
+            s = Summary.of(np.concatenate(t), np.concatenate(nb), txn if cols.txn else None, lim)
             rows.append({**dict(zip(keys, key)), "seg": pid, "leads": i == 0, **s.row()})
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=key_types)
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return go
 
@@ -464,10 +475,33 @@ def _entries(summaries: DataFrame, keys, lim, key_fields, partitions, fan_in) ->
     return states
 
 
+@dataclass(frozen=True)
+class Load:
+    """Rows of the table and of its largest key."""
+
+    rows: int
+    largest: int
+
+    def spread(self, keys: list[str], above: int) -> bool:
+        """Is there a key too large for one task? Without keys all rows are one."""
+        return not keys or self.largest > above
+
+
+SPREAD_ABOVE = 20_000_000
+
+
+def measure(df: DataFrame, keys: list[str]) -> Load:
+    """Reads the key columns only, counts map-side; two numbers reach the driver."""
+    if not keys:
+        rows = df.count()
+        return Load(rows, rows)
+    found = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return Load(found[1] or 0, found[0] or 0)
+
+
 def assign(df: DataFrame, limits: Limits, *, order: list[str], key: list[str] | None = None,
            time: str | None = None, size: str | None = None, txn: str | None = None,
-           spread_above: int = 20_000_000, partitions: int | None = None,
-           fan_in: int = 16) -> DataFrame:
+           **plan) -> DataFrame:
     """`df` with `batch_id`, counted from 0 within each key.
 
     Rows are taken in `order` within `key` (no key: the whole table is one
@@ -476,58 +510,61 @@ def assign(df: DataFrame, limits: Limits, *, order: list[str], key: list[str] |
     transaction (`txn` not null) limits do not apply and its boundaries close
     the batch. `order` must name rows of a key uniquely.
 
-    A key with more than `spread_above` rows, or no key at all, takes the
-    spread plan.
+    `plan` options: a key with more than `spread_above` rows, or no key at all,
+    takes the spread plan, with `partitions` tasks and a tree of `fan_in`;
+    `load` is an earlier `measure`.
     """
-    lim, keys = _bounds(limits), list(key or [])
     if limits.interval and time is None:
         raise ValueError("an interval needs a `time` column")
     if limits.interval and order[0] != time:
         raise ValueError("with an interval, `order` must start with the `time` column")
     if limits.bytes and size is None:
         raise ValueError("a byte limit needs a `size` column")
-    return cut(df, lim, order=order, keys=keys, time=time, size=size, txn=txn,
-               spread_above=spread_above, partitions=partitions, fan_in=fan_in)
+    # The clock also restarts at transaction boundaries, but only matters with an interval.
+    return cut(df, _bounds(limits), order=order, keys=list(key or []),
+               time=time if limits.interval else None, size=size if limits.bytes else None,
+               txn=txn, **plan)
+
+
+def _typed(df: DataFrame, name: str | None, dtype: str, alias: str):
+    """(frame, column name) with the column in `dtype`; no copy when it already is."""
+    if name is None or df.schema[name].dataType.simpleString() == dtype:
+        return df, name
+    return df.withColumn(alias, F.col(name).cast(dtype)), alias
 
 
 def cut(df: DataFrame, lim: tuple[int, int, int], *, order: list[str], keys: list[str],
         time: str | None = None, size: str | None = None, txn: str | None = None,
-        spread_above: int = 20_000_000, partitions: int | None = None, fan_in: int = 16,
-        flags: bool = False) -> DataFrame:
+        spread_above: int = SPREAD_ABOVE, partitions: int | None = None, fan_in: int = 16,
+        load: Load | None = None, flags: bool = False) -> DataFrame:
     """`assign` with raw bounds: rows, bytes and microseconds."""
-    spark = df.sparkSession
-    columns = df.columns
-    work = df.withColumns({
-        "_t": F.col(time).cast("bigint") if time else F.lit(0).cast("bigint"),
-        "_nb": F.col(size).cast("bigint") if size else F.lit(0).cast("bigint"),
-        **({"_txn": F.col(txn).cast("string")} if txn else {}),
-    })
+    spark, columns = df.sparkSession, df.columns
+    work, time = _typed(df, time, "bigint", "_t")
+    work, size = _typed(work, size, "bigint", "_nb")
+    work, txn = _typed(work, txn, "string", "_txn")
+    cols = _Columns(time, size, txn)
     added = "batch_id bigint" + (", closes boolean, opens boolean" if flags else "")
     out = T.StructType(df.schema.fields + T.StructType.fromDDL(added).fields)
 
-    rows, largest = None, None
-    if keys:
-        # map-side combined count; only two numbers reach the driver
-        found = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-        largest, rows = found[0] or 0, found[1] or 0
-        if largest <= spread_above:
-            near = work.repartition(*keys).sortWithinPartitions(*keys, *order)
-            return near.mapInArrow(_cutter(keys, lim, bool(txn), None, columns, flags), out)
-
-    if partitions is None:
-        partitions = partitions_for(rows if rows is not None else df.count(), spark)
+    load = load or measure(df, keys)
+    if not load.spread(keys, spread_above):
+        near = work.repartition(*keys).sortWithinPartitions(*keys, *order)
+        return near.mapInArrow(_cutter(keys, lim, cols, None, columns, flags), out)
+
+    partitions = partitions or partitions_for(load.rows, spark)
     ranged = range_sorted(work, keys, order, partitions)
     key_fields = [T.StructField(f.name, f.dataType) for f in df.schema.fields if f.name in keys]
     ddl = T.StructType(key_fields + T.StructType.fromDDL(
         f"seg int, leads boolean, {_SUMMARY_DDL}").fields)
-    narrow = ranged.select(*keys, "_pid", "_t", "_nb", *(["_txn"] if txn else []))
+    narrow = ranged.select(*dict.fromkeys(
+        [*keys, "_pid", *[c for c in (time, size, txn) if c]]))
     summaries = session.checkpoint(narrow.mapInArrow(
-        _summarizer(keys, lim, bool(txn), _arrow_schema(ddl)), ddl))
+        _summarizer(keys, lim, cols, _arrow_schema(ddl)), ddl))
     states = _entries(summaries, keys, lim, key_fields, partitions, fan_in)
     # one small state per partition
     entry = {r["seg"]: tuple(r[f"in_{k}"] for k in STATE_FIELDS)
              for r in states.filter("leads").drop(*keys).collect()}
-    return ranged.mapInArrow(_cutter(keys, lim, bool(txn), entry, columns, flags), out)
+    return ranged.mapInArrow(_cutter(keys, lim, cols, entry, columns, flags), out)
 
 
 def by_rows(df: DataFrame, n: int, *, order: list[str]) -> DataFrame:

@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tslines import session
-from tslines.operators.batch import DEFAULT_MAX_BYTES, _codes, _key_at
+from tslines.operators.batch import (
+    DEFAULT_MAX_BYTES,
+    SPREAD_ABOVE,
+    Limits,
+    _codes,
+    _key_at,
+    assign,
+    measure,
+)
 
 
 def _join_lines(keys, limit, schema):
@@ -58,12 +66,14 @@ def _join_lines(keys, limit, schema):
     return go
 
 
-def payloads(lines: DataFrame, *key: str, order: list[str],
-             limit: int = DEFAULT_MAX_BYTES) -> DataFrame:
+def payloads(lines: DataFrame, *key: str, order: list[str], limit: int = DEFAULT_MAX_BYTES,
+             arranged: bool = False) -> DataFrame:
     """One row per batch: `key`, `batch_id`, `n_rows`, `n_bytes`, `payload`.
 
     Batches are spread by their number, so a key with many batches uses many
     tasks; a batch itself is at most `limit` bytes, more is an error.
+    `arranged` rows already lie batch by batch in one partition each, and need
+    no shuffle.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -72,10 +82,24 @@ def payloads(lines: DataFrame, *key: str, order: list[str],
     ddl = T.StructType([ddl[k] for k in keys] + T.StructType.fromDDL(
         "n_rows bigint, n_bytes bigint, payload binary").fields)
     narrow = lines.select(*keys, "line", *[o for o in order if o not in keys])
-    near = narrow.repartition(*keys).sortWithinPartitions(*keys, *order)
+    near = narrow if arranged else (
+        narrow.repartition(*keys).sortWithinPartitions(*keys, *order))
     return near.mapInArrow(_join_lines(keys, limit, to_arrow_schema(ddl)), ddl)
 
 
+def build(lines: DataFrame, limits: Limits, *, key: list[str], order: list[str],
+          limit: int = DEFAULT_MAX_BYTES, spread_above: int = SPREAD_ABOVE, **how) -> DataFrame:
+    """Cut lines into batches and join each batch, with one shuffle when no key is large.
+
+    The plan for ordinary keys leaves every batch in one partition in its
+    order; in the spread plan a batch may cross a partition border.
+    """
+    load = measure(lines, key)
+    cut = assign(lines, limits, key=key, order=order, load=load, spread_above=spread_above, **how)
+    return payloads(cut, *key, order=order, limit=limit,
+                    arranged=not load.spread(key, spread_above))
+
+
 def write(df: DataFrame, path: str, commit: str | int) -> None:
     """Write one commit; writing the same commit again replaces it.
 
