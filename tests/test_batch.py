@@ -83,8 +83,9 @@ def test_global_index(spark):
 def test_running(spark, op):
     pdf = frame(5, 800)
     df = spark.createDataFrame(pdf[["id", "k", "nb"]])
-    got = ordered.running(df, ["k"], "id", F.col("nb"), op, "r", width=16).collect()
     pdf = pdf.sort_values("id")
     g = pdf.groupby("k")["nb"]
     pdf["r"] = g.cumsum() if op == "sum" else g.cummax()
-    assert {r["id"]: r["r"] for r in got} == dict(zip(pdf["id"], pdf["r"]))
+    for above in (0, 10**9):
+        got = ordered.running(df, ["k"], "id", F.col("nb"), op, "r", width=16, spread_above=above)
+        assert {r["id"]: r["r"] for r in got.collect()} == dict(zip(pdf["id"], pdf["r"]))

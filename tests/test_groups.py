@@ -83,8 +83,9 @@ def test_sessions_and_concurrency(spark):
     pdf = events(2)
     df = spark.createDataFrame(pdf)
     want = loop_sessions(pdf, 6 * S)
-    got = bursts.sessions(df, ["k"], "t", 6 * S, slice_us=20 * S)
-    assert {(r["k"], r["start_us"], r["end_us"], r["n_events"]) for r in got.collect()} == want
+    for above in (0, 10**9):
+        got = bursts.sessions(df, ["k"], "t", 6 * S, slice_us=20 * S, spread_above=above)
+        assert {(r["k"], r["start_us"], r["end_us"], r["n_events"]) for r in got.collect()} == want
     edges = {}
     for _, a, b, _ in want:
         edges[a] = edges.get(a, 0) + 1
@@ -93,8 +94,10 @@ def test_sessions_and_concurrency(spark):
     for t in sorted(edges):
         level += edges[t]
         expect[t] = level
-    rows = bursts.concurrency(got.withColumn("g", F.lit(1)), ["g"], "start_us", "end_us", 50 * S)
-    assert {r["at_us"]: r["n_open"] for r in rows.collect()} == expect
+    for above in (0, 10**9):
+        rows = bursts.concurrency(got.withColumn("g", F.lit(1)), ["g"], "start_us", "end_us",
+                                  50 * S, spread_above=above)
+        assert {r["at_us"]: r["n_open"] for r in rows.collect()} == expect
 
 
 def loop_slots(rows):
@@ -121,7 +124,8 @@ def test_slots(spark, length):
     want = loop_slots(list(zip(pdf["s"], pdf["e"], pdf["id"])))
     # equal starts are ordered by end, then id, as in the loop
     df = spark.createDataFrame(pdf).repartition(5)
-    for plan in ({}, dict(spread_above=0, partitions=7), dict(spread_above=0, partitions=1)):
+    # whole keys, busy periods, and periods over several partitions
+    for plan in ({}, dict(spread_above=500), dict(spread_above=0, partitions=7)):
         got = bursts.slots(df, ["g"], "s", "e", "e", "id", slice_us=16, **plan).collect()
         assert {r["id"]: r["slot"] for r in got} == want, plan
 

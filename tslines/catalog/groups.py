@@ -146,6 +146,14 @@ def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
 EVENT_SESSIONS = f"WITH {_SESSIONS} SELECT user_id, start_us, end_us, n_events FROM x"
 
 
+def event_sessions_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan for keys that are too large for one task."""
+    return bursts.sessions(_events(spark, sf), ["user_id"], "t", GAP_US, spread_above=0)
+
+
+EVENT_SESSIONS_SPREAD = EVENT_SESSIONS
+
+
 def _daily(spark, sf):
     return _sessions(spark, sf).withColumn(
         "day", F.call_function("div", F.col("start_us"), F.lit(DAY_US)))
@@ -163,6 +171,14 @@ m AS (SELECT day, at_us, sum(d) AS d FROM d GROUP BY 1, 2)
 SELECT day, at_us, CAST(sum(d) OVER (PARTITION BY day ORDER BY at_us) AS BIGINT) AS n_open FROM m"""
 
 
+def session_concurrency_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan for groups that are too large for one task."""
+    return bursts.concurrency(_daily(spark, sf), ["day"], "start_us", "end_us", spread_above=0)
+
+
+SESSION_CONCURRENCY_SPREAD = SESSION_CONCURRENCY
+
+
 def slot_assign(spark: SparkSession, sf: str) -> DataFrame:
     return bursts.slots(_daily(spark, sf), ["day"], "start_us", "end_us", "user_id").select(
         "day", "user_id", "start_us", "slot")
@@ -195,6 +211,7 @@ SLOT_ASSIGN_SPREAD = SLOT_ASSIGN
 
 QUERIES = {f.__name__: f for f in (
     symbol_dictionary, symbol_encode, symbol_encode_large, symbol_decode, symbol_width,
-    burst_counts, burst_alerts, burst_alerts_spread, event_sessions, session_concurrency,
+    burst_counts, burst_alerts, burst_alerts_spread, event_sessions, event_sessions_spread,
+    session_concurrency, session_concurrency_spread,
     slot_assign, slot_assign_spread)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}

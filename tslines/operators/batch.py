@@ -23,7 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tslines import session
-from tslines.operators.ordered import global_index, partitions_for, range_sorted
+from tslines.operators.ordered import (
+    SPREAD_ABOVE,
+    Load,
+    global_index,
+    measure,
+    partitions_for,
+    range_sorted,
+)
 
 DEFAULT_ROWS = 75_000
 DEFAULT_INTERVAL_MS = 1_000
@@ -475,30 +482,6 @@ def _entries(summaries: DataFrame, keys, lim, key_fields, partitions, fan_in) ->
     return states
 
 
-@dataclass(frozen=True)
-class Load:
-    """Rows of the table and of its largest key."""
-
-    rows: int
-    largest: int
-
-    def spread(self, keys: list[str], above: int) -> bool:
-        """Is there a key too large for one task? Without keys all rows are one."""
-        return not keys or self.largest > above
-
-
-SPREAD_ABOVE = 20_000_000
-
-
-def measure(df: DataFrame, keys: list[str]) -> Load:
-    """Reads the key columns only, counts map-side; two numbers reach the driver."""
-    if not keys:
-        rows = df.count()
-        return Load(rows, rows)
-    found = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    return Load(found[1] or 0, found[0] or 0)
-
-
 def assign(df: DataFrame, limits: Limits, *, order: list[str], key: list[str] | None = None,
            time: str | None = None, size: str | None = None, txn: str | None = None,
            **plan) -> DataFrame:

@@ -14,8 +14,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tslines import session
 from tslines.operators.batch import NEVER, _codes, _key_at, cut
-from tslines.operators.ordered import partitions_for, range_sorted, running
+from tslines.operators.ordered import (
+    SPREAD_ABOVE,
+    measure,
+    partitions_for,
+    range_sorted,
+    running,
+)
 
 DEFAULT_WINDOW_US = 5_000_000
 DEFAULT_THRESHOLD = 25
@@ -60,28 +67,29 @@ def alerts(df: DataFrame, keys: list[str], ts: str, window_us: int = DEFAULT_WIN
 
 
 def sessions(df: DataFrame, keys: list[str], ts: str, gap_us: int,
-             slice_us: int | None = None) -> DataFrame:
+             slice_us: int | None = None, spread_above: int = SPREAD_ABOVE) -> DataFrame:
     """`keys`, `start_us`, `end_us`, `n_events`: runs of events at most `gap_us` apart.
 
     A session ends `gap_us` after its last event.
     """
-    width = slice_us or 64 * gap_us
-    line = running(instants(df, keys, ts), keys, ts, F.col(ts), "max", "_prev", width,
-                   exclusive=True)
+    plan = dict(width=slice_us or 64 * gap_us, load=measure(df, keys), spread_above=spread_above)
+    line = running(instants(df, keys, ts), keys, ts, F.col(ts), "max", "_prev", exclusive=True,
+                   **plan)
     begins = F.col("_prev").isNull() | (F.col(ts) - F.col("_prev") > gap_us)
-    line = running(line, keys, ts, F.when(begins, F.col(ts)), "max", "start_us", width)
+    line = running(line, keys, ts, F.when(begins, F.col(ts)), "max", "start_us", **plan)
     return line.groupBy(*keys, "start_us").agg(
         (F.max(ts) + gap_us).alias("end_us"), F.sum("n_events").alias("n_events"))
 
 
 def concurrency(df: DataFrame, keys: list[str], start: str, end: str,
-                slice_us: int = 3_600_000_000) -> DataFrame:
+                slice_us: int = 3_600_000_000, spread_above: int = SPREAD_ABOVE) -> DataFrame:
     """`keys`, `at_us`, `n_open`: open sessions after each change."""
     edges = df.select(*keys, F.explode(F.array(
         F.struct(F.col(start).alias("at_us"), F.lit(1).cast("bigint").alias("d")),
         F.struct(F.col(end).alias("at_us"), F.lit(-1).cast("bigint").alias("d")))).alias("e"))
     net = edges.groupBy(*keys, F.col("e.at_us").alias("at_us")).agg(F.sum("e.d").alias("d"))
-    return running(net, keys, "at_us", F.col("d"), "sum", "n_open", slice_us).drop("d")
+    return running(net, keys, "at_us", F.col("d"), "sum", "n_open", slice_us,
+                   spread_above=spread_above).drop("d")
 
 
 class _Slots:
@@ -142,26 +150,33 @@ def _slot_pass(keys, entry, columns, states_only):
 
 
 def slots(df: DataFrame, keys: list[str], start: str, end: str, *order: str,
-          spread_above: int = 5_000_000, slice_us: int = 3_600_000_000,
+          spread_above: int = SPREAD_ABOVE, slice_us: int = 3_600_000_000,
           partitions: int | None = None) -> DataFrame:
     """`df` with the lowest `slot` that is free when the session starts, per key.
 
-    Moments without an open session split a key into busy periods that do not
-    depend on each other. Periods are walked in a stream whose state is the
-    open sessions. When one period is larger than `spread_above`, rows are
-    range-partitioned instead: all partitions run at once from a guessed set of
-    open sessions, and those whose guess differs from what the partition before
-    them really leaves are run again until none differs. Each round settles at
-    least one more partition.
+    A key is walked in a stream whose state is the open sessions. A key with
+    more than `spread_above` rows is first split at moments without an open
+    session into busy periods, which do not depend on each other. When one
+    period is still larger, rows are range-partitioned instead: all partitions
+    run at once from a guessed set of open sessions, and those whose guess
+    differs from what the partition before them really leaves are run again
+    until none differs. Each round settles at least one more partition.
     """
     spark, columns = df.sparkSession, df.columns
-    work = df.withColumns({"_start": F.col(start), "_end": F.col(end)})
     out = T.StructType(df.schema.fields + [T.StructField("slot", T.LongType())])
-    line = running(work, keys, "_start", F.col("_end"), "max", "_busy_until", slice_us,
-                   exclusive=True)
+    work = df.withColumns({"_start": F.col(start), "_end": F.col(end)})
+    load = measure(df, keys)
+    if not load.spread(keys, spread_above):
+        near = work.repartition(*keys).sortWithinPartitions(*keys, "_start", *order)
+        return near.mapInArrow(_slot_pass(keys, None, columns, False), out)
+
+    plan = dict(width=slice_us, load=load, spread_above=spread_above)
+    line = running(work, keys, "_start", F.col("_end"), "max", "_busy_until", exclusive=True,
+                   **plan)
     begins = F.col("_busy_until").isNull() | (F.col("_busy_until") <= F.col("_start"))
     line = running(line, keys, "_start", F.when(begins, F.col("_start")), "max", "_period",
-                   slice_us).drop("_busy_until")
+                   **plan).drop("_busy_until")
+    line = session.checkpoint(line)
     period = [*keys, "_period"]
     sizes = line.groupBy(*period).count().agg(F.max("count"), F.sum("count")).first()
     if (sizes[0] or 0) <= spread_above:

@@ -36,13 +36,13 @@ def sort(df: DataFrame, at: str, *more: str, partitions: int | None = None) -> D
 
 
 def lateness(df: DataFrame, keys: list[str], at_us: str, arrival: str,
-             width: int = 1 << 20) -> DataFrame:
+             width: int = 1 << 20, **plan) -> DataFrame:
     """How far each row lies behind the newest instant that arrived before it, per key.
 
     `arrival` is a BIGINT; rows with the same arrival do not see each other.
     """
     out = running(df, keys, arrival, F.col(at_us), "max", "_newest", width, exclusive=True,
-                  settle=False)
+                  settle=False, **plan)
     late = F.greatest(F.coalesce(F.col("_newest") - F.col(at_us), F.lit(0)), F.lit(0))
     return out.withColumn("late_us", late).drop("_newest")
 

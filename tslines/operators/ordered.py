@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,9 +11,32 @@ from pyspark.sql import functions as F
 from tslines import session
 
 ROWS_PER_TASK = 4_000_000
+# A key with more rows than this is spread over several tasks.
+SPREAD_ABOVE = 20_000_000
 LOCAL_INDEX_MASK = (1 << 33) - 1
 
 
+@dataclass(frozen=True)
+class Load:
+    """Rows of the table and of its largest key."""
+
+    rows: int
+    largest: int
+
+    def spread(self, keys: list[str], above: int) -> bool:
+        """Is there a key too large for one task? Without keys all rows are one."""
+        return not keys or self.largest > above
+
+
+def measure(df: DataFrame, keys: list[str]) -> Load:
+    """Reads the key columns only, counts map-side; two numbers reach the driver."""
+    if not keys:
+        rows = df.count()
+        return Load(rows, rows)
+    found = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return Load(found[1] or 0, found[0] or 0)
+
+
 def partitions_for(rows: int, spark) -> int:
     """At least the session's shuffle width, more when partitions would grow too large."""
     return max(session.default_partitions(spark), -(-rows // ROWS_PER_TASK))
@@ -52,24 +76,32 @@ def global_index(df: DataFrame, order: list[str], name: str = "idx",
 
 
 def running(df: DataFrame, keys: list[str], pos: str, value: Column, op: str, name: str,
-            width: int = 1 << 20, exclusive: bool = False, settle: bool = True) -> DataFrame:
+            width: int = 1 << 20, exclusive: bool = False, load: Load | None = None,
+            spread_above: int = SPREAD_ABOVE, settle: bool = True) -> DataFrame:
     """Running `op` ('sum' or 'max') of `value` along the BIGINT column `pos` within `keys`.
 
     Rows with equal `pos` are peers; pre-aggregate them first if they are many.
-    Each key is cut into slices of `width` positions. Slice totals are combined
-    map-side and summed up over two levels, so a window only ever sees one
-    slice of rows, or one slice of totals.
-
-    `df` is read twice, for totals and for rows. `settle` checkpoints it first,
-    so that chained calls do not repeat each other's work; switch it off for a
-    plain scan.
+    Without a large key this is one window, and chained calls share its
+    shuffle. Otherwise each key is cut into slices of `width` positions. Slice
+    totals are combined map-side and summed up over two levels, so a window
+    only ever sees one slice of rows, or one slice of totals.
+
+    The sliced plan reads `df` twice, for totals and for rows. `settle`
+    checkpoints it first, so that chained calls do not repeat each other's
+    work; switch it off for a plain scan. `load` is an earlier `measure` of
+    these rows or of more.
     """
-    if settle:
-        df = session.checkpoint(df)
+    load = load or measure(df, keys)
     total = {"sum": F.sum, "max": F.max}[op]
     join = (lambda a, b: a + b) if op == "sum" else (lambda a, b: F.greatest(a, b))
     zero = F.lit(0) if op == "sum" else F.lit(None)
     before = (Window.unboundedPreceding, -1)
+    reach = before if exclusive else (Window.unboundedPreceding, Window.currentRow)
+    if not load.spread(keys, spread_above):
+        whole = Window.partitionBy(*keys).orderBy(pos).rangeBetween(*reach)
+        return df.withColumn(name, F.coalesce(total(value).over(whole), zero))
+    if settle:
+        df = session.checkpoint(df)
 
     sliced = (df.withColumn("_v", value)
               .withColumn("_s1", F.call_function("div", F.col(pos), F.lit(width)))
@@ -82,9 +114,7 @@ def running(df: DataFrame, keys: list[str], pos: str, value: Column, op: str, na
     level1 = level1.select(*keys, "_s2", "_s1", F.coalesce(total("_t").over(by1), zero).alias("_c1"))
     carry = level1.join(level2, [*keys, "_s2"]).select(
         *keys, "_s1", join(F.col("_c1"), F.col("_c2")).alias("_c"))
-    rows = Window.partitionBy(*keys, "_s1").orderBy(pos)
-    frame = rows.rangeBetween(*before) if exclusive else (
-        rows.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    frame = Window.partitionBy(*keys, "_s1").orderBy(pos).rangeBetween(*reach)
     inside = F.coalesce(total("_v").over(frame), zero)
     return (sliced.join(carry, [*keys, "_s1"])
             .withColumn(name, join(inside, F.col("_c")))

@@ -13,15 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tslines import session
-from tslines.operators.batch import (
-    DEFAULT_MAX_BYTES,
-    SPREAD_ABOVE,
-    Limits,
-    _codes,
-    _key_at,
-    assign,
-    measure,
-)
+from tslines.operators.batch import DEFAULT_MAX_BYTES, Limits, _codes, _key_at, assign
+from tslines.operators.ordered import SPREAD_ABOVE, measure
 
 
 def _join_lines(keys, limit, schema):
