@@ -175,6 +175,32 @@ SELECT f."column", coalesce(f.kind, 'skip') AS kind,
 FROM k JOIN f ON k."column" = f."column" GROUP BY f."column", f.kind"""
 
 
+def _loose(spark, sf):
+    k = F.get_json_object("props", "$.k")
+    return table(spark, sf, "events").select(
+        "event_id", k.alias("k"), F.when(F.col("value") > 95, "high").otherwise(
+            F.col("value").cast("string")).alias("value"), F.lit(None).cast("string").alias("none"))
+
+
+def typed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Text columns cast to the kind of their first value; other rows are set aside."""
+    return validate.typed(_loose(spark, sf), ["k", "value", "none"], "event_id")[0]
+
+
+TYPED_ROWS = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value FROM events
+WHERE value <= 95"""
+
+
+def typed_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return validate.typed(_loose(spark, sf), ["k", "value", "none"], "event_id")[1]
+
+
+TYPED_REJECTS = """
+SELECT event_id, 'value' AS "column", 'float' AS expected, 'high' AS value FROM events
+WHERE value > 95"""
+
+
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "events").select(
         "event_id", F.nullif("event_type", F.lit("error")).alias("event_type"),
@@ -232,7 +258,8 @@ def utf8_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 UTF8_CHECK = """
-SELECT doc_id, text || chr(65533) AS repaired FROM documents WHERE lang = 'fr'"""
+SELECT doc_id, text || chr(65533) AS repaired, CAST(length(text) + 1 AS INTEGER) AS bad_char
+FROM documents WHERE lang = 'fr'"""
 
 
 def all_null_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -254,5 +281,5 @@ SELECT event_id, CASE WHEN event_type = 'error' AND value <= 50 THEN 'all_null_r
 
 QUERIES = {f.__name__: f for f in (
     name_check, bool_strict_rejects, rejects, clean_rows, first_error, strict_load, sniff_types,
-    null_profile, version_loss, utf8_check, all_null_rows)}
+    typed_rows, typed_rejects, null_profile, version_loss, utf8_check, all_null_rows)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}

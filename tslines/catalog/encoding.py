@@ -346,6 +346,21 @@ SELECT l_orderkey, CAST(CAST(l_tax AS DECIMAL(7,2)) AS VARCHAR) AS a,
 FROM lineitem"""
 
 
+def decode_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines back to a typed table."""
+    ev = _events_with_nulls(spark, sf).withColumn("hot", F.col("event_type") == "click")
+    plan = roles.resolve(ev, table="events", symbols=["event_type"], at="ts", version=2)
+    return decode.wide(decode.binary_lines(encode(ev, plan)), {
+        "event_id": "bigint", "event_type": "string", "props": "string", "user_id": "bigint",
+        "value": "double", "hot": "boolean"})
+
+
+DECODE_WIDE = """
+SELECT 'events' AS tbl, event_id, event_type, props, nullif(user_id, 7) AS user_id,
+  CASE WHEN value <= 50 THEN value END AS value, event_type = 'click' AS hot, epoch_us(ts) AS at_us
+FROM events"""
+
+
 def decode_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Lines torn apart are told from whole ones: page text taken as lines."""
     lines = table(spark, sf, "pages").select("page_id", F.concat(
@@ -362,5 +377,5 @@ QUERIES = {f.__name__: f for f in (
     encode_v1_orders, encode_v1_events_nulls, encode_v1_documents, encode_v2_lineitem,
     encode_v3_lineitem, payload_size_by_table, symbol_auto_true_list, widen_types, u64_guard,
     at_normalise, decimal_parts, array_shape, drop_null_columns, pivot_long_rows, roundtrip_v1,
-    roundtrip_v1_documents, roundtrip_v2, roundtrip_v3, decode_rejects)}
+    roundtrip_v1_documents, roundtrip_v2, roundtrip_v3, decode_wide, decode_rejects)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tslines.functions.binary import ARRAY_TAG, DECIMAL_TAG, DOUBLE_TAG
 from tslines.functions.text import unescape
+from tslines.functions.times import nanos_to_micros
 
 # Tokens of the text format.
 TABLE_TOKEN = r"[^\\, ]*+(?:\\.[^\\, ]*+)*+"
@@ -340,5 +341,33 @@ def field(name: str, part: str = "text") -> Column:
     return F.get(F.filter("fields", lambda f: f["name"] == name), F.lit(0))[part]
 
 
+def wide(decoded: DataFrame, columns: dict[str, str], *keep: str) -> DataFrame:
+    """Decoded rows as a table: `columns` maps symbol and field names to Spark types.
+
+    A name is looked up among the fields first, then among the symbols; cells
+    that were left out are null.
+    """
+    has_numbers = "number" in decoded.schema["fields"].dataType.elementType.names
+
+    def cell(name: str, dtype: str) -> Column:
+        if dtype.startswith("array"):
+            return field(name, "numbers").cast(dtype)
+        text = F.coalesce(field(name), symbol(name))
+        if dtype == "boolean":
+            return text == "t"
+        if dtype in ("double", "float") and has_numbers:
+            return F.coalesce(field(name, "number"), text.try_cast("double")).cast(dtype)
+        if dtype == "timestamp":
+            ns = field(name, "kind") == "timestamp_ns"
+            count = text.try_cast("bigint")
+            return F.timestamp_micros(F.when(ns, nanos_to_micros(count)).otherwise(count))
+        return text.try_cast(dtype)
+
+    at = F.col("at")
+    us = F.when(F.col("at_unit") == "us", at).otherwise(nanos_to_micros(at))
+    return decoded.filter("ok").select(
+        *keep, "tbl", *[cell(n, d).alias(n) for n, d in columns.items()], us.alias("at_us"))
+
+
 def rejects(decoded: DataFrame, *keep: str) -> DataFrame:
     return decoded.filter(~F.col("ok")).select(*keep)

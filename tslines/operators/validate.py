@@ -141,6 +141,36 @@ def sniff(df: DataFrame, columns: list[str], *order: str) -> DataFrame:
     return row.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
+# Spark types of the sniffed kinds.
+KIND_TYPES = {"boolean": "boolean", "integer": "bigint", "float": "double", "string": "string"}
+
+
+def typed(df: DataFrame, columns: list[str], *order: str) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rejects) of loosely typed text columns.
+
+    The first non-null value of a column decides its type; rows with a value of
+    another kind are rejects, and columns without any value are dropped. One
+    aggregate decides, its result is one row per column.
+    """
+    kinds = {r["column"]: r["kind"] for r in sniff(df, columns, *order).collect()}
+    odd = [(c, F.col(c).isNotNull() & (text_kind(F.col(c)) != kinds[c]))
+           for c in columns if kinds[c] not in ("skip", "string")]
+    none = F.lit(False)
+    broken = reduce(lambda a, b: a | b, [o for _, o in odd], none)
+    broken = F.coalesce(broken, none)
+    cols = [F.col(c).cast(KIND_TYPES[kinds[c]]).alias(c) if c in kinds else F.col(c)
+            for c in df.columns if kinds.get(c) != "skip"]
+    found = [F.when(o, F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("expected"),
+                                F.col(c).alias("value"))) for c, o in odd]
+    listed = F.filter(F.array(*found), lambda r: r.isNotNull()) if found else F.array()
+    if found:
+        bad = df.filter(broken).select(*order, F.explode(listed).alias("r")).select(*order, "r.*")
+    else:
+        bad = df.filter(none).select(*order, F.lit("").alias("column"),
+                                     F.lit("").alias("expected"), F.lit("").alias("value"))
+    return df.filter(~broken).select(*cols), bad
+
+
 def _report(df: DataFrame, names_: list[str], measures: dict[str, list[Column]],
             labels: dict[str, list[str]] | None = None) -> DataFrame:
     """One aggregate for all columns, turned into one row per column."""
@@ -180,6 +210,7 @@ def version_loss(df: DataFrame, roles: Roles, version: int) -> DataFrame:
 
 
 def utf8_errors(df: DataFrame, column: str, *key: str) -> DataFrame:
-    """Rows whose binary text is not UTF-8, with the text repaired by U+FFFD."""
+    """Rows whose binary text is not UTF-8: the text repaired by U+FFFD, and where it first is."""
     raw = F.col(column)
-    return df.filter(~F.is_valid_utf8(raw)).select(*key, F.make_valid_utf8(raw).alias("repaired"))
+    bad = df.filter(~F.is_valid_utf8(raw)).select(*key, F.make_valid_utf8(raw).alias("repaired"))
+    return bad.withColumn("bad_char", F.instr("repaired", "\ufffd"))
