@@ -60,7 +60,7 @@ FROM orders WHERE o_orderpriority = '5-LOW'"""
 def _faulty(spark, sf):
     """Line items where some rows break one or more rules."""
     li = table(spark, sf, "lineitem")
-    big = "concat(cast(cast(round(l_extendedprice * 100) as bigint) as string), '000000000000')"
+    big = "cast(round(l_extendedprice * 100) as decimal(10,0)) * 1000000000000BD"
     df = li.select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.when(F.col("l_quantity") == 1, "bad/name").when(F.col("l_quantity") != 2, F.lit("ok")

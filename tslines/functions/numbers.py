@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from tslines.functions import binary
 
-MAX_SCALE = 76
+MIN_64, MAX_64 = Decimal(-(1 << 63)), Decimal((1 << 63) - 1)
 
 
 def guarded_int(c: Column) -> Column:
-    """BIGINT, or NULL where the value does not fit 64 signed bits."""
-    return c.try_cast("bigint")
+    """BIGINT of a decimal, or NULL where it does not fit 64 signed bits.
+
+    A comparison instead of `try_cast`, which raises and catches per bad cell.
+    """
+    return F.when(c.between(F.lit(MIN_64), F.lit(MAX_64)), c.cast("bigint"))
 
 
 def unscaled(c: Column, precision: int, scale: int) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 import pyarrow as pa
@@ -11,28 +10,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # What must be escaped outside and inside double quotes.
-BARE_SPECIAL = r"[ ,=\n\r\\]"
-QUOTED_SPECIAL = r'["\n\r\\]'
+BARE_SPECIAL = "\\ ,=\n\r"
+QUOTED_SPECIAL = '\\"\n\r'
 
 
-def _escape(c: Column, special: str, chars: str) -> Column:
-    # Byte searches are much cheaper than a regex, and most values need none.
-    found = reduce(lambda x, y: x | y, [c.contains(ch) for ch in chars])
-    return F.when(found, F.regexp_replace(c, f"({special})", r"\\$1")).otherwise(c)
+def _escape(c: Column, special: str) -> Column:
+    """A backslash before each special character; the backslash itself goes first.
+
+    Most values hold none, which a byte search finds out quickest.
+    """
+    found = reduce(lambda x, y: x | y, [c.contains(ch) for ch in special])
+    escaped = reduce(lambda x, ch: F.replace(x, F.lit(ch), F.lit("\\" + ch)), special, c)
+    return F.when(found, escaped).otherwise(c)
 
 
 def escape_bare(c: Column) -> Column:
     """Escape a table name, column name or symbol value."""
-    return _escape(c, BARE_SPECIAL, " ,=\n\r\\")
+    return _escape(c, BARE_SPECIAL)
 
 
 def escape_quoted(c: Column) -> Column:
     """Escape the inside of a quoted string."""
-    return _escape(c, QUOTED_SPECIAL, '"\n\r\\')
+    return _escape(c, QUOTED_SPECIAL)
 
 
 def escape_name(name: str) -> str:
-    return re.sub(f"({BARE_SPECIAL})", r"\\\1", name)
+    return reduce(lambda x, ch: x.replace(ch, "\\" + ch), BARE_SPECIAL, name)
 
 
 def unescape(c: Column) -> Column:

@@ -84,31 +84,37 @@ def encode(df: DataFrame, roles: Roles, *keep: str, exact_floats: bool = True) -
         floats = [c for c in roles.fields if c.target == "float"]
         df = df.withColumns({f"_f{c.position}": c.wire().cast("string") for c in floats})
         jvm = {c.name: F.col(f"_f{c.position}") for c in floats}
-    out = F.lit("" if roles.version == 1 else b"")
     head = F.concat(text.escape_bare(roles.table_col()),
                     *[F.coalesce(_symbol(c), F.lit("")) for c in roles.symbols])
     at = _at(roles)
     tail = F.lit("") if at is None else F.coalesce(F.concat(F.lit(" "), at), F.lit(""))
-    if roles.version == 1:
-        cells = [F.concat(F.lit(text.escape_name(c.name) + "="),
-                          _text_value(c, 1, jvm)) for c in roles.fields]
-        body = F.concat(F.lit(" "), F.concat_ws(",", *cells))
+    raw = {c.name: _binary_value(c) for c in roles.fields} if roles.version > 1 else {}
+    pairs = {c.name: F.concat(F.lit(text.escape_name(c.name) + "="),
+                              _text_value(c, roles.version, jvm))
+             for c in roles.fields if raw.get(c.name) is None}
+    if len(pairs) == len(roles.fields):
+        body = F.concat(F.lit(" "), F.concat_ws(",", *pairs.values()))
+        body = F.when(_present(roles.fields), body).otherwise("")
+        line = F.concat(head, body, tail)
+        line = line if roles.version == 1 else line.cast("binary")
     else:
-        head, tail = head.cast("binary"), tail.cast("binary")
-        cells = []
+        # runs of text cells become bytes together; the first comma becomes the
+        # blank before the fields
+        parts, run = [], []
         for c in roles.fields:
-            name = "," + text.escape_name(c.name) + "="
-            raw = _binary_value(c)
-            if raw is None:
-                value = F.concat(F.lit(name), _text_value(c, roles.version, {})).cast("binary")
-            else:
-                value = F.concat(F.lit(name.encode()), raw)
-            cells.append(F.coalesce(value, F.lit(b"")))
-        # the first cell's comma becomes the blank before the fields
-        joined = F.concat(*cells) if cells else F.lit(b"")
-        body = F.concat(F.lit(b" "), F.substring(joined, 2, 2**31 - 1))
-    body = F.when(_present(roles.fields), body).otherwise(out)
-    line = F.concat(head, body, tail)
+            if c.name in pairs:
+                run.append(F.coalesce(F.concat(F.lit(","), pairs[c.name]), F.lit("")))
+                continue
+            if run:
+                parts.append(F.concat(*run).cast("binary"))
+            name = ("," + text.escape_name(c.name) + "=").encode()
+            parts.append(F.coalesce(F.concat(F.lit(name), raw[c.name]), F.lit(b"")))
+            run = []
+        if run:
+            parts.append(F.concat(*run).cast("binary"))
+        body = F.concat(F.lit(b" "), F.substring(F.concat(*parts), 2, 2**31 - 1))
+        body = F.when(_present(roles.fields), body).otherwise(F.lit(b""))
+        line = F.concat(head.cast("binary"), body, tail.cast("binary"))
     return (
         df.select(*keep, roles.table_col().alias("tbl"), line.alias("line"))
         .withColumn("n_bytes", F.octet_length("line").cast("bigint") + 1)
