@@ -89,3 +89,10 @@ def test_running(spark, op):
     for above in (0, 10**9):
         got = ordered.running(df, ["k"], "id", F.col("nb"), op, "r", width=16, spread_above=above)
         assert {r["id"]: r["r"] for r in got.collect()} == dict(zip(pdf["id"], pdf["r"]))
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], "k int, t bigint, id int")
+    for key in (["k"], None):
+        assert B.assign(df, B.Limits(2, None, None), order=["t", "id"], key=key).count() == 0
+    assert B.by_rows(df, 2, order=["t", "id"]).count() == 0

@@ -19,7 +19,11 @@ SETTINGS = {
 }
 
 # Only takes effect when the session is created here.
-STATIC = {"spark.ui.enabled": "false"}
+STATIC = {
+    "spark.ui.enabled": "false",
+    # Checkpoint files go away with the frames that use them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
 
 
 def get_spark(app: str = "tslines", master: str | None = None, **extra) -> SparkSession:

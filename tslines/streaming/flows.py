@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -29,8 +30,13 @@ def run(df: DataFrame, to_batches: Callable[[DataFrame], DataFrame], path: str,
     """
 
     def flush(rows: DataFrame, number: int) -> None:
-        out = payloads.payloads(to_batches(rows), *key, order=order, limit=max_bytes)
-        payloads.write(out, path, number)
+        # batching looks at key sizes first; the source is still read once
+        kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            out = payloads.payloads(to_batches(kept), *key, order=order, limit=max_bytes)
+            payloads.write(out, path, number)
+        finally:
+            kept.unpersist()
 
     writer = df.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
