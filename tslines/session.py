@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tslines-")
     sc.setCheckpointDir(folder)
