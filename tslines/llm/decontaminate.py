@@ -6,7 +6,7 @@ least m - q + 1 - k*q of its q-grams with the place, all of them on diagonals
 (document position minus passage position) that lie within k of each other.
 Shared q-grams are counted in diagonal bands of width 2(k+1) that overlap by
 half, so that any such stretch lies in one band; bands that reach the count
-are verified by banded alignment of the whole passage.
+(adjacent ones together) are verified by banded alignment of the whole passage.
 
 The benchmark is a stated query set. It is dealt into blocks of bounded size,
 and each block's index goes to all tasks in turn, so neither its size nor that
@@ -38,7 +38,7 @@ RATE = 0.1
 #: Characters of benchmark text in one block.
 BLOCK_CHARS = 4_000_000
 #: Characters of a document that are looked up at once.
-SLICE = 1 << 18
+SLICE = 1 << 14
 SPACE = 32
 _STEP = np.uint64(0x100000001B3)
 _FILTER_BITS = 22
@@ -114,7 +114,7 @@ class Index:
                    place[order].astype(np.int64), known, int(size.max(initial=0)))
 
     def bands(self, code: np.ndarray) -> list[tuple[int, int, int]]:
-        """(passage, first diagonal, width) of bands with enough shared q-grams."""
+        """(passage, first and last diagonal) of stretches of bands with enough shared q-grams."""
         h = grams(code, self.q)
         pos = np.flatnonzero(self.known[h >> np.uint64(64 - _FILTER_BITS)])
         first = np.searchsorted(self.gram, h[pos], "left")
@@ -125,16 +125,33 @@ class Index:
         total = int(n.sum())
         entry = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(total)
         item = self.item[entry]
-        half = self.edits[item] + 1
-        diagonal = np.repeat(pos, n) - self.place[entry]
-        band = diagonal // half + self.longest  # not negative
+        # a passage with too few shared q-grams anywhere has no band with enough
+        some = (np.bincount(item, minlength=len(self.ids)) >= self.least)[item]
+        if not some.any():
+            return []
+        item, place = item[some], self.place[entry[some]]
+        diagonal = np.repeat(pos, n)[some] - place
+        band = diagonal // (self.edits[item] + 1) + self.longest  # not negative
         span = len(code) + 2 * self.longest + 2
-        keys, counts = np.unique(np.concatenate((item * span + band, item * span + band - 1)),
-                                 return_counts=True)
-        item, band = keys // span, keys % span - self.longest
-        good = counts >= self.least[item]
-        return [(int(i), int(b * (self.edits[i] + 1)), int(2 * (self.edits[i] + 1)))
-                for i, b in zip(item[good], band[good])]
+        key = np.concatenate((item * span + band, item * span + band - 1))
+        place = np.concatenate((place, place))
+        keys, back, counts = np.unique(key, return_inverse=True, return_counts=True)
+        enough = counts >= self.least[keys // span]
+        if not enough.any():
+            return []
+        # a q-gram of the passage counts once, however often the band repeats it
+        some = enough[back]
+        pairs = np.unique(np.stack((back[some], place[some])), axis=1)
+        counts = np.bincount(pairs[0], minlength=len(keys))
+        found = np.flatnonzero(counts >= self.least[keys // span])
+        out: list[tuple[int, int, int]] = []
+        for i, b in zip((keys[found] // span).tolist(), (keys[found] % span - self.longest).tolist()):
+            half = int(self.edits[i]) + 1
+            if out and out[-1][0] == i and b * half <= out[-1][2]:
+                out[-1] = (i, out[-1][1], (b + 2) * half)
+            else:
+                out.append((i, b * half, (b + 2) * half))
+        return out
 
     def find(self, text: str | None) -> list[tuple]:
         """(passage id, start, end, edits) of verified places, in the original's characters."""
@@ -143,8 +160,8 @@ class Index:
         code, at = normalise(text or "")
         for start in range(0, max(len(code), 1), step):
             part = code[start:start + step + 2 * self.longest]
-            for i, diagonal, width in self.bands(part):
-                hit = align(self.codes[i], part, diagonal, width, int(self.edits[i]))
+            for i, low, high in self.bands(part):
+                hit = align(self.codes[i], part, low, high, int(self.edits[i]))
                 if hit:
                     a, b, edits = hit
                     found.append((i, int(at[start + a]), int(at[start + b - 1]) + 1, edits))
@@ -177,20 +194,26 @@ def _band(item: np.ndarray, doc: np.ndarray, start: int, cost: np.ndarray) -> np
     return cost
 
 
-def align(item: np.ndarray, doc: np.ndarray, diagonal: int, width: int, budget: int):
-    """(start, end, edits) of the whole passage near a band of diagonals, or None."""
-    low = diagonal - budget
-    cost = _band(item, doc, low, np.zeros(width + 2 * budget + 1, np.int64))
+def align(item: np.ndarray, doc: np.ndarray, first: int, last: int, budget: int):
+    """(start, end, edits) of the whole passage on diagonals first..last, or None.
+
+    Of several places the one with the fewest edits is returned; a place without
+    any needs no table.
+    """
+    size, low = len(item), first - budget
+    near = doc[max(first, 0):max(last + size, 0)]
+    for at in np.flatnonzero(near[:max(len(near) - size + 1, 0)] == item[0]).tolist():
+        if (near[at:at + size] == item).all():
+            return max(first, 0) + at, max(first, 0) + at + size, 0
+    cost = _band(item, doc, low, np.zeros(last - first + 2 * budget + 1, np.int64))
     best = int(np.argmin(cost))
     if cost[best] > budget:
         return None
-    end = low + len(item) + best
+    end = min(low + size + best, len(doc))
     # backwards from that end: the start costs what is skipped there
-    back = _band(item[::-1], doc[:end][::-1], -budget,
-                 np.abs(np.arange(-budget, budget + 1)))
-    shift = int(np.argmin(back)) - budget
-    start = end - len(item) - shift
-    return max(start, 0), min(end, len(doc)), int(cost[best])
+    back = _band(item[::-1], doc[:end][::-1], -budget, np.abs(np.arange(-budget, budget + 1)))
+    start = end - size - (int(np.argmin(back)) - budget)
+    return max(start, 0), end, int(cost[best])
 
 
 def indexes(benchmark: DataFrame, q: int, rate: float, block_chars: int):
