@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tslines.llm import decontaminate, language, mixing, order, simhash
+from tslines.llm import chat, decontaminate, language, mixing, order, simhash, substring
 
 QUERIES = {
     "op3_simhash_trie": simhash.op3_simhash_trie,
     "op4_training_order": order.op4_training_order,
     "op6_benchmark_matches": decontaminate.op6_benchmark_matches,
     "op7_language_mixture": language.op7_language_mixture,
+    "op8_chat_round_trip": chat.op8_chat_round_trip,
     "op9_pivotal_mixing": mixing.op9_pivotal_mixing,
+    "op10_super_kmers": substring.op10_super_kmers,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op8_chat_round_trip": chat.CHAT_SQL,
+}
