@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tslines.llm import chat, decontaminate, language, mixing, order, simhash, substring
+from tslines.llm import (chat, decontaminate, language, mixing, neighbours, order, simhash,
+                         substring, toxicity)
 
 QUERIES = {
+    "op2_nnpu_toxicity": toxicity.op2_nnpu_toxicity,
     "op3_simhash_trie": simhash.op3_simhash_trie,
     "op4_training_order": order.op4_training_order,
+    "op5_learned_partitions": neighbours.op5_learned_partitions,
     "op6_benchmark_matches": decontaminate.op6_benchmark_matches,
     "op7_language_mixture": language.op7_language_mixture,
     "op8_chat_round_trip": chat.op8_chat_round_trip,
