@@ -1,14 +1,16 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-The classifier is linear over the hashed distinct words of a text and is fitted
-in numpy from two samples: confirmed toxic documents, and documents of the
+The classifier is linear over the hashed distinct words of a text and their
+beginnings, and is fitted in numpy from two samples: confirmed toxic documents, and documents of the
 corpus whatever their label. With the class prior p, the risk is
 
     p * E_pos[loss(+)] + max(0, E_unl[loss(-)] - p * E_pos[loss(-)])
 
-where the second term estimates the risk on clean documents and may not become
-negative: once it does, a step goes up its gradient instead, which keeps the
-model from learning the positives by heart.
+where the second term estimates the risk on clean documents. Without the bound
+it would go far below zero while the positives are learnt by heart; with it, a
+batch whose estimate is negative only teaches the first term. Words are weighed
+with logistic loss and shrunk; then scale and threshold are set on a part that
+was kept back, by the same risk with a bounded loss.
 
 The prior is counted over all labels that may be used. The samples are bounded
 (POSITIVES, UNLABELLED documents, the smallest by a hash of their id); scoring
@@ -37,19 +39,27 @@ from tslines.llm import common
 POSITIVES = 6_000
 UNLABELLED = 18_000
 FEATURE_BITS = 18
+#: Letters of a word's beginnings.
+BEGINNINGS = (4, 5)
 #: Documents of the sample that must have a word for it to count.
-LEAST_DOCS = 8
-EPOCHS = 40
-BATCHES = 8
-RATE = 0.05
-SHRINK = 2e-4
+LEAST_DOCS = 20
+EPOCHS = 60
+BATCHES = 5
+RATE = 0.03
+SHRINK = 5e-4
 THRESHOLD = 0.7
 SLICE = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
+#: Words whose hashes a task remembers.
+KNOWN = 200_000
+_known: dict[str, list[int]] = {}
 
 
 def features(text: str | None) -> np.ndarray:
-    """Distinct hashed words of a whole text."""
+    """Distinct hashed words of a whole text, and the beginnings of its longer words.
+
+    The beginnings stand for inflected and compound forms not seen before.
+    """
     words: set[str] = set()
     text = text or ""
     start = 0
@@ -59,17 +69,33 @@ def features(text: str | None) -> np.ndarray:
             end += 1
         words.update(_WORD.findall(text[start:end].lower()))
         start = end
-    found = {zlib.crc32(common.text_bytes(w)) & ((1 << FEATURE_BITS) - 1) for w in words}
+    found: set[int] = set()
+    for w in words:
+        hashes = _known.get(w)
+        if hashes is None:
+            forms = [w, *(f"{w[:n]}-" for n in BEGINNINGS if len(w) > n)]
+            hashes = [zlib.crc32(common.text_bytes(f)) & ((1 << FEATURE_BITS) - 1) for f in forms]
+            if len(w) <= 24:
+                if len(_known) >= KNOWN:
+                    _known.clear()
+                _known[w] = hashes
+        found.update(hashes)
     return np.fromiter(sorted(found), np.int32, len(found))
 
 
+def _scale(n: int) -> float:
+    """Long texts add up the noise of more words."""
+    return 10 / np.sqrt(n + 100)
+
+
 @dataclass
 class Model:
     weight: np.ndarray
     bias: float
 
     def score(self, text: str | None) -> float:
-        at = self.bias + float(self.weight[features(text)].sum())
+        found = features(text)
+        at = self.bias + float(self.weight[found].sum()) * _scale(len(found))
         return float(1 / (1 + np.exp(-np.clip(at, -30, 30))))
 
 
@@ -77,16 +103,17 @@ class _Rows:
     """Sparse rows of ones."""
 
     def __init__(self, rows: list[np.ndarray], known: np.ndarray):
-        rows = [known[r][known[r] >= 0] for r in rows]
+        all_, rows = rows, [known[r][known[r] >= 0] for r in rows]
         self.n = len(rows)
         self.at = np.concatenate([*rows, np.zeros(0, np.int64)])
         self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
+        self.scale = np.array([_scale(len(r)) for r in all_])
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, w[self.at], self.n)
+        return np.bincount(self.row, w[self.at], self.n) * self.scale
 
     def back(self, g: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(self.at, g[self.row], size)
+        return np.bincount(self.at, (g * self.scale)[self.row], size)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -110,29 +137,58 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     parts = [(_Rows([positive[i] for i in np.flatnonzero(p_of == b)], known),
               _Rows([unlabelled[i] for i in np.flatnonzero(u_of == b)], known))
              for b in range(min(BATCHES, len(positive), len(unlabelled)))]
-    size = len(used)
-    x = np.zeros(size + 1)  # the last is the bias
-    x[-1] = np.log(prior / (1 - prior))
-    m, v, step = np.zeros(size + 1), np.zeros(size + 1), 0
-    for _ in range(EPOCHS):
-        for k in rng.permutation(len(parts)):
-            pos, unl = parts[k]
-            zp, zu = pos.dot(x[:-1]) + x[-1], unl.dot(x[:-1]) + x[-1]
-            clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            down_p = prior * _sigmoid(zp) / pos.n  # gradient of the positives' loss(-)
-            down_u = _sigmoid(zu) / unl.n
-            if clean >= 0:
-                gp, gu = -prior * _sigmoid(-zp) / pos.n - down_p, down_u
-            else:
-                gp, gu = down_p, -down_u
-            g = np.empty(size + 1)
-            g[:-1] = pos.back(gp, size) + unl.back(gu, size) + SHRINK * x[:-1]
-            g[-1] = gp.sum() + gu.sum()
-            step += 1
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            x -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    weight[used] = x[:-1]
-    return Model(weight, float(x[-1]))
+    start = np.zeros(len(used) + 1)  # the last is the bias
+    start[-1] = np.log(prior / (1 - prior))
+
+    def gradient(x, step):
+        pos, unl = train[step % len(train)]
+        gp, gu = _slopes(pos.dot(x[:-1]) + x[-1], unl.dot(x[:-1]) + x[-1], prior)
+        return np.append(pos.back(gp, len(used)) + unl.back(gu, len(used)) + SHRINK * x[:-1],
+                         gp.sum() + gu.sum())
+
+    # one part is kept back, unless it is the only one
+    aside, train = parts[-1], parts[:-1] or parts
+    x = _descend(start, gradient, EPOCHS * len(train), RATE)
+    zp, zu = (rows.dot(x[:-1]) for rows in aside)
+
+    def scaled(ab, step):
+        gp, gu = _bounded(ab[0] * zp + ab[1], ab[0] * zu + ab[1], prior)
+        return np.array([gp @ zp + gu @ zu, gp.sum() + gu.sum()])
+
+    scale, shift = _descend(np.array([1.0, x[-1]]), scaled, 300, 0.05)
+    weight[used] = scale * x[:-1]
+    return Model(weight, float(shift))
+
+
+def _slopes(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives of the risk by the scores of positives and of unlabelled documents."""
+    clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    gp, gu = -prior * _sigmoid(-zp) / len(zp), np.zeros(len(zu))
+    if clean > 0:
+        gp -= prior * _sigmoid(zp) / len(zp)
+        gu = _sigmoid(zu) / len(zu)
+    return gp, gu
+
+
+def _bounded(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """The same with the sigmoid as loss, which no single score can dominate."""
+    p, u = _sigmoid(zp), _sigmoid(zu)
+    gp, gu = -prior * p * (1 - p) / len(zp), np.zeros(len(zu))
+    if u.mean() > prior * p.mean():
+        gp *= 2
+        gu = u * (1 - u) / len(zu)
+    return gp, gu
+
+
+def _descend(x: np.ndarray, gradient, steps: int, rate: float) -> np.ndarray:
+    """Adam with a step size that falls to zero."""
+    x, m, v = x.copy(), np.zeros_like(x), np.zeros_like(x)
+    for step in range(steps):
+        g = gradient(x, step)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        pace = rate * (1 - step / steps)
+        x -= pace * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.999 ** (step + 1))) + 1e-8)
+    return x
 
 
 def _sample(docs: DataFrame, ids: DataFrame, n: int, name: str) -> list[np.ndarray]:
