@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tslines.llm import (chat, decontaminate, language, mixing, neighbours, order, simhash,
-                         substring, toxicity)
+                         substring, surrogates, toxicity)
 
 QUERIES = {
+    "op1_keyed_surrogates": surrogates.op1_keyed_surrogates,
     "op2_nnpu_toxicity": toxicity.op2_nnpu_toxicity,
     "op3_simhash_trie": simhash.op3_simhash_trie,
     "op4_training_order": order.op4_training_order,
