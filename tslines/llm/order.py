@@ -51,15 +51,12 @@ LENGTH = 256
 PER_SHARD = 1 << 15
 KEY = 0x5EED0FDA7A
 ROUNDS = 6
-#: Words whose tokens a task remembers.
-MEMORY = 400_000
 #: Bytes of text that are encoded at once.
 PIECE = 1 << 20
 HEAD = np.dtype([("doc", "<i8"), ("part", "<i4"), ("n", "<i4")])
 NO_ID = np.iinfo(np.int64).min
 SHOWN = "slot bigint, shard bigint, doc_id bigint, part int, n_tokens int, tokens_sha256 string"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-_RUN = re.compile(r" (?:\s|$)")
 
 
 def record(length: int) -> np.dtype:
@@ -67,11 +64,10 @@ def record(length: int) -> np.dtype:
 
 
 @lru_cache(2)
-def _encoder(path: str) -> tuple[tiktoken.Encoding, dict[str, bytes]]:
+def _encoder(path: str) -> tiktoken.Encoding:
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("stored", pat_str=PATTERN, mergeable_ranks=ranks,
-                             special_tokens={}), {}
+    return tiktoken.Encoding("stored", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -87,29 +83,9 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 def tokens(text: str, path: str = VOCABULARY) -> bytes:
-    """Token ids as two-byte numbers.
-
-    A space that no other white space follows begins a token, so the words of a
-    text without such runs are encoded alone and remembered.
-    """
-    coder, known = _encoder(path)
-    out = []
-    for piece in _pieces(text):
-        if _RUN.search(piece):
-            out.append(array("H", coder.encode_ordinary(piece)).tobytes())
-            continue
-        first, *rest = piece.split(" ")
-        out.append(array("H", coder.encode_ordinary(first)).tobytes())
-        for word in rest:
-            ids = known.get(word)
-            if ids is None:
-                ids = array("H", coder.encode_ordinary(" " + word)).tobytes()
-                if len(word) <= 32:
-                    if len(known) >= MEMORY:
-                        known.clear()
-                    known[word] = ids
-            out.append(ids)
-    return b"".join(out)
+    """Token ids as two-byte numbers; long texts are encoded in pieces."""
+    coder = _encoder(path)
+    return b"".join(array("H", coder.encode_ordinary(p)).tobytes() for p in _pieces(text))
 
 
 def permute(x: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS) -> np.ndarray:
