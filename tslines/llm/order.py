@@ -28,7 +28,6 @@ shard.
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -37,6 +36,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,12 +55,13 @@ ROUNDS = 6
 PIECE = 1 << 20
 HEAD = np.dtype([("doc", "<i8"), ("part", "<i4"), ("n", "<i4")])
 NO_ID = np.iinfo(np.int64).min
-SHOWN = "slot bigint, shard bigint, doc_id bigint, part int, n_tokens int, tokens_sha256 string"
+SHOWN = "slot bigint, shard bigint, doc_id bigint, part int, n_tokens int, tokens_xxh128 string"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 def record(length: int) -> np.dtype:
-    return np.dtype([*((n, HEAD[n]) for n in HEAD.names), ("ids", "<u2", (length,)), ("mark", "<u2")])
+    """Head and token ids; in a file the mark of two bytes follows."""
+    return np.dtype([*((n, HEAD[n]) for n in HEAD.names), ("ids", "<u2", (length,))])
 
 
 @lru_cache(2)
@@ -115,6 +116,12 @@ def _cut(text: str | None, path: str) -> bytes:
     return tokens(text or "", path) + array("H", [END]).tobytes()
 
 
+def _counted(text: str | None, path: str) -> int:
+    """The number of ids that `_cut` makes."""
+    coder = _encoder(path)
+    return sum(len(coder.encode_ordinary(p)) for p in _pieces(text or "")) + 1
+
+
 def _runs(batch: pa.RecordBatch):
     """Row ranges of a batch that follow each other in one file."""
     files, rows = batch.column("file").to_pylist(), batch.column("row").to_numpy()
@@ -132,7 +139,7 @@ def _count(path: str, length: int):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b, file, first in _runs(batch):
-                n = sum(-(-len(_cut(t, path)) // (2 * length)) for t in texts[a:b])
+                n = sum(-(-_counted(t, path) // length) for t in texts[a:b])
                 if found and found[-1][0] == file and found[-1][1] + found[-1][2] == first:
                     found[-1][2] += b - a
                     found[-1][3] += n
@@ -174,11 +181,12 @@ def _records(path: str, length: int, starts, total: int, key: int):
                     at += c
                 slots = permute(np.arange(number, number + at), total, key)
                 number += at
-                raw, size = out.tobytes(), kind.itemsize
-                body = [raw[i:i + size - 2] for i in range(0, len(raw), size)]
                 for k in range(0, at, 4096):
+                    part = out[k:k + 4096]
+                    ends = np.arange(len(part) + 1, dtype=np.int32) * kind.itemsize
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(slots[k:k + 4096]), pa.array(body[k:k + 4096], pa.binary())],
+                        [pa.array(slots[k:k + 4096]), pa.Array.from_buffers(
+                            pa.binary(), len(part), [None, pa.py_buffer(ends), pa.py_buffer(part)])],
                         names=["slot", "body"])
     return run
 
@@ -215,22 +223,24 @@ def write_shards(docs: DataFrame, folder: str, path: str = VOCABULARY, length: i
 
 def read_shards(spark: SparkSession, folder: str, length: int = LENGTH,
                 per_shard: int = PER_SHARD) -> DataFrame:
-    """slot, shard, doc_id, part, n_tokens and the token ids' sha256 of every record."""
-    kind = record(length)
+    """slot, shard, doc_id, part, n_tokens and the token ids' XXH3 digest of every record."""
+    kind = np.dtype([("row", record(length)), ("mark", "<u2")])
+    head, digest = HEAD.itemsize, xxhash.xxh3_128_hexdigest
 
     def run(batches):
         for batch in batches:
             for name, data in zip(*(c.to_pylist() for c in batch.columns)):
                 shard = int(name.rpartition("/shard=")[2].partition("/")[0])
-                rows = np.frombuffer(data, kind)
-                ids = [None if d == NO_ID else d for d in rows["doc"].tolist()]
-                digests = [hashlib.sha256(r[:n].tobytes()).hexdigest()
-                           for r, n in zip(rows["ids"], rows["n"].tolist())]
+                rows, view = np.frombuffer(data, kind)["row"], memoryview(data)
+                size = rows["n"].tolist()
+                marks = [digest(view[a:a + 2 * n]) for a, n in
+                         zip(range(head, len(data), kind.itemsize), size)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(rows)) + shard * per_shard),
-                     pa.array([shard] * len(rows), pa.int64()), pa.array(ids, pa.int64()),
-                     pa.array(rows["part"]), pa.array(rows["n"]), pa.array(digests)],
-                    names=["slot", "shard", "doc_id", "part", "n_tokens", "tokens_sha256"])
+                     pa.array(np.full(len(rows), shard)),
+                     pa.array(rows["doc"].copy(), mask=rows["doc"] == NO_ID),
+                     pa.array(rows["part"].copy()), pa.array(rows["n"].copy()), pa.array(marks)],
+                    names=["slot", "shard", "doc_id", "part", "n_tokens", "tokens_xxh128"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.BATCH_ROWS))
     files = (spark.read.format("binaryFile").schema(
