@@ -37,7 +37,7 @@ from tslines.llm import common
 
 #: Bounds of the two samples, in documents.
 POSITIVES = 6_000
-UNLABELLED = 18_000
+UNLABELLED = 15_000
 FEATURE_BITS = 18
 #: Letters of a word's beginnings.
 BEGINNINGS = (4, 5)
@@ -105,8 +105,8 @@ class _Rows:
     def __init__(self, rows: list[np.ndarray], known: np.ndarray):
         all_, rows = rows, [known[r][known[r] >= 0] for r in rows]
         self.n = len(rows)
-        self.at = np.concatenate([*rows, np.zeros(0, np.int64)])
-        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
+        self.at = np.concatenate([*rows, np.zeros(0, np.int32)])
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
         self.scale = np.array([_scale(len(r)) for r in all_])
 
     def dot(self, w: np.ndarray) -> np.ndarray:
@@ -130,7 +130,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     both = np.concatenate([*positive, *unlabelled, np.zeros(0, np.int32)])
     least = LEAST_DOCS if len(positive) + len(unlabelled) >= 50 * LEAST_DOCS else 1
     used = np.flatnonzero(np.bincount(both, minlength=len(weight)) >= least)
-    known = np.full(len(weight), -1, np.int64)
+    known = np.full(len(weight), -1, np.int32)
     known[used] = np.arange(len(used))
     rng = np.random.default_rng(seed)
     p_of, u_of = rng.permutation(len(positive)) % BATCHES, rng.permutation(len(unlabelled)) % BATCHES
@@ -193,14 +193,14 @@ def _descend(x: np.ndarray, gradient, steps: int, rate: float) -> np.ndarray:
 
 def _sample(docs: DataFrame, ids: DataFrame, n: int, name: str) -> list[np.ndarray]:
     """Features of the `n` documents with the smallest hash; the ids are bounded by n."""
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def made(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t) for t in texts])
+        return pd.Series([features(t).tobytes() for t in texts], dtype=object)
 
     chosen = ids.select("doc_id").distinct().orderBy(F.xxhash64(F.lit(name), "doc_id"), "doc_id").limit(n)
     rows = (docs.where("text is not null").join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", made("text").alias("x")).collect())
-    return [np.array(r["x"], np.int32) for r in sorted(rows, key=lambda r: r["doc_id"])]
+            .select("doc_id", made("text").alias("x")).toArrow().sort_by("doc_id"))
+    return [np.frombuffer(x.as_buffer(), np.int32) for x in rows["x"]]
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, positives: int = POSITIVES,
