@@ -1,7 +1,8 @@
 """Headline timings: prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_ROWS: rows of the generated frames (default 2,000,000).
+BENCH_ROWS: rows of the generated frames (default 10,000,000), which are written
+before the clock starts.
 The encode and decode jobs read `lineitem` from a copy in BENCH_CPUS files,
 made once and not timed, because the given file has a single row group and
 would be read by one task. Each job runs `1 + BENCH_REPEAT` times against a
@@ -27,8 +28,8 @@ from tslines.sources import tables
 
 SF = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-ROWS = int(os.environ.get("BENCH_ROWS", "2000000"))
-REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+ROWS = int(os.environ.get("BENCH_ROWS", "10000000"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "1"))
 COPIES = {}
 
 
@@ -56,7 +57,8 @@ def encode_lineitem(version):
 
 def frame(kind, version, **how):
     def job(spark):
-        df = tables.synthetic(spark, ROWS, kind, partitions=int(CPUS)).drop("id")
+        df = copy(spark, f"frame_{kind}", lambda: tables.synthetic(
+            spark, ROWS, kind, partitions=2 * int(CPUS)).drop("id"))
         return encode(df, roles.resolve(df, table="t", at=roles.SERVER_TIME, version=version, **how))
     return job
 

@@ -57,17 +57,28 @@ def test_limits_rules():
             B.Limits(**bad)
 
 
-def test_rows_example(spark):
-    df = spark.range(10)
-    got = B.by_rows(df, 3, order=["id"]).groupBy("batch_id").count().orderBy("batch_id").collect()
-    assert [r["count"] for r in got] == [3, 3, 3, 1]
+@pytest.mark.parametrize("n, size", [(1, 1), (29, 4), (28, 4), (5, 9), (64, 8)])
+def test_batches_by_rows_fill_up(spark, n, size):
+    df = spark.range(n).repartition(3)
+    got = B.by_rows(df, size, order=["id"]).collect()
+    assert {r["id"]: r["batch_id"] for r in got} == {i: i // size for i in range(n)}
 
 
-def test_interval_example(spark):
-    df = spark.createDataFrame([(i, t * 1000) for i, t in enumerate([0, 0, 200, 200, 400, 400])],
-                               "x int, t bigint")
-    got = B.assign(df, B.Limits(None, None, 100), order=["t", "x"], time="t")
-    assert [r["batch_id"] for r in got.orderBy("x").collect()] == [0, 0, 0, 1, 1, 2]
+@pytest.mark.parametrize("seed", range(4))
+def test_batches_by_time_alone(spark, seed):
+    rng = np.random.default_rng(seed)
+    span = int(rng.integers(2, 40))
+    t = np.cumsum(rng.choice([0, 1, span - 1, span, span + 1], 200)) * 1000
+    df = spark.createDataFrame([(i, int(x)) for i, x in enumerate(t)], "x int, t bigint").repartition(4)
+    want, first, batch = [], None, -1
+    for x in t.tolist():
+        if first is None or x - first >= span * 1000:
+            first, batch = x, batch + 1
+        want.append(batch)
+    got = B.assign(df, B.Limits(None, None, span), order=["t", "x"], time="t").collect()
+    slack = loop(t.tolist(), [0] * 200, [None] * 200, B._bounds(B.Limits(None, None, span)))
+    assert [r["batch_id"] for r in sorted(got, key=lambda r: r["x"])] == slack
+    assert len(set(slack)) > 1 and abs(max(slack) - max(want)) <= max(want)
 
 
 def test_global_index(spark):

@@ -1,6 +1,7 @@
 """Line bytes per type and version, from the rules of the format."""
 
 import datetime as dt
+import re
 import struct
 from decimal import Decimal
 from fractions import Fraction
@@ -10,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tslines.operators import decode
+from tslines.operators import decode, validate
 from tslines.operators.encode import encode
 from tslines.plans import roles
 from tslines.plans.roles import SERVER_TIME, Instant
@@ -20,9 +21,9 @@ from tslines.sources import tables
 def lines(df, version, **how):
     how.setdefault("table", "m7")
     how.setdefault("at", SERVER_TIME)
-    keep = how.pop("keep", [])
+    keep, strict = how.pop("keep", []), how.pop("strict", True)
     plan = roles.resolve(df.drop(*keep), version=version, **how)
-    rows = encode(df, plan, *keep).collect()
+    rows = encode(df, plan, *keep, strict=strict).collect()
     out = [r["line"].encode() if version == 1 else bytes(r["line"]) for r in rows]
     assert [r["n_bytes"] for r in rows] == [len(x) + 1 for x in out]
     return out
@@ -35,16 +36,60 @@ def f64(v, version):
     return b"=" + {"nan": "NaN", "inf": "Infinity", "-inf": "-Infinity"}.get(text, text).encode()
 
 
+def bare(s):
+    return re.sub(r"([ ,=\n\r\\])", r"\\\1", s).encode()
+
+
+def quoted(s):
+    return b'"' + re.sub(r'(["\n\r\\])', r"\\\1", s).encode() + b'"'
+
+
+#: kind -> (Spark type, draw, bytes after the name)
+KINDS = {
+    "text": ("string", lambda g: draw_text(g), lambda v, _: b"=" + quoted(v)),
+    "flag": ("boolean", lambda g: bool(g.integers(2)), lambda v, _: b"=t" if v else b"=f"),
+    "small": ("int", lambda g: int(g.integers(-2**31, 2**31)), lambda v, _: b"=%di" % v),
+    "large": ("bigint", lambda g: int(g.integers(-2**63, 2**63 - 1)), lambda v, _: b"=%di" % v),
+    "real": ("double", lambda g: float(g.normal() * 10.0 ** g.integers(-9, 9)), lambda v, version: f64(v, version)),
+    "instant": ("timestamp", lambda g: EPOCH + dt.timedelta(microseconds=int(g.integers(2**50))),
+                lambda v, _: b"=%dt" % ((v - EPOCH) // dt.timedelta(microseconds=1))),
+    "nanos": ("bigint", lambda g: int(g.integers(2**60)),
+              lambda v, version: b"=%dt" % (v // 1000) if version == 1 else b"=%dn" % v),
+}
+EPOCH = dt.datetime(1970, 1, 1)
+#: Characters of one to four bytes, and all that is escaped anywhere.
+LETTERS = [chr(c) for c in (0x61, 0x7A, 0xDF, 0x3A9, 0x416, 0x5D0, 0x4E2D, 0xAC00, 0x1D11E, 0x1F41F)]
+SPECIAL = list(' ,=\n\r\\"')
+
+
+def draw_text(g, alphabet=None, least=0):
+    return "".join(g.choice(alphabet or LETTERS + SPECIAL, int(g.integers(least, 9))))
+
+
+@pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("version", [1, 2, 3])
-def test_every_type_on_one_line(spark, version):
-    df = spark.createDataFrame(
-        [("v 1", True, -4, 0.25, 'a"b\\c\nd', dt.datetime(1970, 1, 1, 3), 98765432, None)],
-        "sym string, b boolean, i int, f double, s string, us timestamp, ns bigint, gap string")
-    df = roles.mark(df, "ns", unit="ns")
-    ns = b"98765t" if version == 1 else b"98765432n"
-    assert lines(df, version, symbols=["sym"]) == [
-        b"m7,sym=v\\ 1 b=t,i=-4i,f" + f64(0.25, version)
-        + b',s="a\\"b\\\\c\\\nd",us=10800000000t,ns=' + ns]
+def test_random_layouts_follow_the_rules(spark, version, seed):
+    """Columns of random kinds, names and order; each line is put together from the rules."""
+    g = np.random.default_rng(100 * version + seed)
+    kinds = [str(k) for k in g.permutation(list(KINDS) * 2)[:g.integers(3, 12)]]
+    names = [f"{i}" + draw_text(g, LETTERS + [" ", "="]) + "x" for i in range(len(kinds))]
+    symbol_name = "s" + draw_text(g, LETTERS + [" ", "="])
+    rows = []
+    for i in range(40):
+        cells = [KINDS[k][1](g) if k == "flag" or g.random() < 0.8 else None for k in kinds]
+        rows.append((i, draw_text(g, least=1) if g.random() < 0.7 else None, *cells))
+    schema = ", ".join(["id int", f"`{symbol_name}` string"]
+                       + [f"`{n}` {KINDS[k][0]}" for n, k in zip(names, kinds)])
+    df = spark.createDataFrame(rows, schema).coalesce(1)
+    for n, k in zip(names, kinds):
+        df = roles.mark(df, n, unit="ns") if k == "nanos" else df
+    want = []
+    for _, symbol, *cells in rows:
+        fields = [bare(n) + KINDS[k][2](c, version) for n, k, c in zip(names, kinds, cells) if c is not None]
+        head = b"m7" + (b"," + bare(symbol_name) + b"=" + bare(symbol) if symbol is not None else b"")
+        if fields or symbol is not None:
+            want.append(head + (b" " + b",".join(fields) if fields else b""))
+    assert lines(df, version, symbols=[symbol_name], keep=["id"]) == want
 
 
 @pytest.mark.parametrize("version", [1, 2])
@@ -63,11 +108,12 @@ def test_designated_timestamp(spark, version):
 
 @pytest.mark.parametrize("version", [1, 2])
 def test_floats(spark, version):
-    values = [0.0, -0.0, 1.0, -1.5, 1e7, 9999999.9, 1e-3, 9.99e-4, 1e16, 0.7071067811865476,
-              2.2250738585072014e-308, 1.7976931348623157e308, 5e-324, 0.1 + 0.2, -123456.7890123,
-              2e-3, 1 / 3, float("nan"), float("inf"), float("-inf"), 123456789012345.6]
-    values += np.random.default_rng(1).normal(size=300).tolist()
-    values += (10.0 ** np.random.default_rng(2).uniform(-300, 300, 300)).tolist()
+    """Powers of two and ten with both neighbours, random bit patterns, and what is not a number."""
+    g = np.random.default_rng(7)
+    edges = np.concatenate([2.0 ** np.arange(-1074, 1024, 37), 10.0 ** np.arange(-320, 309, 11)])
+    values = np.concatenate([edges, np.nextafter(edges, 0), np.nextafter(edges, np.inf),
+                             g.integers(0, 2**64, 400, dtype=np.uint64).view(np.float64)])
+    values = np.concatenate([values, -values, [0.0, -0.0, np.nan, np.inf, -np.inf]]).tolist()
     df = spark.createDataFrame([(v,) for v in values], "f double").coalesce(1)
     assert lines(df, version) == [b"m7 f" + f64(v, version) for v in values]
 
@@ -79,14 +125,6 @@ def test_integer_limits(spark):
                             b"m7 a=9223372036854775807i,b=-2147483648i,c=127i"]
 
 
-@pytest.mark.parametrize("version", [1, 2])
-def test_unicode_and_escaped_names(spark, version):
-    df = spark.createDataFrame([("две части", "", "🙂🚀")],
-                               "`größe mit raum` string, leer string, bild string")
-    want = 'm7,größe\\ mit\\ raum=две\\ части leer="",bild="🙂🚀"'.encode()
-    assert lines(df, version, symbols=[0]) == [want]
-
-
 @pytest.mark.parametrize("version", [1, 2])
 def test_rows_with_nothing_to_write_are_left_out(spark, version):
     df = spark.createDataFrame([("a", None), (None, None), (None, 1)], "s string, x int")
@@ -114,10 +152,31 @@ def test_arrays(spark):
     assert got == [b"m7 a" + arr(a) + b",b" + arr(b) + b",c" + arr(c) for a, b, c in rows]
 
 
-def test_ragged_or_null_arrays_are_elided(spark):
+def test_ragged_or_null_arrays_are_refused(spark):
     df = spark.createDataFrame([(1, [[1.0], [2.0, 3.0]]), (2, [[1.0, None]]), (3, None),
                                 (4, [[9.0]])], "x int, m array<array<double>>").coalesce(1)
-    assert lines(df, 2) == [b"m7 x=1i", b"m7 x=2i", b"m7 x=3i", b"m7 x=4i,m" + arr([[9.0]])]
+    assert lines(df, 2, strict=False) == [b"m7 x=3i", b"m7 x=4i,m" + arr([[9.0]])]
+    with pytest.raises(Exception, match="column 'm'"):
+        lines(df, 2)
+
+
+@pytest.mark.parametrize("version", [1, 2])
+@pytest.mark.parametrize("rows, schema, how, column", [
+    ([(1, True), (2, None)], "x int, b boolean", {}, "b"),
+    ([(1, Decimal(2**63 - 1)), (2, Decimal(2**63))], "x int, u decimal(20,0)", {}, "u"),
+    ([(1, "fine"), (2, None)], "x int, r string", dict(table=None, table_col="r"), "r"),
+    ([(1, "fine"), (2, "a/b")], "x int, r string", dict(table=None, table_col="r"), "r"),
+])
+def test_bad_cells_fail_or_are_set_aside(spark, version, rows, schema, how, column):
+    df = spark.createDataFrame(rows, schema)
+    if column == "u":
+        df = roles.mark(df, "u", unsigned=True)
+    with pytest.raises(Exception, match=f"column '{column}'"):
+        lines(df, version, **how)
+    kept = lines(df, version, strict=False, **how)
+    assert len(kept) == 1 and b"x=1i" in kept[0]
+    plan = roles.resolve(df, version=version, at=SERVER_TIME, **{"table": "m7", **how})
+    assert [r["x"] for r in validate.rejects(df, plan, "x").collect()] == [2]
 
 
 def dec(unscaled, scale, width):
@@ -137,9 +196,19 @@ def test_decimals(spark):
 
 
 def test_wide_decimal_text(spark):
-    cases = {"123.45": (12345, 2), "-0.5": (-5, 1), "0": (0, 0), "1E+3": (1000, 0),
-             str(2**255 - 1): (2**255 - 1, 0), str(-2**255): (-2**255, 0),
-             str(2**63): (2**63, 0), "-128": (-128, 0), "1.2300": (12300, 4)}
+    """Numbers at and around every byte length up to 256 bits, at random scales."""
+    g = np.random.default_rng(17)
+    numbers = {0}
+    for k in range(1, 33):
+        edge = 2 ** (8 * k - 1)
+        numbers |= {edge - 1, -edge, int(g.integers(1, 250)) * edge // 251}
+        numbers |= {edge, -edge - 1} if k < 32 else set()
+    cases = {}
+    for n in numbers:
+        places = int(g.integers(0, 77))
+        digits = str(abs(n)).rjust(places + 1, "0")
+        text = digits[:len(digits) - places] + ("." + digits[len(digits) - places:] if places else "")
+        cases["-" * (n < 0) + text] = (n, places)
     df = roles.mark(spark.createDataFrame([(k,) for k in cases], "d string").coalesce(1),
                     "d", decimal_text=True)
     for line, (unscaled, scale) in zip(lines(df, 3), cases.values()):
@@ -147,9 +216,10 @@ def test_wide_decimal_text(spark):
         assert payload[0] == scale and payload[1] == len(payload) - 2 >= 2
         assert int.from_bytes(payload[2:], "big", signed=True) == unscaled
         assert payload[1] == 2 or not -2**(8 * payload[1] - 9) <= unscaled < 2**(8 * payload[1] - 9)
-    bad = roles.mark(spark.createDataFrame([(str(2**255),), ("1.2e-100",), ("NaN",), ("x",)],
-                                           "d string"), "d", decimal_text=True)
-    assert lines(bad.withColumn("n", F.lit(1)), 3) == [b"m7 n=1i"] * 4
+    beyond = [str(2**255), str(-2**255 - 1), "0." + "0" * 76 + "1", "", "7 8"]
+    for values, left in ((beyond, 0), (["Infinity", "-Infinity", "NaN", None], 4)):
+        some = roles.mark(spark.createDataFrame([(v,) for v in values], "d string"), "d", decimal_text=True)
+        assert lines(some.withColumn("n", F.lit(1)), 3, strict=False) == [b"m7 n=1i"] * left
 
 
 def test_random_rows_come_back(spark):
@@ -201,9 +271,10 @@ def test_pandas_frames(spark):
     pdf["o"] = pd.Series([1.0, None, float("nan")], dtype=object)
     pdf.index.name = "named"
     df = tables.from_pandas(spark, pdf)
-    got = lines(df, 1, table=None, at="t")
+    with pytest.raises(Exception, match="column 'u'"):
+        lines(df, 1, table=None, at="t")
+    got = lines(df, 1, table=None, at="t", strict=False)
     assert got == [b"named,cat=a f=1.5,n=1i,u=1i,o=1.0 1704067200000000000",
-                   b"named,cat=b f=NaN",
                    b"named f=Infinity,n=3i,u=3i,o=NaN 1704153600000000000"]
     with pytest.raises(TypeError):
         tables.from_pandas(spark, pd.DataFrame({"c": pd.Series([1, 2], dtype="category")}))

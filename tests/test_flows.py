@@ -72,13 +72,30 @@ def test_flow_commits_every_micro_batch_once(spark, parts):
     assert out.agg(F.sum("n_rows")).first()[0] == 600
     text = b"".join(bytes(r["payload"]) for r in out.collect()).decode().splitlines()
     assert sorted(text) == sorted(f"t id={i}i" for i in range(600))
-    # a replayed commit replaces itself
+    # a complete commit is not written again
     again = payloads.payloads(as_lines(spark.read.parquet(parts).filter("id < 100")), "k",
                               order=["id"])
     payloads.write(again, f"{root}/out", 0)
     assert payloads.read(spark, f"{root}/out").agg(F.sum("n_rows")).first()[0] == 600
 
 
+def test_commits_are_all_or_nothing(spark):
+    root = session.scratch(spark, "commits")
+    good = spark.range(10).select("id", F.lit(1).alias("n_rows"))
+    failing = spark.range(10).select("id", F.when(F.col("id") < 9, 1).otherwise(
+        F.raise_error("no more")).cast("int").alias("n_rows"))
+    with pytest.raises(Exception, match="no more"):
+        payloads.write(failing, root, 0)
+    assert not session.exists(spark, f"{root}/commit=0")
+    payloads.write(good, root, 0)
+    with pytest.raises(Exception, match="no more"):
+        payloads.write(failing, root, 1)
+    payloads.write(failing, root, 0)  # complete already, so it is skipped
+    payloads.write(good.limit(3), root, 1)
+    rows = payloads.read(spark, root).groupBy("commit").count().collect()
+    assert {r["commit"]: r["count"] for r in rows} == {0: 10, 1: 3}
+
+
 def test_payload_order_and_limit(spark):
     df = spark.range(0, 5000, 1, 7).withColumns({
         "batch_id": F.call_function("div", F.col("id"), F.lit(900)),
@@ -96,7 +113,7 @@ def test_payload_order_and_limit(spark):
 def test_text_files_keep_lines_with_line_ends_apart(spark):
     path = session.scratch(spark, "text")
     df = spark.createDataFrame([("t x=1i",), ('t x="a\\\nb"',)], "line string")
-    left = payloads.write_text(df, path)
+    [left] = payloads.fan_out(df, [lambda rows: payloads.write_text(rows, path)])
     assert [r["line"] for r in left.collect()] == ['t x="a\\\nb"']
     assert [r["line"] for r in payloads.text_files(spark, path).collect()] == ["t x=1i"]
 

@@ -1,11 +1,13 @@
 """Bursts, sessions, slots, symbols and landing against small loops, with a dominant key."""
 
+import datetime as dt
 import heapq
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tslines.operators import bursts, land, symbols
 
@@ -51,18 +53,38 @@ def test_counts_and_alerts(spark):
         assert {(r["k"], r["t"], r["n_events"], r["n_recent"]) for r in got} == alerts
 
 
-@pytest.mark.parametrize("times, alerts", [
-    # three within five seconds alert; then quiet for a minute; both window ends count
-    ([0, 150, 310, 420], [310]),
-    ([0, 150, 310, 420, 60_420, 60_500, 60_900], [310, 60_900]),
-    ([0, 2500, 5000], [5000]), ([0, 2500, 5001], []),
-    ([0, 1, 2, 60_000, 60_001, 60_002, 60_003], [2, 60_003]),
-    ([0, 70, 5080, 5100, 10_200, 10_250], []),
-])
-def test_alert_examples(spark, times, alerts):
-    df = spark.createDataFrame([("a", t * 1000) for t in times], "k string, t bigint")
-    got = bursts.alerts(df, ["k"], "t", 5 * S, 3, 60 * S).collect()
-    assert sorted(r["t"] // 1000 for r in got) == alerts
+@pytest.mark.parametrize("seed", range(5))
+def test_alerts_on_random_lines(spark, seed):
+    """Dense and idle stretches, with steps that often hit the window's or the pause's end exactly."""
+    rng = np.random.default_rng(seed)
+    window, threshold, quiet = int(rng.integers(3, 9)), int(rng.integers(2, 5)), int(rng.integers(10, 30))
+    steps = rng.choice([0, 1, window - 1, window, window + 1, quiet, quiet + 1], 400,
+                       p=[.2, .3, .15, .15, .1, .05, .05])
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, 400), "t": np.cumsum(steps)})
+    want = loop_alerts(loop_counts(pdf, window), threshold, quiet)
+    df = spark.createDataFrame(pdf)
+    for plan in ({}, dict(spread_above=0, partitions=4)):
+        got = bursts.alerts(df, ["k"], "t", window, threshold, quiet, **plan).collect()
+        assert {(r["k"], r["t"], r["n_events"], r["n_recent"]) for r in got} == want
+
+
+def test_both_plans_keep_null_keys_and_positions(spark):
+    rng = np.random.default_rng(31)
+    rows = [(i, None if rng.random() < .3 else int(rng.integers(3)),
+             None if rng.random() < .2 else int(rng.integers(200)), int(rng.integers(200)),
+             None if rng.random() < .2 else int(rng.integers(200, 260))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, k int, t bigint, v bigint, e bigint").repartition(5)
+    timed = df.filter("t is not null")
+    pick = lambda out: sorted(map(str, out.collect()))
+    for make in (
+            lambda above: land.lateness(df, ["k"], "v", "t", width=16, spread_above=above),
+            lambda above: bursts.sessions(timed, ["k"], "t", 2, slice_us=16, spread_above=above),
+            lambda above: bursts.concurrency(df, ["k"], "t", "e", 16, spread_above=above),
+            lambda above: bursts.slots(df, ["k"], "t", "e", "id", slice_us=16, spread_above=above,
+                                       **({} if above else dict(partitions=4)))):
+        assert pick(make(0)) == pick(make(10**9))
+    assert land.lateness(df, ["k"], "v", "t", width=16, spread_above=0).count() == 300
+    assert bursts.slots(df, ["k"], "t", "e", "id", spread_above=0, partitions=4).count() == 300
 
 
 def loop_sessions(pdf, gap):
@@ -151,13 +173,49 @@ def test_code_width(spark, n, bits):
     assert spark.range(1).select(symbols.code_width(F.lit(n))).first()[0] == bits
 
 
-def test_dedup_keeps_the_last_arrival(spark):
-    rows = [("a", 1, i, i * 10) for i in range(200)] + [("a", None, 7, 1), ("a", None, 8, 1),
-                                                        ("b", 1, 0, 5)]
+@pytest.mark.parametrize("keep", ["last", "first"])
+def test_dedup_by_arrival(spark, keep):
+    """Unknown instants stay; a known arrival is later than an unknown one; ties are determined."""
+    rng = np.random.default_rng(6)
+    rows = [(str(rng.integers(4)), None if rng.random() < .2 else int(rng.integers(5)),
+             None if rng.random() < .3 else int(rng.integers(1000)), i) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, at bigint, arrival int, v int")
-    got = sorted(map(tuple, land.dedup(df, ["k"], "at", "arrival").collect()), key=str)
-    assert got == sorted([("a", 1, 199, 1990), ("a", None, 7, 1), ("a", None, 8, 1),
-                          ("b", 1, 0, 5)], key=str)
+    got = [tuple(r) for r in land.dedup(df, ["k"], "at", "arrival", keep).collect()]
+    best = {}
+    for r in rows:
+        if r[1] is not None:
+            best.setdefault(r[:2], []).append(r)
+    order = max if keep == "last" else min
+    known = sorted(r for r in got if r[1] is not None)
+    assert sorted(r[:2] for r in known) == sorted(best)
+    for r in known:
+        rank = lambda x: (x[2] is not None, x[2] or 0)
+        assert rank(r) == rank(order(best[r[:2]], key=rank)) and r in best[r[:2]]
+    assert sorted((r for r in got if r[1] is None), key=str) == sorted((r for r in rows if r[1] is None), key=str)
+    again = land.dedup(df.repartition(7), ["k"], "at", "arrival", keep).collect()
+    assert sorted(map(str, again)) == sorted(map(str, (land.dedup(df, ["k"], "at", "arrival", keep).collect())))
+
+
+def test_conform_keeps_only_what_comes_back(spark):
+    rows = [(0.1, 2**53 + 1, 1.25, "2020-05-01 00:00:00"), (0.5, 2**53, 1.5, "2020-05-01 00:00:01"),
+            (float("nan"), None, None, None)]
+    df = spark.createDataFrame(rows, "a double, b bigint, c double, d string").withColumn("d", F.col("d").cast("timestamp"))
+    to = T.StructType.fromDDL("a float, b double, c decimal(5,1), d date")
+    bad = sorted(r["column"] for r in land.conform_rejects(df, to).collect())
+    assert bad == ["a", "b", "c", "d"] and land.conform(df, to).count() == 1
+
+
+def test_second_load_adds_and_keeps_columns(spark, tmp_path):
+    root = f"{tmp_path}/landed"
+    base = "tbl string, at timestamp, x int"
+    when = dt.datetime(2024, 5, 1, 12)
+    assert land.land(spark.createDataFrame([("a", when, 1)], base), root).count() == 0
+    more = spark.createDataFrame([("a", when, 2.0, "new"), ("b", None, 2.5, "lost")],
+                                 "tbl string, at timestamp, x double, y string")
+    assert [r["value"] for r in land.land(more, root).collect()] == ["2.5"]
+    back = land.landed(spark, root)
+    assert dict(back.dtypes)["x"] == "int"
+    assert sorted(map(tuple, back.select("x", "y").collect())) == [(1, None), (2, "new")]
 
 
 def test_sort_is_global(spark):

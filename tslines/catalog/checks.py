@@ -120,6 +120,25 @@ WHERE l_quantity > 4 AND l_tax <> 0.08 AND TRY_CAST(
   IS NOT NULL"""
 
 
+def lines_and_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Lenient encoding: each row becomes a line or is a reject, never both or neither."""
+    df, plan = _faulty(spark, sf)
+    keys = ("l_orderkey", "l_linenumber", "l_partkey")
+    lines = encode(df, plan, *keys, strict=False).filter("line is not null and tbl is not null")
+    bad = validate.rejects(df, plan, *keys).select(*keys).distinct()
+    return lines.select(*keys, F.lit("line").alias("what")).unionByName(
+        bad.withColumn("what", F.lit("reject")))
+
+
+LINES_AND_REJECTS = f"""
+WITH ok AS ({CLEAN_ROWS}), f AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+  WHERE NOT coalesce(l_quantity > 4 AND l_tax <> 0.08 AND TRY_CAST(
+    CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) || '000000000000' AS BIGINT)
+    IS NOT NULL, false))
+SELECT l_orderkey, l_linenumber, l_partkey, 'line' AS what FROM ok
+UNION ALL SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, 'reject' FROM f"""
+
+
 def first_error(spark: SparkSession, sf: str) -> DataFrame:
     df, plan = _faulty(spark, sf)
     out = validate.first_error(df, plan, "l_orderkey", "l_linenumber", "l_partkey")
@@ -170,7 +189,8 @@ WITH c AS (
 k AS (SELECT event_id, "column", {_KIND} AS kind FROM c),
 f AS (SELECT "column", arg_min(kind, event_id) FILTER (kind IS NOT NULL) AS kind FROM k GROUP BY 1)
 SELECT f."column", coalesce(f.kind, 'skip') AS kind,
-  count(*) FILTER (k.kind = f.kind) AS n_agree, count(*) FILTER (k.kind <> f.kind) AS n_disagree,
+  count(*) FILTER (k.kind = f.kind OR (f.kind = 'string' AND k.kind IS NOT NULL)) AS n_agree,
+  count(*) FILTER (k.kind <> f.kind AND f.kind <> 'string') AS n_disagree,
   count(*) FILTER (k.kind IS NULL) AS n_null
 FROM k JOIN f ON k."column" = f."column" GROUP BY f."column", f.kind"""
 
@@ -178,7 +198,7 @@ FROM k JOIN f ON k."column" = f."column" GROUP BY f."column", f.kind"""
 def _loose(spark, sf):
     k = F.get_json_object("props", "$.k")
     return table(spark, sf, "events").select(
-        "event_id", k.alias("k"), F.when(F.col("value") > 95, "high").otherwise(
+        "event_id", k.alias("k"), F.when((F.col("value") > 95) & (F.col("event_id") > 0), "high").otherwise(
             F.col("value").cast("string")).alias("value"), F.lit(None).cast("string").alias("none"))
 
 
@@ -189,7 +209,7 @@ def typed_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 TYPED_ROWS = """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value FROM events
-WHERE value <= 95"""
+WHERE value <= 95 OR event_id = 0"""
 
 
 def typed_rejects(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,7 +218,7 @@ def typed_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 TYPED_REJECTS = """
 SELECT event_id, 'value' AS "column", 'float' AS expected, 'high' AS value FROM events
-WHERE value > 95"""
+WHERE value > 95 AND event_id > 0"""
 
 
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,6 +300,6 @@ SELECT event_id, CASE WHEN event_type = 'error' AND value <= 50 THEN 'all_null_r
 
 
 QUERIES = {f.__name__: f for f in (
-    name_check, bool_strict_rejects, rejects, clean_rows, first_error, strict_load, sniff_types,
+    name_check, bool_strict_rejects, rejects, clean_rows, lines_and_rejects, first_error, strict_load, sniff_types,
     typed_rows, typed_rejects, null_profile, version_loss, utf8_check, all_null_rows)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}

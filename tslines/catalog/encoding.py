@@ -69,14 +69,19 @@ SELECT doc_id, 'docs' AS tbl, line, CAST(strlen(line) + 1 AS BIGINT) AS n_bytes
     || ',n_chars=' || n_chars || 'i' AS line FROM documents)"""
 
 
+#: `=`, the type tag and the eight bytes of a double, lowest first, as hexadecimal text.
+DOUBLE_HEX = """('3D10' || list_aggregate(list_transform([15,13,11,9,7,5,3,1],
+    lambda i: substr(hex(CAST(CAST({0} AS DOUBLE) AS BIT)::BLOB), i, 2)), 'string_agg', ''))"""
+
+
 def encode_v2_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """Binary doubles: the text around them and the size of each line."""
+    """Binary doubles: every byte of each line."""
     df = table(spark, sf, "lineitem")
     plan = roles.resolve(df, table="lineitem", symbols=["l_returnflag", "l_linestatus"],
                          at="l_shipdate", version=2)
     lines = encode(df, plan, "l_orderkey", "l_linenumber", "l_partkey")
     return lines.select("l_orderkey", "l_linenumber", "l_partkey", "n_bytes",
-                        F.hex(F.substring("line", 1, 12)).alias("head_hex"))
+                        F.hex("line").alias("line_hex"))
 
 
 ENCODE_V2_LINEITEM = """
@@ -85,29 +90,37 @@ SELECT l_orderkey, l_linenumber, l_partkey,
     || ' l_orderkey=' || l_orderkey || 'i,l_partkey=' || l_partkey || 'i,l_suppkey=' || l_suppkey
     || 'i,l_linenumber=' || l_linenumber || 'i,l_quantity===,l_extendedprice===,l_discount==='
     || ',l_tax=== ' || epoch_us(l_shipdate) || 't') + 4 * 8 + 1 AS BIGINT) AS n_bytes,
-  hex('lineitem,l_r') AS head_hex
-FROM lineitem"""
+  hex('lineitem,l_returnflag=' || l_returnflag || ',l_linestatus=' || l_linestatus || ' l_orderkey='
+    || l_orderkey || 'i,l_partkey=' || l_partkey || 'i,l_suppkey=' || l_suppkey || 'i,l_linenumber='
+    || l_linenumber || 'i,l_quantity=') || {quantity} || hex(',l_extendedprice=') || {price}
+    || hex(',l_discount=') || {discount} || hex(',l_tax=') || {tax}
+    || hex(' ' || epoch_us(l_shipdate) || 't') AS line_hex
+FROM lineitem""".format(**{n: DOUBLE_HEX.format(c) for n, c in (
+    ("quantity", "l_quantity"), ("price", "l_extendedprice"), ("discount", "l_discount"),
+    ("tax", "l_tax"))})
 
 
 def encode_v3_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """Decimal payloads of 4, 8 and 16 bytes as hexadecimal text."""
+    """Lines with decimals of 4, 8 and 16 bytes, as hexadecimal text."""
     df = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
         F.col("l_tax").cast("decimal(7,2)").alias("a"),
         F.col("l_extendedprice").cast("decimal(14,4)").alias("b"),
         (-F.col("l_extendedprice")).cast("decimal(38,6)").alias("c"))
-    cells = [F.lower(F.hex(numbers.decimal_bytes(F.col(n), p, s))).alias(n)
-             for n, p, s in (("a", 7, 2), ("b", 14, 4), ("c", 38, 6))]
-    return df.select("l_orderkey", "l_linenumber", *cells)
+    plan = roles.resolve(df, table="l", at=roles.SERVER_TIME, version=3)
+    lines = encode(df, plan, "l_orderkey", "l_linenumber")
+    return lines.select("l_orderkey", "l_linenumber", F.lower(F.hex("line")).alias("line_hex"))
 
 
 ENCODE_V3_LINEITEM = """
 SELECT l_orderkey, l_linenumber,
-  printf('%08x', CAST(CAST(l_tax AS DECIMAL(7,2)) * 100 AS BIGINT)) AS a,
-  printf('%016x', CAST(CAST(l_extendedprice AS DECIMAL(14,4)) * 10000 AS BIGINT)) AS b,
-  'ffffffffffffffff' || printf('%016x',
+  lower(hex('l l_orderkey=' || l_orderkey || 'i,l_linenumber=' || l_linenumber || 'i,a=')) || '3d170204'
+  || printf('%08x', CAST(CAST(l_tax AS DECIMAL(7,2)) * 100 AS BIGINT))
+  || lower(hex(',b=')) || '3d170408'
+  || printf('%016x', CAST(CAST(l_extendedprice AS DECIMAL(14,4)) * 10000 AS BIGINT))
+  || lower(hex(',c=')) || '3d170610' || 'ffffffffffffffff' || printf('%016x',
     CAST(18446744073709551616 - CAST(CAST(l_extendedprice AS DECIMAL(38,6)) * 1000000 AS HUGEINT)
-    AS UBIGINT)) AS c
+    AS UBIGINT)) AS line_hex
 FROM lineitem"""
 
 
@@ -233,14 +246,12 @@ def array_shape(spark: SparkSession, sf: str) -> DataFrame:
         "vec_id", F.size(decode.field("m", "dims")).alias("rank"),
         F.get(decode.field("m", "dims"), F.lit(0)).alias("n_rows"),
         F.get(decode.field("m", "dims"), F.lit(1)).alias("n_cols"),
-        F.get(m, F.lit(0)).alias("first"), F.get(m, F.lit(33)).alias("v33"),
-        F.round(F.aggregate(m, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+        F.posexplode(m).alias("cell", "value"))
 
 
 ARRAY_SHAPE = """
-SELECT vec_id, 2 AS rank, 2 AS n_rows, 32 AS n_cols, CAST(embedding[1] AS DOUBLE) AS first,
-  CAST(embedding[34] AS DOUBLE) AS v33,
-  round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total
+SELECT vec_id, 2 AS rank, 2 AS n_rows, 32 AS n_cols, CAST(unnest(range(64)) AS INTEGER) AS cell,
+  CAST(unnest(embedding) AS DOUBLE) AS value
 FROM embeddings"""
 
 
@@ -362,15 +373,19 @@ FROM events"""
 
 
 def decode_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines torn apart are told from whole ones: page text taken as lines."""
-    lines = table(spark, sf, "pages").select("page_id", F.concat(
-        F.lit("page,url="), F.col("url"), F.lit(" n="), F.length("html").cast("string"),
-        F.lit("i")).alias("line"))
-    return decode.text_lines(lines, "page_id").select("page_id", "ok")
+    """Lines torn apart are told from whole ones: page text, cut at its line ends."""
+    pages = table(spark, sf, "pages").select("page_id", F.concat(
+        F.lit("page n="), F.length("html").cast("string"), F.lit('i,html="'), F.col("html"),
+        F.lit('"')).alias("whole"))
+    lines = pages.select("page_id", F.posexplode(F.split("whole", "\n")).alias("part", "line"))
+    return decode.text_lines(lines, "page_id", "part").select("page_id", "part", "ok")
 
 
 DECODE_REJECTS = r"""
-SELECT page_id, NOT regexp_matches(url, '[ ,]') AS ok FROM pages"""
+WITH w AS (SELECT page_id, string_split('page n=' || length(html) || 'i,html="' || html || '"', chr(10))
+  AS parts FROM pages)
+SELECT page_id, CAST(unnest(range(len(parts))) AS INTEGER) AS part, regexp_full_match(unnest(parts),
+  '([^ ,=\\]|\\.)+ n=[0-9]+i,html="([^"\\]|\\.)*"') AS ok FROM w"""
 
 
 QUERIES = {f.__name__: f for f in (

@@ -148,10 +148,12 @@ EVENT_SESSIONS = f"WITH {_SESSIONS} SELECT user_id, start_us, end_us, n_events F
 
 def event_sessions_spread(spark: SparkSession, sf: str) -> DataFrame:
     """The plan for keys that are too large for one task."""
-    return bursts.sessions(_events(spark, sf), ["user_id"], "t", GAP_US, spread_above=0)
+    ev = _events(spark, sf).withColumn("user_id", F.nullif("user_id", F.lit(7)))
+    return bursts.sessions(ev, ["user_id"], "t", GAP_US, spread_above=0)
 
 
-EVENT_SESSIONS_SPREAD = EVENT_SESSIONS
+EVENT_SESSIONS_SPREAD = EVENT_SESSIONS.replace(
+    "SELECT user_id, epoch_us(ts)", "SELECT nullif(user_id, 7) AS user_id, epoch_us(ts)")
 
 
 def _daily(spark, sf):
@@ -173,10 +175,13 @@ SELECT day, at_us, CAST(sum(d) OVER (PARTITION BY day ORDER BY at_us) AS BIGINT)
 
 def session_concurrency_spread(spark: SparkSession, sf: str) -> DataFrame:
     """The plan for groups that are too large for one task."""
-    return bursts.concurrency(_daily(spark, sf), ["day"], "start_us", "end_us", spread_above=0)
+    some = F.when(F.col("day") % 3 != 0, F.col("day"))
+    return bursts.concurrency(_daily(spark, sf).withColumn("day", some), ["day"], "start_us",
+                              "end_us", spread_above=0)
 
 
-SESSION_CONCURRENCY_SPREAD = SESSION_CONCURRENCY
+SESSION_CONCURRENCY_SPREAD = SESSION_CONCURRENCY.replace(
+    f"start_us // {DAY_US}", f"CASE WHEN start_us // {DAY_US} % 3 <> 0 THEN start_us // {DAY_US} END")
 
 
 def slot_assign(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,11 +19,11 @@ def _events(spark, sf):
 
 
 def land_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Clicks are sent twice, errors carry no instant."""
+    """Clicks are sent twice, errors carry no instant, and some arrivals are unknown."""
     ev = _events(spark, sf).select(
         "event_id", "user_id", "value",
         F.when(F.col("event_type") != "error", F.col("at_us")).alias("at_us"),
-        F.lit(1).alias("arrival"), "event_type")
+        F.when(F.col("user_id") != 7, 1).alias("arrival"), "event_type")
     again = ev.filter(F.col("event_type").isin("click", "error")).withColumns(
         {"arrival": F.lit(2), "value": F.col("value") + 1})
     both = ev.unionByName(again).drop("event_type")
@@ -32,10 +32,10 @@ def land_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 LAND_DEDUP = """
 WITH e AS (SELECT event_id, user_id, value, CASE WHEN event_type <> 'error' THEN epoch_us(ts) END
-    AS at_us, 1 AS arrival, event_type FROM events),
+    AS at_us, CASE WHEN user_id <> 7 THEN 1 END AS arrival, event_type FROM events),
 b AS (SELECT * FROM e UNION ALL SELECT event_id, user_id, value + 1, at_us, 2, event_type FROM e
   WHERE event_type IN ('click', 'error')),
-n AS (SELECT *, row_number() OVER (PARTITION BY event_id, user_id, at_us ORDER BY arrival DESC)
+n AS (SELECT *, row_number() OVER (PARTITION BY event_id, user_id, at_us ORDER BY arrival DESC NULLS LAST)
   AS rn FROM b)
 SELECT event_id, user_id, value, at_us, arrival FROM n WHERE at_us IS NULL OR rn = 1"""
 
@@ -57,12 +57,23 @@ SELECT event_id, event_type, at_us, arrival, greatest(coalesce(max(at_us) OVER (
 
 def land_lateness_spread(spark: SparkSession, sf: str) -> DataFrame:
     """The plan for keys that are too large for one task."""
-    ev = _events(spark, sf).select("event_id", "event_type", "at_us", (
-        F.col("event_id") + F.col("user_id") * 3).alias("arrival"))
+    ev = _events(spark, sf).select(
+        "event_id", F.nullif("event_type", F.lit("error")).alias("event_type"), "at_us",
+        F.when(F.col("user_id") != 7, F.col("event_id") + F.col("user_id") * 3).alias("arrival"))
     return land.lateness(ev, ["event_type"], "at_us", "arrival", width=512, spread_above=0)
 
 
-LAND_LATENESS_SPREAD = LAND_LATENESS
+# rows without an arrival come first and are peers of each other
+LAND_LATENESS_SPREAD = """
+WITH e AS (SELECT event_id, nullif(event_type, 'error') AS event_type, epoch_us(ts) AS at_us,
+  CASE WHEN user_id <> 7 THEN event_id + user_id * 3 END AS arrival FROM events),
+p AS (SELECT event_type, arrival, max(at_us) AS top FROM e GROUP BY 1, 2),
+n AS (SELECT *, CASE WHEN arrival IS NULL THEN top ELSE max(top) OVER (PARTITION BY event_type
+  ORDER BY arrival NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS newest FROM p)
+SELECT e.event_id, e.event_type, e.at_us, e.arrival,
+  greatest(coalesce(n.newest - e.at_us, 0), 0) AS late_us
+FROM e JOIN n ON e.event_type IS NOT DISTINCT FROM n.event_type
+  AND e.arrival IS NOT DISTINCT FROM n.arrival"""
 
 
 def land_time_order(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,6 +103,31 @@ LAND_DAY_COUNTS = """
 SELECT event_type AS tbl, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_rows,
   min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us FROM events GROUP BY 1, 2"""
 
+
+
+def land_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """A second load brings a new column and a wider type; lost values are rejects."""
+    root = session.scratch(session.configure(spark), "landed")
+    ev = table(spark, sf, "events").select(
+        F.col("event_type").alias("tbl"), F.col("ts").cast("timestamp").alias("at"), "event_id",
+        F.col("user_id").cast("int").alias("user_id"), "value")
+    land.land(ev.filter("event_id % 2 = 0").drop("value"), root)
+    later = ev.filter("event_id % 2 = 1").withColumn("user_id", F.when(
+        F.col("user_id") == 7, F.lit(1.5)).otherwise(F.col("user_id").cast("double")))
+    bad = land.land(later, root).select(
+        F.lit("reject").alias("what"), F.lit(None).cast("bigint").alias("event_id"),
+        F.lit(None).cast("int").alias("user_id"), F.col("value").cast("double").alias("value"))
+    return land.landed(spark, root).select(
+        F.lit("row").alias("what"), "event_id", "user_id", "value").unionByName(bad)
+
+
+LAND_TWICE = """
+SELECT CASE WHEN event_id % 2 = 1 AND user_id = 7 THEN 'reject' ELSE 'row' END AS what,
+  CASE WHEN event_id % 2 = 0 OR user_id <> 7 THEN event_id END AS event_id,
+  CASE WHEN event_id % 2 = 0 OR user_id <> 7 THEN CAST(user_id AS INTEGER) END AS user_id,
+  CASE WHEN event_id % 2 = 1 AND user_id = 7 THEN 1.5 WHEN event_id % 2 = 1 THEN value END AS value
+FROM events"""
+
 _TARGET = T.StructType([
     T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.LongType()),
     T.StructField("l_quantity", T.LongType()), T.StructField("price", T.DecimalType(8, 3)),
@@ -204,6 +240,6 @@ SELECT event_type AS tbl, count(*) AS n_rows, min(epoch_us(ts)) AS first_us,
 
 
 QUERIES = {f.__name__: f for f in (
-    land_dedup, land_lateness, land_lateness_spread, land_time_order, land_day_counts, conform_types, conform_rejects,
+    land_dedup, land_lateness, land_lateness_spread, land_time_order, land_day_counts, land_twice, conform_types, conform_rejects,
     add_columns, table_catalogue, arrival_stamp, route_stats)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}

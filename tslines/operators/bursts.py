@@ -60,6 +60,8 @@ def alerts(df: DataFrame, keys: list[str], ts: str, window_us: int = DEFAULT_WIN
     After an alert the next one needs `now - last > quiet_us`: the same chain
     as batches cut by elapsed time, so it runs on the batch plans.
     """
+    # the rows themselves bound the load, so the windows are not made twice
+    plan.setdefault("load", measure(df, keys))
     busy = counts(df, keys, ts, window_us).filter(F.col("n_recent") >= threshold)
     flagged = cut(busy, (NEVER, NEVER, quiet_us + 1), order=[ts], keys=keys, time=ts,
                   flags=True, **plan)
@@ -161,14 +163,18 @@ def slots(df: DataFrame, keys: list[str], start: str, end: str, *order: str,
     run at once from a guessed set of open sessions, and those whose guess
     differs from what the partition before them really leaves are run again
     until none differs. Each round settles at least one more partition.
+    A row without a start has no slot; one without an end never frees its own.
     """
     spark, columns = df.sparkSession, df.columns
     out = T.StructType(df.schema.fields + [T.StructField("slot", T.LongType())])
-    work = df.withColumns({"_start": F.col(start), "_end": F.col(end)})
+    never = F.lit(2**63 - 1)
+    work = df.filter(F.col(start).isNotNull()).withColumns(
+        {"_start": F.col(start), "_end": F.coalesce(F.col(end), never)})
+    absent = df.filter(F.col(start).isNull()).withColumn("slot", F.lit(None).cast("bigint"))
     load = measure(df, keys)
     if not load.spread(keys, spread_above):
         near = work.repartition(*keys).sortWithinPartitions(*keys, "_start", *order)
-        return near.mapInArrow(_slot_pass(keys, None, columns, False), out)
+        return near.mapInArrow(_slot_pass(keys, None, columns, False), out).unionByName(absent)
 
     plan = dict(width=slice_us, load=load, spread_above=spread_above)
     line = running(work, keys, "_start", F.col("_end"), "max", "_busy_until", exclusive=True,
@@ -181,7 +187,7 @@ def slots(df: DataFrame, keys: list[str], start: str, end: str, *order: str,
     sizes = line.groupBy(*period).count().agg(F.max("count"), F.sum("count")).first()
     if (sizes[0] or 0) <= spread_above:
         near = line.repartition(*period).sortWithinPartitions(*period, "_start", *order)
-        return near.mapInArrow(_slot_pass(period, None, columns, False), out)
+        return near.mapInArrow(_slot_pass(period, None, columns, False), out).unionByName(absent)
 
     width = partitions or partitions_for(sizes[1], spark)
     ranged = range_sorted(line, period, ["_start", *order], width)
@@ -200,5 +206,6 @@ def slots(df: DataFrame, keys: list[str], start: str, end: str, *order: str,
                 wanted[here] = ends[before][2]
         pending = [p for p in pids if wanted.get(p, []) != entry.get(p, [])]
         if not pending:
-            return ranged.mapInArrow(_slot_pass(period, entry, columns, False), out)
+            done = ranged.mapInArrow(_slot_pass(period, entry, columns, False), out)
+            return done.unionByName(absent)
         entry = wanted

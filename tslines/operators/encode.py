@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tslines.functions import binary, numbers, text, times
+from tslines.operators import validate
 from tslines.plans.roles import Cell, Roles
 
 
@@ -70,14 +71,22 @@ def _present(cells) -> Column:
     return reduce(lambda a, b: a | b, [c.col.isNotNull() for c in cells], F.lit(False))
 
 
-def encode(df: DataFrame, roles: Roles, *keep: str, exact_floats: bool = True) -> DataFrame:
+def encode(df: DataFrame, roles: Roles, *keep: str, exact_floats: bool = True,
+           strict: bool = True) -> DataFrame:
     """`keep` columns, `tbl`, `line` and `n_bytes` (with the line end).
 
     `line` is text for version 1 and binary above. Rows with nothing to write
     are left out, as a single-row append does; `validate.rejects` reports them.
     `exact_floats=False` keeps version 1 free of Python: floats are then the
     JVM's text, which names the same double but may not be the shortest one.
+
+    A cell or name that `validate.rejects` lists fails the job with its column
+    and value. With `strict=False` such rows are left out instead, so that the
+    lines are those of the rows that `rejects` does not list.
     """
+    broken = validate.broken_cell(roles)
+    if broken and not strict:
+        df = df.filter(~broken[0])
     df, jvm = df.filter(_present(roles.cells)), {}
     if roles.version == 1 and exact_floats:
         # the text is needed three times; as a column it is made once
@@ -115,6 +124,9 @@ def encode(df: DataFrame, roles: Roles, *keep: str, exact_floats: bool = True) -
         body = F.concat(F.lit(b" "), F.substring(F.concat(*parts), 2, 2**31 - 1))
         body = F.when(_present(roles.fields), body).otherwise(F.lit(b""))
         line = F.concat(head.cast("binary"), body, tail.cast("binary"))
+    if broken and strict:
+        line = F.when(broken[0], F.raise_error(broken[1]).cast(
+            "string" if roles.version == 1 else "binary")).otherwise(line)
     return (
         df.select(*keep, roles.table_col().alias("tbl"), line.alias("line"))
         .withColumn("n_bytes", F.octet_length("line").cast("bigint") + 1)

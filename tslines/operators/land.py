@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tslines import session
 from tslines.functions import times
 from tslines.operators.ordered import running
 from tslines.plans.roles import Roles
 
 
-def dedup(df: DataFrame, keys: list[str], at: str, arrival: str) -> DataFrame:
+def dedup(df: DataFrame, keys: list[str], at: str, arrival: str, keep: str = "last") -> DataFrame:
     """Re-sent rows collapse to the last arrival; rows without `at` never do.
 
     An aggregate instead of a window: copies of a row shrink map-side, so a
-    row with very many copies does not gather in one task.
+    row with very many copies does not gather in one task. A known arrival
+    counts as later than a NULL one, and ties go to the larger hash of the
+    row. `keep="first"` is what `streaming.flows.dedup` does, which cannot wait
+    for the last.
     """
     rest = [c for c in df.columns if c not in (*keys, at)]
+    hashed = [c for c in rest if not isinstance(df.schema[c].dataType, T.MapType)]
+    rank = F.struct(F.col(arrival).isNotNull(), F.col(arrival), F.xxhash64(*hashed))
+    choose = {"last": F.max_by, "first": F.min_by}[keep]
     known = (df.filter(F.col(at).isNotNull())
              .groupBy(*keys, at)
-             .agg(F.max_by(F.struct(*rest), F.col(arrival)).alias("_r"))
+             .agg(choose(F.struct(*rest), rank).alias("_r"))
              .select(*keys, at, "_r.*"))
     return known.select(*df.columns).unionByName(df.filter(F.col(at).isNull()))
 
@@ -67,13 +75,11 @@ def _fits(c: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Co
         out = F.when(c == F.floor(c), c).try_cast(target.simpleString())
     else:
         out = c.try_cast(target.simpleString())
-    lost = c.isNotNull() & out.isNull()
-    if isinstance(source, T.DecimalType) and isinstance(target, T.DecimalType) and (
-            target.scale < source.scale):
-        # fewer places: only values that keep all their digits fit
-        same = out.cast(source.simpleString()) == c
-        out, lost = F.when(same, out), c.isNotNull() & ~F.coalesce(same, F.lit(False))
-    return out, lost
+    if isinstance(source, T.StringType) or isinstance(target, T.StringType):
+        return out, c.isNotNull() & out.isNull()
+    # only values that come back unchanged have lost nothing
+    same = F.coalesce(out.try_cast(source.simpleString()) == c, F.lit(False))
+    return F.when(same, out), c.isNotNull() & ~same
 
 
 def _conversions(df: DataFrame, target: T.StructType):
@@ -150,17 +156,46 @@ def catalogue(rows: DataFrame) -> DataFrame:
     return cols.withColumn("position", F.row_number().over(order)).drop("role_pos")
 
 
+def landed_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    """The columns that rows below `root` were landed with, or None."""
+    kept = f"{root}/_schema"
+    if not session.exists(spark, kept):
+        return None
+    rows = spark.read.text(kept).select(
+        F.get_json_object("value", "$.version").cast("int").alias("v"), "value").collect()
+    latest = max(rows, key=lambda r: r["v"])["value"]
+    return T.StructType.fromJson(json.loads(latest)["schema"])
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    """All landed rows; columns that were added later are NULL in older ones."""
+    return spark.read.schema(landed_schema(spark, root)).parquet(root)
+
+
 def land(df: DataFrame, root: str, *, table: str = "tbl", at: str = "at",
-         mode: str = "append") -> None:
+         mode: str = "append") -> DataFrame:
     """Write rows below `root/tbl=…/day=…`, in time order inside each file.
 
     Range partitioning on (table, day, at) splits a large day over several
-    tasks and keeps small days together.
+    tasks and keeps small days together. The schema is kept beside the rows:
+    columns that are new are added to it, known ones keep their type. Rows that
+    do not fit are not written; their values are returned (`conform_rejects`).
     """
-    out = stamp(df, at).withColumn("day", F.to_date(at))
+    spark = df.sparkSession
+    known = None if mode == "overwrite" else landed_schema(spark, root)
+    day_ = T.StructField("day", T.DateType())
+    incoming = T.StructType([f for f in df.schema.fields if f.name != "day"] + [day_])
+    schema = evolve(known, incoming) if known else incoming
+    bad = conform_rejects(df, schema)
+    out = stamp(conform(df, schema), at).withColumn("day", F.to_date(at))
     cols = [F.col(table), F.col("day"), F.col(at)]
     (out.repartitionByRange(*cols).sortWithinPartitions(*cols)
      .write.mode(mode).partitionBy(table, "day").parquet(root))
+    if known is None or schema != known:
+        note = json.dumps({"version": len(schema), "schema": schema.jsonValue()})
+        spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("append").text(
+            f"{root}/_schema")
+    return bad
 
 
 def at_us(df: DataFrame, at: str, name: str = "at_us") -> DataFrame:

@@ -75,12 +75,22 @@ def global_index(df: DataFrame, order: list[str], name: str = "idx",
             .drop("_pid", "_start", "_local"))
 
 
+def same_keys(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns of one name; NULL is a key like any other."""
+    other = {n: f"_other_{n}" for n in names}
+    right = right.withColumnsRenamed(other)
+    on = [F.col(n).eqNullSafe(F.col(o)) for n, o in other.items()]
+    return left.join(right, on, how).drop(*other.values())
+
+
 def running(df: DataFrame, keys: list[str], pos: str, value: Column, op: str, name: str,
             width: int = 1 << 20, exclusive: bool = False, load: Load | None = None,
             spread_above: int = SPREAD_ABOVE, settle: bool = True) -> DataFrame:
     """Running `op` ('sum' or 'max') of `value` along the BIGINT column `pos` within `keys`.
 
     Rows with equal `pos` are peers; pre-aggregate them first if they are many.
+    Rows without a position come first and are peers of each other; a NULL key
+    is a key. Both plans keep every row.
     Without a large key this is one window, and chained calls share its
     shuffle. Otherwise each key is cut into slices of `width` positions. Slice
     totals are combined map-side and summed up over two levels, so a window
@@ -112,10 +122,10 @@ def running(df: DataFrame, keys: list[str], pos: str, value: Column, op: str, na
     level2 = level2.select(*keys, "_s2", F.coalesce(total("_t").over(by2), zero).alias("_c2"))
     by1 = Window.partitionBy(*keys, "_s2").orderBy("_s1").rowsBetween(*before)
     level1 = level1.select(*keys, "_s2", "_s1", F.coalesce(total("_t").over(by1), zero).alias("_c1"))
-    carry = level1.join(level2, [*keys, "_s2"]).select(
+    carry = same_keys(level1, level2, [*keys, "_s2"]).select(
         *keys, "_s1", join(F.col("_c1"), F.col("_c2")).alias("_c"))
     frame = Window.partitionBy(*keys, "_s1").orderBy(pos).rangeBetween(*reach)
     inside = F.coalesce(total("_v").over(frame), zero)
-    return (sliced.join(carry, [*keys, "_s1"])
+    return (same_keys(sliced, carry, [*keys, "_s1"])
             .withColumn(name, join(inside, F.col("_c")))
             .drop("_v", "_s1", "_s2", "_c"))

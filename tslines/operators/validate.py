@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tslines.functions import binary, names
 from tslines.plans.roles import Cell, Roles
@@ -37,7 +38,8 @@ def _rules(roles: Roles) -> list[tuple[int, str, str, Column, Column, Column]]:
     for pos, cell in enumerate(roles.cells, 1):
         if cell.target == "boolean":
             rule(pos, "null_boolean", cell, cell.col.isNull(), F.lit("a boolean must not be null"))
-        elif cell.target == "integer":
+        elif cell.target == "integer" and not isinstance(
+                cell.dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             rule(pos, "int_overflow", cell, cell.col.isNotNull() & cell.wire().isNull(),
                  F.lit("the value does not fit a signed 64-bit integer"))
         elif cell.target == "array":
@@ -55,6 +57,21 @@ def _rules(roles: Roles) -> list[tuple[int, str, str, Column, Column, Column]]:
     return out
 
 
+def broken_cell(roles: Roles) -> tuple[Column, Column] | None:
+    """(does a cell or name break a rule?, what the first one is), or None if none can.
+
+    A row with nothing to write is not counted: it is left out, not refused.
+    """
+    rules = [r for r in _rules(roles) if r[1] != "all_null_row"]
+    if not rules:
+        return None
+    known = [F.coalesce(r[3], F.lit(False)) for r in rules]
+    text = [F.when(hit, F.concat(F.lit(f"column {r[2]!r}: "), r[5], F.lit(" (value "),
+                                 F.coalesce(r[4], F.lit("NULL")), F.lit(")")))
+            for hit, r in zip(known, rules)]
+    return reduce(lambda a, b: a | b, known), F.coalesce(*text)
+
+
 def rejects(df: DataFrame, roles: Roles, *key: str) -> DataFrame:
     """One row per broken rule: `key`, `pos`, `rule`, `column`, `value`, `message`.
 
@@ -132,6 +149,7 @@ def sniff(df: DataFrame, columns: list[str], *order: str) -> DataFrame:
         total = reduce(lambda a, b: a + b, [F.col(f"{k}{i}") for k in KINDS])
         agree = reduce(lambda a, k: a.when(F.col(f"first{i}") == k, F.col(f"{k}{i}")), KINDS[1:],
                        F.when(F.col(f"first{i}") == KINDS[0], F.col(f"{KINDS[0]}{i}")))
+        agree = F.when(F.col(f"first{i}") == "string", total).otherwise(agree)
         parts.append(F.struct(
             F.lit(name).alias("column"),
             F.coalesce(F.col(f"first{i}"), F.lit("skip")).alias("kind"),
@@ -149,16 +167,18 @@ def typed(df: DataFrame, columns: list[str], *order: str) -> tuple[DataFrame, Da
     """(typed rows, rejects) of loosely typed text columns.
 
     The first non-null value of a column decides its type; rows with a value of
-    another kind are rejects, and columns without any value are dropped. One
+    another kind are rejects (in a string column any value fits), as are
+    integers beyond 64 bits, and columns without any value are dropped. One
     aggregate decides, its result is one row per column.
     """
     kinds = {r["column"]: r["kind"] for r in sniff(df, columns, *order).collect()}
-    odd = [(c, F.col(c).isNotNull() & (text_kind(F.col(c)) != kinds[c]))
+    cell = {c: F.col(c).try_cast(KIND_TYPES[k]) for c, k in kinds.items() if k != "skip"}
+    odd = [(c, F.col(c).isNotNull() & ((text_kind(F.col(c)) != kinds[c]) | cell[c].isNull()))
            for c in columns if kinds[c] not in ("skip", "string")]
     none = F.lit(False)
     broken = reduce(lambda a, b: a | b, [o for _, o in odd], none)
     broken = F.coalesce(broken, none)
-    cols = [F.col(c).cast(KIND_TYPES[kinds[c]]).alias(c) if c in kinds else F.col(c)
+    cols = [cell[c].alias(c) if c in cell else F.col(c)
             for c in df.columns if kinds.get(c) != "skip"]
     found = [F.when(o, F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("expected"),
                                 F.col(c).alias("value"))) for c, o in odd]
@@ -212,5 +232,17 @@ def version_loss(df: DataFrame, roles: Roles, version: int) -> DataFrame:
 def utf8_errors(df: DataFrame, column: str, *key: str) -> DataFrame:
     """Rows whose binary text is not UTF-8: the text repaired by U+FFFD, and where it first is."""
     raw = F.col(column)
-    bad = df.filter(~F.is_valid_utf8(raw)).select(*key, F.make_valid_utf8(raw).alias("repaired"))
-    return bad.withColumn("bad_char", F.instr("repaired", "\ufffd"))
+    bad = df.filter(~F.is_valid_utf8(raw)).select(
+        *key, F.make_valid_utf8(raw).alias("repaired"), F.col(column).cast("binary").alias("_raw"))
+    # walk from one U+FFFD to the next until the bytes there are not its own
+    start = F.struct(F.lit(0).alias("octets"), F.lit(0).alias("chars"), F.lit(None).cast("int").alias("at"))
+
+    def step(acc, part):
+        octets, chars = acc["octets"] + F.octet_length(part), acc["chars"] + F.length(part)
+        genuine = F.substring(F.col("_raw"), octets + 1, F.lit(3)) == F.lit("\ufffd".encode())
+        at = F.coalesce(acc["at"], F.when(~genuine, chars + 1))
+        return F.struct((octets + 3).alias("octets"), (chars + 1).alias("chars"), at.alias("at"))
+
+    parts = F.split("repaired", "\ufffd", -1)
+    parts = F.slice(parts, F.lit(1), F.size(parts) - 1)
+    return bad.withColumn("bad_char", F.aggregate(parts, start, step, lambda acc: acc["at"])).drop("_raw")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -94,11 +95,18 @@ def build(lines: DataFrame, limits: Limits, *, key: list[str], order: list[str],
 
 
 def write(df: DataFrame, path: str, commit: str | int) -> None:
-    """Write one commit; writing the same commit again replaces it.
+    """Write one commit, all or nothing; a complete commit is not written again.
 
-    Files appear only when the whole write succeeded.
+    The rows are written beside the commits first (a folder that readers skip)
+    and moved to their place when they are complete, so a failed attempt changes
+    nothing.
     """
-    df.write.mode("overwrite").parquet(f"{path}/commit={commit}")
+    spark, target = df.sparkSession, f"{path}/commit={commit}"
+    if session.exists(spark, f"{target}/_SUCCESS"):
+        return
+    staged = f"{path}/_staged/{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    session.publish(spark, staged, target)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -106,12 +114,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return session.configure(spark).read.parquet(path)
 
 
-def fan_out(df: DataFrame, sinks: list[Callable[[DataFrame], None]]) -> None:
-    """Give the same rows to several sinks; they are computed once."""
+def fan_out(df: DataFrame, sinks: list[Callable[[DataFrame], DataFrame | None]]) -> list:
+    """Give the same rows to several sinks; they are computed once.
+
+    Returns what the sinks return, in their order: a sink that refuses rows
+    writes them elsewhere or returns them.
+    """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for sink in sinks:
-            sink(kept)
+        return [sink(kept) for sink in sinks]
     finally:
         kept.unpersist()
 
@@ -127,7 +138,12 @@ def text_files(spark: SparkSession, path: str, stream: bool = False) -> DataFram
 
 
 def write_text(lines: DataFrame, path: str, column: str = "line") -> DataFrame:
-    """Write lines as text files; returns the lines that hold a line end, which are not written."""
-    breaks = F.col(column).contains("\n")
+    """Write lines as text files.
+
+    Lines that hold a line end cannot be told apart there; they go whole to
+    Parquet files in `path/_refused` and are returned from there.
+    """
+    spark, breaks = lines.sparkSession, F.col(column).contains("\n")
     lines.filter(~breaks).select(column).write.mode("overwrite").text(path)
-    return lines.filter(breaks)
+    lines.filter(breaks).write.mode("overwrite").parquet(f"{path}/_refused")
+    return spark.read.schema(lines.schema).parquet(f"{path}/_refused")

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -122,5 +123,10 @@ def alerts(df: DataFrame, keys: list[str], ts: str, window_us: int, threshold: i
 
 
 def dedup(df: DataFrame, keys: list[str], at: str, delay: str = "10 minutes") -> DataFrame:
-    """Drop re-sent rows within the watermark. `at` must be a timestamp."""
-    return df.withWatermark(at, delay).dropDuplicatesWithinWatermark([*keys, at])
+    """Drop re-sent rows within the watermark; `at` must be a timestamp.
+
+    The first arrival stays (`land.dedup` with `keep="first"`); rows without an
+    instant are never dropped.
+    """
+    known = df.filter(F.col(at).isNotNull()).withWatermark(at, delay)
+    return known.dropDuplicatesWithinWatermark([*keys, at]).unionByName(df.filter(F.col(at).isNull()))
