@@ -3,8 +3,8 @@
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_ROWS: rows of the generated frames (default 10,000,000), which are written
 before the clock starts.
-The encode and decode jobs read `lineitem` from a copy in BENCH_CPUS files,
-made once and not timed, because the given file has a single row group and
+The encode and decode jobs read `lineitem` and `documents` from copies in
+BENCH_CPUS files, made once and not timed, because the given file has a single row group and
 would be read by one task. Each job runs `1 + BENCH_REPEAT` times against a
 sink that drops the rows; the best run counts. `rates` gives cells and MiB of
 line text per second.
@@ -20,7 +20,7 @@ import time
 from pyspark.sql import functions as F
 
 from tslines import session
-from tslines.catalog import batches, checks, encoding, flows, groups, landing
+from tslines.catalog import batches, checks, flows, groups, landing
 from tslines.operators import decode
 from tslines.operators.encode import encode
 from tslines.plans import roles
@@ -71,6 +71,13 @@ def decode_lineitem(version):
     return job
 
 
+def encode_documents(spark):
+    df = copy(spark, "documents",
+              lambda: tables.table(spark, SF, "documents").repartition(int(CPUS)))
+    return encode(df, roles.resolve(df, table="docs", symbols=["lang", "source"],
+                                    at=roles.SERVER_TIME, version=1))
+
+
 def query(fn):
     return lambda spark: fn(spark, SF)
 
@@ -85,7 +92,7 @@ JOBS = {
     "frame_integers_v2": frame("integers", 2),
     "decode_v1_lineitem": decode_lineitem(1),
     "decode_v2_lineitem": decode_lineitem(2),
-    "encode_v1_documents": query(encoding.encode_v1_documents),
+    "encode_v1_documents": encode_documents,
     "rejects": query(checks.rejects),
     "batch_combined": query(batches.batch_combined),
     "batch_spread": query(batches.batch_spread),
@@ -98,6 +105,8 @@ JOBS = {
     "slot_assign": query(groups.slot_assign),
     "payload_build": query(flows.payload_build),
     "payload_frames": query(flows.payload_frames),
+    "stream_batches": query(flows.stream_batches),
+    "stream_alerts": query(flows.stream_alerts),
 }
 
 
@@ -112,7 +121,7 @@ def main() -> None:
         if only and name not in only.split(","):
             continue
         best = None
-        if "lineitem" in name:
+        if name.startswith(("encode", "decode", "frame")):
             job(spark)  # makes the copies
         for _ in range(1 + REPEAT):
             start = time.perf_counter()
