@@ -275,14 +275,20 @@ def keep_first(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFra
     """
     found = near_duplicates(docs, words=words, bits=bits)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.select(F.col("doc_id").alias("_id"), "tag", "root").distinct()
+    keys = ["_no", "_id", "_tag"]
+
+    def keyed(id_, tag):
+        return [id_.isNull().alias("_no"), F.coalesce(id_, F.lit(0)).alias("_id"), tag.alias("_tag")]
+
+    # one id and text per group, chosen before any text moves
+    first = first.groupBy("root").agg(F.min(F.struct("doc_id", "tag")).alias("f")).select(
+        *keyed(F.col("f.doc_id"), F.col("f.tag")))
     names = [f"_{n}" for n in range(len(docs.columns))]
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
-    id_, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
-    kept = rows.join(first, F.col(id_).eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(text) == F.col("tag")))
-    # unless ids are repeated, every group here is a single row
-    kept = kept.groupBy("root").agg(F.min(F.struct(*names)).alias("_row"))
+    id_, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    kept = rows.select(*keyed(id_, F.xxhash64(text)), *names).join(first.distinct(), keys)
+    # repeated rows lie where the join has put them
+    kept = kept.groupBy(*keys).agg(F.min(F.struct(*names)).alias("_row"))
     return kept.select(*[F.col("_row")[n].alias(c) for n, c in zip(names, docs.columns)])
 
 
