@@ -154,18 +154,19 @@ def test_slots(spark, length):
 
 def test_symbols_with_a_dominant_value(spark):
     rng = np.random.default_rng(4)
-    words = [None if r < .1 else "hot" if r < .5 else f"w{rng.integers(300)}"
+    words = [None if r < .1 else "hot" if r < .4 else "unseen" if r < .6 else f"w{rng.integers(300)}"
              for r in rng.random(3000)]
     df = spark.createDataFrame(list(enumerate(words)), "id int, w string").repartition(6)
-    table = symbols.dictionary(df, "w", partitions=5)
-    codes = {w: i for i, w in enumerate(sorted({w for w in words if w}))}
+    table = symbols.dictionary(df.filter("w <> 'unseen'"), "w", partitions=5)
+    codes = {w: i for i, w in enumerate(sorted({w for w in words if w} - {"unseen"}))}
     assert {r["symbol"]: r["code"] for r in table.collect()} == codes
     for limit in (1_000_000, 0):
         coded = symbols.encode(df, "w", table, broadcast_rows=limit)
         assert {r["id"]: r["code"] for r in coded.collect()} == {
             i: codes.get(w) for i, w in enumerate(words)}
         back = symbols.decode(coded.drop("w"), "code", table, "w", broadcast_rows=limit)
-        assert {r["id"]: r["w"] for r in back.collect()} == dict(enumerate(words))
+        assert {r["id"]: r["w"] for r in back.collect()} == {
+            i: w if w in codes else None for i, w in enumerate(words)}
 
 
 @pytest.mark.parametrize("n, bits", [(1, 8), (127, 8), (128, 16), (32_767, 16), (32_768, 32)])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tslines.operators.ordered import global_index
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1_000
 
 # Largest dictionary for 8-bit and 16-bit codes.
@@ -33,21 +34,26 @@ def _lookup(df: DataFrame, column: str, table: DataFrame, key: str, value: str,
             broadcast_rows: int) -> DataFrame:
     """`df` with `out` looked up in the dictionary; unknown and null cells give null."""
     # alias the lookup side: the dictionary may be derived from `df` itself
-    side = table.select(F.col(key).alias("_k"), F.col(value).alias(out), "n_rows")
-    if side.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return df.join(F.broadcast(side.drop("n_rows")), F.col(column) == F.col("_k"), "left"
-                       ).drop("_k")
-    # Values that fill more than one row in HOT_SHARE: at most HOT_SHARE of them,
-    # so that side is always small. The rest has no large key and may shuffle.
-    total = side.agg(F.sum("n_rows")).first()[0]
-    is_hot = F.col("n_rows") * HOT_SHARE > total
-    hot = F.broadcast(side.filter(is_hot).select("_k", F.col(out).alias("_hot")))
-    cold = side.filter(~is_hot).drop("n_rows")
+    side = table.select(F.col(key).alias("_k"), F.col(value).alias(out))
+    octets = lambda c: F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    n, size = side.limit(broadcast_rows + 1).agg(
+        F.count("*"), F.sum(octets("_k") + octets(out) + 16)).first()
+    if n <= broadcast_rows and (size or 0) <= BROADCAST_BYTES:
+        return df.join(F.broadcast(side), F.col(column) == F.col("_k"), "left").drop("_k")
+    # Values that fill more than one row in HOT_SHARE of `df`, known or not: at
+    # most HOT_SHARE of them, so that side is always small. The rest has no large
+    # key and may shuffle.
+    found = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_k")).count()
+    total = found.agg(F.sum("count")).first()[0] or 0
+    hot = found.filter(F.col("count") * HOT_SHARE > total).drop("count")
+    hot = F.broadcast(hot.join(side, "_k", "left").select(
+        "_k", F.col(out).alias("_hot"), F.lit(True).alias("_known")))
     marked = df.join(hot, F.col(column) == F.col("_k"), "left").drop("_k")
-    done = marked.filter(F.col("_hot").isNotNull() | F.col(column).isNull())
-    todo = marked.filter(F.col("_hot").isNull() & F.col(column).isNotNull()).drop("_hot")
-    todo = todo.join(cold, F.col(column) == F.col("_k"), "left").drop("_k")
-    return done.withColumnRenamed("_hot", out).unionByName(todo)
+    apart = F.col("_known").isNotNull() | F.col(column).isNull()
+    done = marked.filter(apart).drop("_known").withColumnRenamed("_hot", out)
+    todo = marked.filter(~apart).drop("_hot", "_known")
+    todo = todo.join(side, F.col(column) == F.col("_k"), "left").drop("_k")
+    return done.unionByName(todo)
 
 
 def encode(df: DataFrame, column: str, table: DataFrame, out: str = "code",
