@@ -100,8 +100,9 @@ def plain_repeats(rows, span):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("span, broadcast", [(50, True), (8, False)])
-def test_repeats_match_brute_force(spark, monkeypatch, span, broadcast):
+@pytest.mark.parametrize("span, broadcast, bucket", [
+    (50, True, substring.BUCKET), (8, False, substring.BUCKET), (50, True, 3000), (8, True, 1)])
+def test_repeats_match_brute_force(spark, monkeypatch, span, broadcast, bucket):
     rng = random.Random(span)
     shared = [words(rng, 3 * span) for _ in range(4)]
     rows = [(None, shared[0]), (900, None), (901, ""), (902, " \t "), (903, shared[1]), (903, shared[1]),
@@ -118,7 +119,9 @@ def test_repeats_match_brute_force(spark, monkeypatch, span, broadcast):
         monkeypatch.setattr(substring, "BROADCAST_BYTES", -1)
     monkeypatch.setattr(substring, "LONGEST", 16)
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    got = substring.without_repeats(df, span=span, texts=False).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    got = substring.without_repeats(df, span=span, texts=False, bucket=bucket).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(substring.common.BATCH_ROWS))
     assert sorted((tuple(r) for r in got), key=str) == plain_repeats(rows, span)
 
 

@@ -12,7 +12,9 @@ What keeps buckets even: runs of words that are frequent in the whole corpus
 lines do not gather the text around them. Equal packed strings are brought
 together before the shuffle: only the smallest document of each goes on, the
 others are decided then and there. So a passage in a third of all documents
-sends one string per task to its bucket.
+sends one string per task to its bucket. A bucket that still is too large for
+memory is not kept: its task passes on each window with its hash and place, and
+a second shuffle, by the window's hash, finds the smallest document of each.
 
 Defined cases: a null or empty text has no words. A document with fewer than
 SPAN words has no window and stays whole. Rows without an id have no order:
@@ -45,6 +47,10 @@ LONGEST = 256
 HELD = 24 << 20
 #: Bytes of packed strings that are sorted together, at least.
 GATHER = 16 << 20
+#: Bytes of one bucket that are sorted in memory; windows of a larger one go on by their hash.
+BUCKET = 64 << 20
+#: Strings of a larger bucket that are taken apart together.
+STRINGS = 8_192
 #: Marks are broadcast up to this size; beyond, the join shuffles.
 BROADCAST_BYTES = 32 << 20
 
@@ -222,25 +228,33 @@ def _windows(packed: list[bytes], n: np.ndarray, span: int):
     return string, offset, *sides
 
 
+def _late(done: pd.DataFrame, rows: pd.DataFrame, span: int):
+    """What equal strings decide, and the rest.
+
+    Marks of decided rows and of strings that a smaller document has as well, the
+    other rows with the number of their string, and of each string its text, its
+    smallest document and its windows.
+    """
+    number, strings = pd.factorize(rows["packed"])
+    doc = rows["doc_id"].to_numpy()
+    least = np.full(len(strings), np.iinfo(np.int64).max)
+    np.minimum.at(least, number, doc)
+    n = np.zeros(len(strings), np.int64)
+    n[number] = rows["n"].to_numpy()
+    whole = doc > least[number]
+    marks = [_ranges(x["doc_id"], x["tag"], x["first"], x["first"] + x["n"] + span - 1)
+             for x in (done, rows[whole])]
+    return pd.concat(marks), rows[~whole].assign(number=number[~whole]), list(strings), least, n
+
+
 def _decide(rows: pd.DataFrame, span: int) -> pd.DataFrame:
     """Marked word ranges of whole buckets."""
-    done = rows[rows["packed"].isna()]
-    marks = [_ranges(done["doc_id"], done["tag"], done["first"], done["first"] + done["n"] + span - 1)]
-    rows = rows[rows["packed"].notna()]
+    done, rows = rows[rows["packed"].isna()], rows[rows["packed"].notna()]
     # a string that is alone in its bucket has nothing to be compared with
     rows = rows[rows["mini"].duplicated(keep=False)]
-    if len(rows):
-        number, strings = pd.factorize(rows["packed"])
-        doc = rows["doc_id"].to_numpy()
-        least = np.full(len(strings), np.iinfo(np.int64).max)
-        np.minimum.at(least, number, doc)
-        whole = doc > least[number]
-        late = rows[whole]
-        marks.append(_ranges(late["doc_id"], late["tag"], late["first"],
-                             late["first"] + late["n"] + span - 1))
-        n = np.zeros(len(strings), np.int64)
-        n[number] = rows["n"].to_numpy()
-        string, offset, h1, h2 = _windows(list(strings), n, span)
+    marks, rows, strings, least, n = _late(done, rows, span)
+    if strings:
+        string, offset, h1, h2 = _windows(strings, n, span)
         order = np.lexsort((least[string], h2, h1))
         new = np.concatenate(([True], (h1[order][1:] != h1[order][:-1])
                               | (h2[order][1:] != h2[order][:-1])))
@@ -253,10 +267,25 @@ def _decide(rows: pd.DataFrame, span: int) -> pd.DataFrame:
             first, last = at[broken], at[np.concatenate((broken[1:], [True]))]
             pieces = pd.DataFrame({"number": string[first], "a": offset[first],
                                    "b": offset[last] + span})
-            own = rows[~whole].assign(number=number[~whole]).merge(pieces, on="number")
-            marks.append(_ranges(own["doc_id"], own["tag"], own["first"] + own["a"],
-                                 own["first"] + own["b"]))
-    return pd.concat(marks)
+            own = rows.merge(pieces, on="number")
+            marks = pd.concat([marks, _ranges(own["doc_id"], own["tag"], own["first"] + own["a"],
+                                              own["first"] + own["b"])])
+    return marks
+
+
+def _apart(rows: pd.DataFrame, span: int):
+    """Parts of a bucket that is not kept: marks, and undecided windows with their hashes."""
+    for i in range(0, len(rows), STRINGS):
+        part = rows.iloc[i:i + STRINGS]
+        marks, own, strings, _, n = _late(part[part["packed"].isna()], part[part["packed"].notna()], span)
+        yield marks
+        if strings:
+            string, offset, h1, h2 = _windows(strings, n, span)
+            own = own.merge(pd.DataFrame({"number": string, "a": offset, "h1": h1.view(np.int64),
+                                          "h2": h2.view(np.int64)}), on="number")
+            start = own["first"] + own["a"]
+            yield _ranges(own["doc_id"], own["tag"], start, start + span).assign(
+                h1=own["h1"], h2=own["h2"])
 
 
 def _ranges(doc, tag, start, end) -> pd.DataFrame:
@@ -264,32 +293,49 @@ def _ranges(doc, tag, start, end) -> pd.DataFrame:
                          "start": start.astype("int64"), "end": end.astype("int64")})
 
 
-def _count(span: int):
-    """Per task: rows sorted by bucket in, marked word ranges out."""
-    def run(batches):
-        held, size = [], 0
+_MARKS = "doc_id bigint, tag bigint, start bigint, end bigint, h1 bigint, h2 bigint"
+
 
-        def out(rows):
-            found = _decide(rows, span)
-            return pa.RecordBatch.from_pandas(found, preserve_index=False)
+def _count(span: int, bucket: int):
+    """Per task: rows sorted by bucket in, marked ranges and undecided windows out."""
+    gather = min(GATHER, bucket)
 
+    def out(found):
+        cols = [pa.array(found[c].to_numpy()) if c in found else pa.nulls(len(found), pa.int64())
+                for c in ("doc_id", "tag", "start", "end", "h1", "h2")]
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "tag", "start", "end", "h1", "h2"])
+
+    def run(batches):
+        held, size, large = [], 0, None
         for batch in batches:
-            held.append(batch.to_pandas())
+            rows = batch.to_pandas()
+            if large is not None:
+                more = (rows["mini"] == large).to_numpy()
+                yield from map(out, _apart(rows[more], span))
+                rows = rows[~more]
+                if not len(rows):
+                    continue
+                large = None
+            held.append(rows)
             size += batch.nbytes
-            if size < GATHER:
+            if size < gather:
                 continue
             rows = pd.concat(held, ignore_index=True)
             open_ = (rows["mini"] == rows["mini"].iloc[-1]).to_numpy()
             if not open_.all():
-                yield out(rows[~open_])
-            rows = rows[open_]
-            held, size = [rows], int(rows["packed"].str.len().sum())
+                yield out(_decide(rows[~open_], span))
+                rows = rows[open_]
+                size = int(rows["packed"].str.len().sum()) + 64 * len(rows)
+            held = [rows]
+            if size > bucket:
+                yield from map(out, _apart(rows, span))
+                held, size, large = [], 0, rows["mini"].iloc[-1]
         if held:
-            yield out(pd.concat(held, ignore_index=True))
+            yield out(_decide(pd.concat(held, ignore_index=True), span))
     return run
 
 
-def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
+def repeats(docs: DataFrame, span: int = SPAN, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, tag, start, end): ranges of words that windows of earlier documents cover.
 
     `tag` is the xxhash64 of the text. Ranges may overlap.
@@ -297,9 +343,13 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     rows = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_cells(rows, span))
-    return (rows.mapInArrow(_pack(frequent, span), _PACKED)
-            .repartition("mini").sortWithinPartitions("mini")
-            .mapInArrow(_count(span), "doc_id bigint, tag bigint, start bigint, end bigint"))
+    found = common.stage(rows.mapInArrow(_pack(frequent, span), _PACKED)
+                         .repartition("mini").sortWithinPartitions("mini")
+                         .mapInArrow(_count(span, bucket), _MARKS), "marks")
+    windows = found.where("h1 is not null")
+    first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("_first"))
+    late = windows.join(first, ["h1", "h2"]).where("doc_id > _first")
+    return found.where("h1 is null").unionByName(late.drop("_first")).drop("h1", "h2")
 
 
 def _keep(text: str | None, cuts) -> tuple[int, int, bytes]:
@@ -314,9 +364,10 @@ def _keep(text: str | None, cuts) -> tuple[int, int, bytes]:
     return len(words), len(words) - len(left), b" ".join(left)
 
 
-def without_repeats(docs: DataFrame, span: int = SPAN, texts: bool = True) -> DataFrame:
+def without_repeats(docs: DataFrame, span: int = SPAN, texts: bool = True,
+                    bucket: int = BUCKET) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, and with `texts` the kept text."""
-    found = common.stage(repeats(docs, span).groupBy("doc_id", "tag").agg(
+    found = common.stage(repeats(docs, span, bucket).groupBy("doc_id", "tag").agg(
         F.flatten(F.collect_set(F.array("start", "end"))).alias("cuts")), "repeats")
     size = found.agg(F.sum(F.size("cuts") * 8 + 48)).first()[0] or 0
     found = found.withColumnsRenamed({"doc_id": "_doc", "tag": "_tag"})
