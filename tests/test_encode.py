@@ -278,3 +278,28 @@ def test_pandas_frames(spark):
                    b"named f=Infinity,n=3i,u=3i,o=NaN 1704153600000000000"]
     with pytest.raises(TypeError):
         tables.from_pandas(spark, pd.DataFrame({"c": pd.Series([1, 2], dtype="category")}))
+
+
+def test_pandas_cells_of_several_dimensions_and_wide_decimals(spark):
+    rng = np.random.default_rng(40)
+    shapes = rng.normal(size=(3, 2, 4))
+    wide = [Decimal(10) ** 50 + Decimal(rng.integers(10 ** 9).item()), None, Decimal(-3).scaleb(-30)]
+    pdf = pd.DataFrame({"id": [1, 2, 3], "x": [shapes[0], None, shapes[2]], "d": wide})
+    rows = {r["id"]: r for r in tables.from_pandas(spark, pdf).collect()}
+    assert rows[1]["x"] == shapes[0].tolist() and rows[2]["x"] is None and rows[3]["x"] == shapes[2].tolist()
+    assert [rows[i]["d"] and Decimal(rows[i]["d"]) for i in (1, 2, 3)] == wide
+    got = lines(tables.from_pandas(spark, pdf), 3, table="t", at=SERVER_TIME)
+    assert len(got) == 3
+
+
+def test_long_rows(spark):
+    cells = "id int, name string, s string, d double"
+    kinds = ({"symbol": "s", "number": "d"}, {"side": "symbol", "price": "number"})
+    long = spark.createDataFrame(
+        [(1, "side", "up", None), (1, "price", None, 2.5), (2, "side", None, None), (3, "price", None, 0.0)], cells)
+    wide = tables.from_events(long, "id", "name", *kinds)
+    assert sorted(map(tuple, wide.collect()), key=str) == [(1, "up", 2.5), (3, None, 0.0)]
+    assert wide.schema["side"].metadata[roles.SYMBOL]
+    twice = long.unionByName(long.where("d = 0"))
+    with pytest.raises(Exception, match="several values in row 3"):
+        tables.from_events(twice, "id", "name", *kinds).collect()

@@ -147,7 +147,8 @@ def test_slots(spark, length):
     # equal starts are ordered by end, then id, as in the loop
     df = spark.createDataFrame(pdf).repartition(5)
     # whole keys, busy periods, and periods over several partitions
-    for plan in ({}, dict(spread_above=500), dict(spread_above=0, partitions=7)):
+    for plan in ({}, dict(spread_above=500), dict(spread_above=0, partitions=7),
+                 dict(spread_above=0, partitions=7, rounds=1)):
         got = bursts.slots(df, ["g"], "s", "e", "e", "id", slice_us=16, **plan).collect()
         assert {r["id"]: r["slot"] for r in got} == want, plan
 

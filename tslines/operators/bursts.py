@@ -27,6 +27,9 @@ from tslines.operators.ordered import (
 DEFAULT_WINDOW_US = 5_000_000
 DEFAULT_THRESHOLD = 25
 DEFAULT_QUIET_US = 600_000_000
+#: Rounds in which range partitions may settle their open sessions, and sessions one may report.
+ROUNDS = 6
+MOST_OPEN = 256
 
 
 def instants(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -142,9 +145,10 @@ def _slot_pass(keys, entry, columns, states_only):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in columns] + [pa.array(out)], [*columns, "slot"])
         if states_only and key is not None:
+            found = [{"end": e, "slot": s} for e, s in sorted(slots.open[:MOST_OPEN + 1])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([pid], pa.int32()), pa.array([repr(first_key)]), pa.array([repr(key)]),
-                 pa.array([[{"end": e, "slot": s} for e, s in sorted(slots.open)]],
+                 pa.array([found if len(found) <= MOST_OPEN else None],
                           pa.list_(pa.struct([("end", pa.int64()), ("slot", pa.int64())])))],
                 ["pid", "first", "last", "open"])
 
@@ -153,7 +157,7 @@ def _slot_pass(keys, entry, columns, states_only):
 
 def slots(df: DataFrame, keys: list[str], start: str, end: str, *order: str,
           spread_above: int = SPREAD_ABOVE, slice_us: int = 3_600_000_000,
-          partitions: int | None = None) -> DataFrame:
+          partitions: int | None = None, rounds: int = ROUNDS) -> DataFrame:
     """`df` with the lowest `slot` that is free when the session starts, per key.
 
     A key is walked in a stream whose state is the open sessions. A key with
@@ -162,7 +166,9 @@ def slots(df: DataFrame, keys: list[str], start: str, end: str, *order: str,
     period is still larger, rows are range-partitioned instead: all partitions
     run at once from a guessed set of open sessions, and those whose guess
     differs from what the partition before them really leaves are run again
-    until none differs. Each round settles at least one more partition.
+    until none differs. If that takes more than `rounds` rounds, or a partition
+    ends with more than MOST_OPEN sessions, every period is streamed by one task
+    after all, so neither jobs nor the driver's share grow with the partitions.
     A row without a start has no slot; one without an end never frees its own.
     """
     spark, columns = df.sparkSession, df.columns
@@ -185,20 +191,25 @@ def slots(df: DataFrame, keys: list[str], start: str, end: str, *order: str,
     line = session.checkpoint(line)
     period = [*keys, "_period"]
     sizes = line.groupBy(*period).count().agg(F.max("count"), F.sum("count")).first()
-    if (sizes[0] or 0) <= spread_above:
+
+    def streamed():
         near = line.repartition(*period).sortWithinPartitions(*period, "_start", *order)
         return near.mapInArrow(_slot_pass(period, None, columns, False), out).unionByName(absent)
 
+    if (sizes[0] or 0) <= spread_above:
+        return streamed()
     width = partitions or partitions_for(sizes[1], spark)
     ranged = range_sorted(line, period, ["_start", *order], width)
     narrow = ranged.select(*period, "_start", "_end", "_pid")
     ends, entry, pending = {}, {}, None
-    while True:
+    for _ in range(rounds):
         todo = narrow if pending is None else narrow.filter(F.col("_pid").isin(pending))
         for r in todo.mapInArrow(
                 _slot_pass(period, entry, columns, True),
                 "pid int, first string, last string, open array<struct<end:bigint,slot:bigint>>"
         ).collect():
+            if r["open"] is None:
+                return streamed()
             ends[r["pid"]] = (r["first"], r["last"], [(o["end"], o["slot"]) for o in r["open"]])
         pids, wanted = sorted(ends), {}
         for before, here in zip(pids, pids[1:]):
@@ -209,3 +220,4 @@ def slots(df: DataFrame, keys: list[str], start: str, end: str, *order: str,
             done = ranged.mapInArrow(_slot_pass(period, entry, columns, False), out)
             return done.unionByName(absent)
         entry = wanted
+    return streamed()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,23 @@ def stream(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
             .options(**options).parquet(folder))
 
 
+def _has_decimals(series) -> bool:
+    return series.dtype == object and series.map(lambda v: isinstance(v, Decimal)).any()
+
+
+def _decimals(values: list):
+    """One DECIMAL type where it holds all digits, else the text of each value."""
+    import pyarrow as pa
+
+    try:
+        arr = pa.array(values)
+    except pa.ArrowInvalid:
+        arr = None
+    if arr is not None and pa.types.is_decimal128(arr.type):
+        return arr
+    return pa.array([None if v is None else str(v) for v in values], pa.string())
+
+
 def _arrow_column(series):
     """Arrow array of a pandas column that keeps NaN apart from null."""
     import numpy as np
@@ -47,6 +66,10 @@ def _arrow_column(series):
         if series.map(lambda v: v is None or v is pd.NA or isinstance(v, float)).all():
             return pa.array([None if v is None or v is pd.NA else v for v in series], pa.float64())
         return pa.array([None if pd.isna(v) else v for v in series])
+    if _has_decimals(series):
+        return _decimals([None if pd.isna(v) else v for v in series])
+    if series.dtype == object and series.map(lambda v: isinstance(v, np.ndarray) and v.ndim > 1).any():
+        return pa.array([v.tolist() if isinstance(v, np.ndarray) else v for v in series])
     return pa.array(series)
 
 
@@ -54,7 +77,8 @@ def from_pandas(spark: SparkSession, pdf) -> DataFrame:
     """A pandas frame as a DataFrame: NaN stays NaN, null stays null.
 
     Categories become symbols under symbols='auto', a named index gives the
-    default table, nanosecond columns become flagged BIGINT.
+    default table, nanosecond columns become flagged BIGINT, decimals of more
+    than 38 digits flagged text, arrays of several dimensions nested arrays.
     """
     import pandas as pd
     import pyarrow as pa
@@ -71,6 +95,10 @@ def from_pandas(spark: SparkSession, pdf) -> DataFrame:
             arr = arr.cast(pa.decimal128(20, 0))
         elif pa.types.is_unsigned_integer(arr.type):
             arr = arr.cast(pa.int64())
+        elif pa.types.is_decimal256(arr.type):
+            arr, meta[name] = arr.cast(pa.string()), {roles.WIDE: True}
+        elif pa.types.is_string(arr.type) and _has_decimals(pdf[name]):
+            meta[name] = {roles.WIDE: True}
         elif pa.types.is_float16(arr.type):
             raise TypeError(f"column {name!r}: 16-bit floats cannot be written")
         if isinstance(pdf[name].dtype, pd.CategoricalDtype):
@@ -91,12 +119,19 @@ def from_events(long: DataFrame, key: str, name: str, values: dict[str, str],
     """Long rows (`key`, `name`, one value column per type) to one wide row per key.
 
     `columns` gives each output column the type group it takes its value from;
-    a fixed list keeps the job to one pass. Rows without any value drop out,
-    null values count as absent.
+    a fixed list keeps the job to one pass, and columns of the group `symbol`
+    are marked as symbols. Rows without any value drop out, null values count as
+    absent. Two values of one column in a row are an error.
     """
-    aggs = [F.max(F.when(F.col(name) == c, F.col(values[kind]))).alias(c)
-            for c, kind in columns.items()]
-    wide = long.groupBy(key).agg(*aggs)
+    def cell(c: str, kind: str) -> Column:
+        value = F.when(F.col(name) == c, F.col(values[kind]))
+        twice = F.concat(F.lit(f"column {c!r} has several values in row "), F.col(key).cast("string"))
+        return F.when(F.count(value) > 1, F.raise_error(twice)).otherwise(F.first(value, True)).alias(c)
+
+    wide = long.groupBy(key).agg(*[cell(c, kind) for c, kind in columns.items()])
+    for c, kind in columns.items():
+        if kind == "symbol":
+            wide = roles.mark(wide, c, **{roles.SYMBOL: True})
     return wide.filter(F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull())
 
 
