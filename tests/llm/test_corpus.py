@@ -92,6 +92,9 @@ def test_shards_hold_every_token_at_its_slot(spark, tmp_path):
     n = order.write_shards(df, folder, length=length, per_shard=per)
     listed = sorted(order.read_shards(spark, folder, length, per).collect(), key=lambda r: r["slot"])
     assert [r["slot"] for r in listed] == list(range(n))
+    for first, stop in ((0, 1), (49, 51), (60, n), (per, 2 * per), (n, None), (7, 7), (123, None)):
+        again = order.read_shards(spark, folder, length, per, first, stop).collect()
+        assert sorted(again, key=lambda r: r["slot"]) == listed[first:stop]
     coder = order._encoder(order.VOCABULARY)
     assert isinstance(coder, tiktoken.Encoding)
     import glob

@@ -222,8 +222,12 @@ def write_shards(docs: DataFrame, folder: str, path: str = VOCABULARY, length: i
 
 
 def read_shards(spark: SparkSession, folder: str, length: int = LENGTH,
-                per_shard: int = PER_SHARD) -> DataFrame:
-    """slot, shard, doc_id, part, n_tokens and the token ids' XXH3 digest of every record."""
+                per_shard: int = PER_SHARD, first: int = 0, stop: int | None = None) -> DataFrame:
+    """slot, shard, doc_id, part, n_tokens and the token ids' XXH3 digest of every record.
+
+    A reader that was interrupted goes on at the slot `first`, and ends before
+    `stop`: only the shards in between are opened, each from its own first byte on.
+    """
     kind = np.dtype([("row", record(length)), ("mark", "<u2")])
     head, digest = HEAD.itemsize, xxhash.xxh3_128_hexdigest
 
@@ -231,12 +235,15 @@ def read_shards(spark: SparkSession, folder: str, length: int = LENGTH,
         for batch in batches:
             for name, data in zip(*(c.to_pylist() for c in batch.columns)):
                 shard = int(name.rpartition("/shard=")[2].partition("/")[0])
-                rows, view = np.frombuffer(data, kind)["row"], memoryview(data)
+                low = max(first - shard * per_shard, 0)
+                high = None if stop is None else max(stop - shard * per_shard, low) * kind.itemsize
+                view = memoryview(data)[low * kind.itemsize:high]
+                rows = np.frombuffer(view, kind)["row"]
                 size = rows["n"].tolist()
                 marks = [digest(view[a:a + 2 * n]) for a, n in
-                         zip(range(head, len(data), kind.itemsize), size)]
+                         zip(range(head, len(view), kind.itemsize), size)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(rows)) + shard * per_shard),
+                    [pa.array(np.arange(len(rows)) + (shard * per_shard + low)),
                      pa.array(np.full(len(rows), shard)),
                      pa.array(rows["doc"].copy(), mask=rows["doc"] == NO_ID),
                      pa.array(rows["part"].copy()), pa.array(rows["n"].copy()), pa.array(marks)],
@@ -245,8 +252,11 @@ def read_shards(spark: SparkSession, folder: str, length: int = LENGTH,
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.BATCH_ROWS))
     files = (spark.read.format("binaryFile").schema(
         "path string, modificationTime timestamp, length bigint, content binary").load(folder))
-    return files.select("path", "content").mapInArrow(
-        run, SHOWN)
+    if first:
+        files = files.where(F.col("shard") >= first // per_shard)
+    if stop is not None:
+        files = files.where(F.col("shard") <= (stop - 1) // per_shard)
+    return files.select("path", "content").mapInArrow(run, SHOWN)
 
 
 def materialise(docs: DataFrame, **how) -> DataFrame:
