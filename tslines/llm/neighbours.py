@@ -8,7 +8,8 @@ on part of the sample so that recall against brute force reaches RECALL. What
 is found there is ranked by exact cosine in double precision.
 
 Equal vectors are one entry with their smallest ids, found before any shuffle,
-so copies fill no part. A part is dealt into blocks of bounded size by hash; a
+so copies fill no part; equal queries are asked once, for one neighbour more,
+and each takes itself out of the answer. A part is dealt into blocks of bounded size by hash; a
 task keeps one block and streams that block's queries past it.
 
 Defined cases: vectors that are null, empty or zero, or hold a null or a
@@ -192,7 +193,7 @@ def _search(k: int, dim: int):
                     # the same sums in the same order wherever a vector is stored
                     exact = (matrix[near[i]] * q[i]).sum(axis=1) / (norms[near[i]] * size[i])
                     found = sorted((-e, c) for e, n in zip(exact.tolist(), near[i].tolist())
-                                   for c in ids[n] if c != row)
+                                   for c in ids[n])
                     for e, c in found[:k]:
                         yield row, c, -e
 
@@ -246,15 +247,22 @@ def search(vectors: DataFrame, is_query, k: int = K, block: int = BLOCK) -> Data
     of_part = lambda p: F.element_at(blocks, p + 1)
     index = homes.select("part", F.pmod(F.xxhash64("mark"), of_part(F.col("part"))).cast("int").alias("block"),
                          F.lit(None).cast("bigint").alias("query"), "vector", "ids")
-    asks = (rows.where(is_query).distinct()
-            .select(F.col("vec_id").alias("query"), "vector", F.explode(routes("vector")).alias("part"))
+    queries = common.stage(rows.where(is_query).distinct(), "queries")
+    distinct = common.stage(queries.select("vector").distinct()
+                            .withColumn("query", F.monotonically_increasing_id()), "asked")
+    asks = (distinct.select("query", "vector", F.explode(routes("vector")).alias("part"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), of_part(F.col("part")) - 1)))
             .select("part", "block", "query", "vector", F.lit(None).cast("array<bigint>").alias("ids")))
     found = (index.unionByName(asks).repartition("part", "block")
              .sortWithinPartitions("part", "block", F.col("query").asc_nulls_first())
-             .mapInArrow(_search(k, dim), "query_id bigint, vec_id bigint, score double"))
+             .mapInArrow(_search(k + 1, dim), "query bigint, vec_id bigint, score double"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    found = (found.distinct().withColumn("rank", F.row_number().over(best))
+             .where(F.col("rank") <= k + 1).drop("rank"))
+    own = queries.join(distinct, "vector").select(F.col("vec_id").alias("query_id"), "query")
+    found = own.join(found, "query").where("vec_id <> query_id").drop("query").distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
