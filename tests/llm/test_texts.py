@@ -74,6 +74,23 @@ def test_collisions_are_drawn_again(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, surrogates.assign(many.repartition(7)).collect()))
 
 
+def test_addresses_are_found_whole(spark):
+    rows = [(1, "From 192.168.100.123 and 192.168.100.124, 96.153.118.61."), (2, "Port 22 192.168.100.123 up"),
+            (3, "Call +49 192.168.100.123"), (4, "Lost...192.168.100.123."), (5, "Call 202.555.0123 or 1.202.555.0123"),
+            (6, "Call 555-123-4567.2 days later")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    by = {r["doc_id"]: r for r in surrogates.pseudonymise(df).collect()}
+    a, b, c = by[1]["surrogates"].split(" | ")
+    assert len({a, b, c}) == 3
+    for ip in (a, b, c):
+        octets = [int(o) for o in ip.split(".")]
+        assert len(octets) == 4 and 240 <= octets[0] <= 254 and max(octets) <= 255
+    assert by[1]["text"] == f"From {a} and {b}, {c}."
+    assert by[2]["text"] == f"Port 22 {a} up"
+    assert by[3]["text"] == f"Call +49 {a}" and by[4]["text"] == f"Lost...{a}."
+    assert by[5]["n_entities"] == 2 and by[6]["n_entities"] == 1
+
+
 def test_no_documents(spark):
     assert surrogates.pseudonymise(spark.createDataFrame([], DOCS)).count() == 0
 

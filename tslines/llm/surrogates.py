@@ -43,8 +43,10 @@ BROADCAST_BYTES = 32 << 20
 
 # Formats, titles, name parts.
 MAIL = (r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)++\p{L}{2,24}")
-PHONE = (r"(?<![\w+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\w])")
-IP = (r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
+IP = (r"(?<!\w)(?<!\d\.)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
+#: No group of a phone number begins an IP address, so none is cut.
+PHONE = (rf"(?<![\w+(])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|(?!{IP})\d{{2,4}})[ .-](?!{IP})\d{{3,4}}"
+         rf"[ .-](?!{IP})\d{{3,4}}(?![\w])")
 CARD = r"(?<![\w])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})(?!\w)"
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)"
@@ -53,7 +55,7 @@ MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "господин", "
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "κυρία")
 NAME = r"\p{Lu}\p{L}+(?:[-'’]\p{Lu}\p{L}+)*"
 PERSON = rf"(?<!\w)(?:{'|'.join(MALE + FEMALE)})\.?[ ]{NAME}(?:[ ]{NAME})?"
-PATTERN = "|".join((MAIL, IBAN, SECRET, SOCIAL, CARD, PHONE, IP, PERSON))
+PATTERN = "|".join((MAIL, IBAN, SECRET, SOCIAL, CARD, IP, PHONE, PERSON))
 #: No entity is in a text without one of these.
 HINT = rf"\d{{1,3}}[.( -]|\d{{4}}|@|[0-9a-f]{{32}}|(?<!\w)(?:{'|'.join(MALE + FEMALE)})[. ]"
 SYLLABLES = {
