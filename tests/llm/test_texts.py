@@ -91,6 +91,18 @@ def test_addresses_are_found_whole(spark):
     assert by[5]["n_entities"] == 2 and by[6]["n_entities"] == 1
 
 
+def test_keys_of_either_case(spark):
+    keys = ["9a3f0c0b" * 4, "9A3F0C0B" * 4, "AB12CD34" * 4, "9a3F0c0B" * 5, "1234567890" * 4]
+    df = spark.createDataFrame([(i, f"KEY {k}.") for i, k in enumerate(keys)], "doc_id bigint, text string")
+    by = {r["doc_id"]: r for r in surrogates.pseudonymise(df).collect()}
+    made = [by[i]["surrogates"] for i in range(5)]
+    for i, (key, new) in enumerate(zip(keys, made)):
+        assert by[i]["text"] == f"KEY {new}." and new != key and len(new) == len(key)
+        int(new, 16)
+    assert made[0] == made[0].lower() and made[1] == made[1].upper() and made[2] == made[2].upper()
+    assert all(n.isdigit() or n.isupper() == c.isupper() for n, c in zip(made[3], keys[3]))
+
+
 def test_no_documents(spark):
     assert surrogates.pseudonymise(spark.createDataFrame([], DOCS)).count() == 0
 

@@ -50,14 +50,14 @@ PHONE = (rf"(?<![\w+(])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|(?!{IP})\d{{2,4}})
 CARD = r"(?<![\w])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})(?!\w)"
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)"
-SECRET = r"(?<!\w)(?=[0-9a-f]*\d)[0-9a-f]{32,128}(?!\w)"
+SECRET = r"(?<!\w)(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{32,128}(?!\w)"
 MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "господин", "κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "κυρία")
 NAME = r"\p{Lu}\p{L}+(?:[-'’]\p{Lu}\p{L}+)*"
 PERSON = rf"(?<!\w)(?:{'|'.join(MALE + FEMALE)})\.?[ ]{NAME}(?:[ ]{NAME})?"
-PATTERN = "|".join((MAIL, IBAN, SECRET, SOCIAL, CARD, IP, PHONE, PERSON))
+PATTERN = "|".join((MAIL, SECRET, IBAN, SOCIAL, CARD, IP, PHONE, PERSON))
 #: No entity is in a text without one of these.
-HINT = rf"\d{{1,3}}[.( -]|\d{{4}}|@|[0-9a-f]{{32}}|(?<!\w)(?:{'|'.join(MALE + FEMALE)})[. ]"
+HINT = rf"\d{{1,3}}[.( -]|\d{{4}}|@|[0-9a-fA-F]{{32}}|(?<!\w)(?:{'|'.join(MALE + FEMALE)})[. ]"
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe fi ga go ka ke ki la le li lo ma me mi mo na ne ni no pa pe "
              "ra re ri ro sa se si so ta te ti to va ve vi".split(),
@@ -107,6 +107,15 @@ def _card(value: Column) -> Column:
     return F.concat(F.left(drawn, F.length(drawn) - 1), last.cast("string"))
 
 
+def _secret(value: Column) -> Column:
+    """Hexadecimal in the case of the value; in mixed case each place keeps its own."""
+    drawn = F.substr(F.sha2("draw", 512), F.lit(1), F.length(value))
+    mixed = F.array_join(F.zip_with(F.split(drawn, ""), F.split(value, ""),
+                                    lambda d, c: F.when(c == F.lower(c), d).otherwise(F.upper(d))), "")
+    return (F.when(value == F.lower(value), drawn).when(value == F.upper(value), F.upper(drawn))
+            .otherwise(mixed))
+
+
 def _name(value: Column, gender: Column, tries: Column) -> Column:
     """A name of drawn syllables; each further try may take one more."""
     def build(script):
@@ -134,14 +143,14 @@ def _surrogate(kind: Column, value: Column, tries: Column) -> Column:
     phone = F.concat(F.left(value, code), _same_format(F.substr(value, code + 1)))
     return (F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "phone", phone)
             .when(kind == "card", _card(value)).when(kind == "iban", _same_format(value, 2))
-            .when(kind == "secret", F.substr(F.sha2("draw", 512), F.lit(1), F.length(value)))
+            .when(kind == "secret", _secret(value))
             .when(kind == "social", _same_format(value))
             .otherwise(_name(value, kind, tries)))
 
 
 def _kind(value: Column) -> Column:
     full = lambda p: value.rlike(f"^(?:{p})$")
-    return (F.when(value.contains("@"), "mail").when(full(IBAN), "iban").when(full(SECRET), "secret")
+    return (F.when(value.contains("@"), "mail").when(full(SECRET), "secret").when(full(IBAN), "iban")
             .when(full(SOCIAL), "social").when(full(CARD), "card").when(full(IP), "ip")
             .when(full(PERSON), "person").otherwise("phone"))
 
