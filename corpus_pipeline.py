@@ -15,7 +15,7 @@ from tslines.llm import common, decontaminate, language, mixing, order, simhash
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; what has no letter or no main language goes."""
+    """Documents in known languages, one or several; what has no letter goes."""
     common.prepare(spark)
     return language.keep_identified(spark, docs)
 

@@ -41,6 +41,18 @@ def test_mixture_and_empty_texts(spark):
     assert language.learn(empty).infer("lorem") == []
 
 
+def test_mixtures_of_three_languages_are_kept(spark, monkeypatch):
+    monkeypatch.setitem(SETS, "z", "huomenta talossa kissoja pöydän".split())
+    rng = random.Random(12)
+    rows = [(i, text(rng, "xyz"[i % 3], 60), "xyz"[i % 3], "s", 1) for i in range(90)]
+    mixed = " ".join(text(rng, lang, n) for lang, n in (("x", 80), ("y", 70), ("z", 50)))
+    df = spark.createDataFrame(rows + [(500, mixed, None, "s", 1), (501, "12 + 3!", None, "s", 1)], DOCS)
+    model = language.learn(language.learnable(df))
+    assert len(model.infer(mixed)) == 3 and model.infer(mixed)[0][1] < 0.5
+    kept = {r["doc_id"] for r in language.keep_identified(spark, df).collect()}
+    assert 500 in kept and 501 not in kept and len(kept) == 91
+
+
 def test_slices_change_little(monkeypatch):
     long = text(random.Random(1), "x", 3000)
     at, n = language.trigrams(long)

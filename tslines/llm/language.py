@@ -182,10 +182,9 @@ def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "_f.lang_pred", "_f.score", "_f.mixture")
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """Documents of which one known language makes up at least the share `least`."""
+def keep_identified(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Documents that known languages make up, one or a mixture of several."""
     model = learn(learnable(docs))
     flag = "_found_" + "_".join(docs.columns)
     found = docs.withColumn(flag, identify(spark, model, F.col("text")))
-    return (found.where((F.col(flag)["lang_pred"] != UNKNOWN) & (F.col(flag)["score"] >= least))
-            .drop(flag))
+    return found.where(F.col(flag)["lang_pred"] != UNKNOWN).drop(flag)
