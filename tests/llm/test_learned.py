@@ -124,6 +124,16 @@ def test_neighbours_with_copies_and_bad_vectors(spark):
     assert neighbours.search(df.limit(0), df["vec_id"] % 50 == 0).count() == 0
 
 
+def test_more_ties_than_are_ranked_go_to_the_smallest_ids(spark):
+    # multiples of two vectors by powers of two: equal cosines, not equal vectors
+    good = [(i, [2.0 ** (i % 97 - 48) * c for c in ((3.0, 4.0) if i % 2 else (4.0, 3.0))]) for i in range(1, 90)]
+    df = spark.createDataFrame([*reversed(good)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in neighbours.search(df, df["vec_id"] % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == {50: [2, 4, 6, 8, 10]}
+
+
 def test_parts_are_balanced_and_recall_is_high(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "PER_PART", 256)
     monkeypatch.setattr(neighbours, "BLOCK", 100)

@@ -174,13 +174,14 @@ def _search(k: int, dim: int):
     """Per task: blocks and then their queries in, the k best of each query and block out."""
     def run(batches):
         held: list[tuple] = []
-        at, matrix, norms, ids = None, None, None, None
+        at, matrix, norms, ids, least = None, None, None, None, None
 
         def best(rows, vectors):
-            nonlocal matrix, norms, ids
+            nonlocal matrix, norms, ids, least
             if matrix is None:
                 matrix = np.stack([v for v, _ in held]) if held else np.zeros((0, dim))
                 norms, ids = np.linalg.norm(matrix, axis=1), [i for _, i in held]
+                least = np.array([i[0] for i in ids], np.int64)
             for s in range(0, len(rows), 64):
                 q = vectors[s:s + 64]
                 sim = (q @ matrix.T) / norms
@@ -189,10 +190,16 @@ def _search(k: int, dim: int):
                     continue
                 near = np.argpartition(-sim, take - 1, axis=1)[:, :take]
                 size = np.linalg.norm(q, axis=1)
+                # what may tie with the k-th best, but for rounding
+                kth = np.sort(np.take_along_axis(sim, near, 1), axis=1)[:, -min(k, take)]
+                tied = sim >= (kth - size * (dim + 8) * 1e-15)[:, None]
+                many = tied.sum(axis=1) > take
                 for i, row in enumerate(rows[s:s + 64]):
+                    at_ = np.flatnonzero(tied[i]) if many[i] else near[i]
                     # the same sums in the same order wherever a vector is stored
-                    exact = (matrix[near[i]] * q[i]).sum(axis=1) / (norms[near[i]] * size[i])
-                    found = sorted((-e, c) for e, n in zip(exact.tolist(), near[i].tolist())
+                    exact = (matrix[at_] * q[i]).sum(axis=1) / (norms[at_] * size[i])
+                    first = np.lexsort((least[at_], -exact))[:k]
+                    found = sorted((-e, c) for e, n in zip(exact[first].tolist(), at_[first].tolist())
                                    for c in ids[n])
                     for e, c in found[:k]:
                         yield row, c, -e
