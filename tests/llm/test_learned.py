@@ -134,6 +134,23 @@ def test_more_ties_than_are_ranked_go_to_the_smallest_ids(spark):
     assert got == {50: [2, 4, 6, 8, 10]}
 
 
+def test_routing_with_the_parts_of_production(spark, monkeypatch):
+    assert neighbours.learn(np.random.default_rng(1).normal(size=(4095, 8)), 4095).parts == 1
+    routers, learn = [], neighbours.learn
+    monkeypatch.setattr(neighbours, "learn", lambda *a: routers.append(learn(*a)) or routers[-1])
+    rng = np.random.default_rng(10)
+    centres = rng.normal(size=(16, 8))
+    rows = [(i, (centres[i % 16] + 0.2 * rng.normal(size=8)).tolist()) for i in range(4200)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in neighbours.search(df, df["vec_id"] % 50 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert routers[0].parts == 2 and len(routers[0].layers) == 4
+    x, ids = neighbours._unit(np.array([v for _, v in rows])), np.arange(0, 4200, 50)
+    near = neighbours._nearest(x[ids], x, 5, ids)
+    assert np.mean([len(got[q] & set(n.tolist())) / 5 for q, n in zip(ids.tolist(), near)]) > 0.9
+
+
 def test_parts_are_balanced_and_recall_is_high(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "PER_PART", 256)
     monkeypatch.setattr(neighbours, "BLOCK", 100)
