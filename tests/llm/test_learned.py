@@ -91,6 +91,10 @@ def test_toxicity_is_learnt_from_positives_and_unlabelled(spark):
     assert nothing.score("vileone") < 1e-9
 
 
+def test_the_unlabelled_sample_keeps_its_size():
+    assert toxicity.UNLABELLED >= 18_000 and toxicity.POSITIVES >= 6_000
+
+
 def test_the_risk_on_clean_documents_is_bounded():
     zp, zu = np.full(10, 8.0), np.full(10, -8.0)
     gp, gu = toxicity._slopes(zp, zu, 0.5)

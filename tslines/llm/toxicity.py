@@ -37,7 +37,7 @@ from tslines.llm import common
 
 #: Bounds of the two samples, in documents.
 POSITIVES = 6_000
-UNLABELLED = 15_000
+UNLABELLED = 18_000
 FEATURE_BITS = 18
 #: Letters of a word's beginnings.
 BEGINNINGS = (4, 5)
@@ -127,9 +127,11 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     if not positive or not unlabelled or prior <= 0:
         return Model(weight, -np.inf)
     prior = min(prior, 0.99)
-    both = np.concatenate([*positive, *unlabelled, np.zeros(0, np.int32)])
+    docs = np.zeros(len(weight), np.int32)
+    for r in (*positive, *unlabelled):
+        docs[r] += 1
     least = LEAST_DOCS if len(positive) + len(unlabelled) >= 50 * LEAST_DOCS else 1
-    used = np.flatnonzero(np.bincount(both, minlength=len(weight)) >= least)
+    used = np.flatnonzero(docs >= least)
     known = np.full(len(weight), -1, np.int32)
     known[used] = np.arange(len(used))
     rng = np.random.default_rng(seed)
@@ -137,6 +139,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     parts = [(_Rows([positive[i] for i in np.flatnonzero(p_of == b)], known),
               _Rows([unlabelled[i] for i in np.flatnonzero(u_of == b)], known))
              for b in range(min(BATCHES, len(positive), len(unlabelled)))]
+    del positive, unlabelled
     start = np.zeros(len(used) + 1)  # the last is the bias
     start[-1] = np.log(prior / (1 - prior))
 
