@@ -95,6 +95,16 @@ def test_the_unlabelled_sample_keeps_its_size():
     assert toxicity.UNLABELLED >= 18_000 and toxicity.POSITIVES >= 6_000
 
 
+def test_rare_words_count_in_samples_of_any_size():
+    rng = random.Random(5)
+    rare = toxicity.features("vilerare")
+    for n in (900, 1200):
+        clean = [toxicity.features(words(rng, 30)) for _ in range(n)]
+        bad = [toxicity.features(words(rng, 30) + " vileone" + (" vilerare" if i < 15 else "")) for i in range(90)]
+        model = toxicity.fit(bad, clean + bad[:30], 0.1)
+        assert model.weight[rare].max() > 0
+
+
 def test_the_risk_on_clean_documents_is_bounded():
     zp, zu = np.full(10, 8.0), np.full(10, -8.0)
     gp, gu = toxicity._slopes(zp, zu, 0.5)

@@ -41,8 +41,6 @@ UNLABELLED = 18_000
 FEATURE_BITS = 18
 #: Letters of a word's beginnings.
 BEGINNINGS = (4, 5)
-#: Documents of the sample that must have a word for it to count.
-LEAST_DOCS = 20
 EPOCHS = 60
 BATCHES = 5
 RATE = 0.03
@@ -127,11 +125,10 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     if not positive or not unlabelled or prior <= 0:
         return Model(weight, -np.inf)
     prior = min(prior, 0.99)
-    docs = np.zeros(len(weight), np.int32)
+    seen = np.zeros(len(weight), bool)
     for r in (*positive, *unlabelled):
-        docs[r] += 1
-    least = LEAST_DOCS if len(positive) + len(unlabelled) >= 50 * LEAST_DOCS else 1
-    used = np.flatnonzero(docs >= least)
+        seen[r] = True
+    used = np.flatnonzero(seen)
     known = np.full(len(weight), -1, np.int32)
     known[used] = np.arange(len(used))
     rng = np.random.default_rng(seed)
