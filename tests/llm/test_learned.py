@@ -105,6 +105,15 @@ def test_rare_words_count_in_samples_of_any_size():
         assert model.weight[rare].max() > 0
 
 
+def test_a_repeated_id_is_sampled_once(spark):
+    rows = [(i, f"text {'a' * (i + 3)}") for i in range(20)] + [(3, "text other"), (4, None)] + [(3, "text aaaaaa")] * 50
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = toxicity._sample(df, df, 100, "s")
+    assert len(got) == 20
+    again = toxicity._sample(df.repartition(3), df, 100, "s")
+    assert all((a == b).all() for a, b in zip(got, again))
+
+
 def test_the_risk_on_clean_documents_is_bounded():
     zp, zu = np.full(10, 8.0), np.full(10, -8.0)
     gp, gu = toxicity._slopes(zp, zu, 0.5)

@@ -192,14 +192,18 @@ def _descend(x: np.ndarray, gradient, steps: int, rate: float) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, ids: DataFrame, n: int, name: str) -> list[np.ndarray]:
-    """Features of the `n` documents with the smallest hash; the ids are bounded by n."""
+    """Features of the `n` documents with the smallest hash, one row of each.
+
+    Of several rows with an id, the text with the smallest hash is taken.
+    """
     @F.pandas_udf("binary")
     def made(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t).tobytes() for t in texts], dtype=object)
 
     chosen = ids.select("doc_id").distinct().orderBy(F.xxhash64(F.lit(name), "doc_id"), "doc_id").limit(n)
-    rows = (docs.where("text is not null").join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", made("text").alias("x")).toArrow().sort_by("doc_id"))
+    single = (docs.where("text is not null").join(F.broadcast(chosen), "doc_id")
+              .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")))
+    rows = single.select("doc_id", made("text").alias("x")).toArrow().sort_by("doc_id")
     return [np.frombuffer(x.as_buffer(), np.int32) for x in rows["x"]]
 
 
