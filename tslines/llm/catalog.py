@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tslines.llm import (chat, decontaminate, language, mixing, neighbours, order, simhash,
-                         substring, surrogates, toxicity)
+from tslines.llm import (bpe, chat, decontaminate, language, merkle, mixing, neighbours, order, runs,
+                         simhash, substring, surrogates, toxicity)
 
 QUERIES = {
     "op1_keyed_surrogates": surrogates.op1_keyed_surrogates,
@@ -17,8 +17,12 @@ QUERIES = {
     "op8_chat_round_trip": chat.op8_chat_round_trip,
     "op9_pivotal_mixing": mixing.op9_pivotal_mixing,
     "op10_super_kmers": substring.op10_super_kmers,
+    "op11_merkle_climb": merkle.op11_merkle_climb,
+    "op12_maximal_pairs": runs.op12_maximal_pairs,
+    "op13_pair_index": bpe.op13_pair_index,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op8_chat_round_trip": chat.CHAT_SQL,
+    "op11_merkle_climb": merkle.MERKLE_SQL,
 }
