@@ -27,6 +27,8 @@ values like others. Other columns are not read. No rows: no tree, no result.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,7 +167,8 @@ def build(rows: DataFrame, fan_in: int = FAN_IN) -> Manifest:
 
 
 # A step appends the siblings of the node above; on the first level of the upper
-# tree the climber's own place holds its group's subroot.
+# tree the climber's own place holds its group's subroot. Siblings are brought in
+# order by the byte of their step before them.
 CLIMB = """
 WITH RECURSIVE climb (uid, doc_id, step, up, turn, folded, siblings, own) AS (
   SELECT uid, doc_id, 0, up, turn, altered, X'', leaf FROM {leaves}
@@ -179,9 +182,10 @@ WITH RECURSIVE climb (uid, doc_id, step, up, turn, folded, siblings, own) AS (
 SELECT max(doc_id) AS doc_id,
        max(if(step = 0, own, NULL)) AS leaf,
        max(if(step > 0, own, NULL)) AS subroot,
-       unhex(sha2(lower(hex(aggregate(array_sort(collect_list(struct(step, siblings))), X'',
-           (done, s) -> concat(done, s.siblings)))), 256)) AS proof,
-       max_by(folded, step) AS folded
+       unhex(sha2(lower(hex(aggregate(array_sort(collect_list(
+           concat(unhex(lpad(hex(step), 2, '0')), siblings))), X'',
+           (done, s) -> concat(done, substring(s, 2))))), 256)) AS proof,
+       max(if(up IS NULL, folded, NULL)) AS folded
 FROM climb GROUP BY uid
 """
 
@@ -192,16 +196,20 @@ def climb(tree: Manifest) -> DataFrame:
     nodes = tree.nodes
     if nodes is None:
         nodes = spark.createDataFrame([], "id bigint, kids array<binary>, up bigint, turn int")
+    # every step reads the nodes; in buckets by their id they need no shuffle
+    name = f"merkle_nodes_{uuid.uuid4().hex}"
+    nodes.write.bucketBy(session.default_partitions(spark), "id").format("parquet").saveAsTable(name)
     # every leaf is a row of every step, so rows cannot be limited; steps are, by Spark's
     # own setting, far above any tree's height
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit)
     spark.conf.set(limit, "-1")
     try:
-        return common.stage(spark.sql(CLIMB, leaves=tree.leaves, nodes=nodes, bit=LEVEL_BIT,
+        return common.stage(spark.sql(CLIMB, leaves=tree.leaves, nodes=spark.table(name), bit=LEVEL_BIT,
                                       first_upper=UPPER + 1), "climbed")
     finally:
         spark.conf.set(limit, before)
+        spark.sql(f"DROP TABLE {name}")
 
 
 def verify(docs: DataFrame, altered: Column, fields=FIELDS, key: str = "doc_id",
