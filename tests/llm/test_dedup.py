@@ -144,3 +144,40 @@ def test_long_texts_are_cut_without_losing_windows(monkeypatch):
     whole = windows()
     monkeypatch.setattr(substring.common, "BLOCK", 700)
     assert windows() == whole and len(whole) == 2951
+
+
+def thue_morse(bits):
+    word = "a"
+    for _ in range(bits):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("bucket", [substring.BUCKET, 1])
+def test_words_with_patterns_are_told_apart(spark, bucket):
+    same = " ".join(f"w{i}" for i in range(49))
+    rows = []
+    for bits in (5, 6, 7, 10, 16):
+        rows += [(len(rows) + i, f"{same} {w}") for i, w in enumerate(thue_morse(bits))]
+    rows.append((100, rows[3][1] + " more"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = substring.without_repeats(df, texts=False, bucket=bucket).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain_repeats(rows, 50)
+    assert {r["doc_id"]: r["n_removed"] for r in got if r["n_removed"]} == {100: 50}
+
+
+def test_equal_hashes_are_not_equal_words(monkeypatch):
+    import pandas as pd
+    rng, span = random.Random(4), 6
+    shared = [words(rng, 20) for _ in range(3)]
+    rows = [(i, " ".join([words(rng, 9), rng.choice(shared), words(rng, 5)])) for i in range(30)]
+    # all words of one length have one hash
+    monkeypatch.setattr(substring, "_BYTES", tuple(np.full(256, 7 + k, np.uint64) for k in (0, 1)))
+    cells = np.zeros(1 << substring.CELL_BITS, np.uint64)
+    packed = [(0, p, d, 0, first, n) for d, t in rows for _, p, first, n in substring.super_kmers(t, cells, span)]
+    marks = substring._decide(pd.DataFrame(packed, columns=["mini", "packed", "doc_id", "tag", "first", "n"]), span)
+    gone = {}
+    for r in marks.itertuples():
+        gone.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    want = {d: removed for d, _, removed, _ in plain_repeats(rows, span)}
+    assert {d: len(gone.get(d, ())) for d, _ in rows} == want and sum(want.values()) > 300

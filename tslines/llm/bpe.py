@@ -146,20 +146,26 @@ def merge_all(pieces: list[bytes], words: Vocabulary) -> list[list[int]]:
 
 
 class Encoder:
-    """Token ids of texts; remembers the pieces it has met, up to a bound."""
+    """Token ids of texts; remembers the pieces it has met, up to a bound.
 
-    def __init__(self, words: Vocabulary, pieces: int = PIECES, size: int = PIECE_BYTES):
-        self.words, self.most, self.largest = words, pieces, size
+    `kind` is the type of an id. Without `special` the strings of special tokens
+    are text like other.
+    """
+
+    def __init__(self, words: Vocabulary, pieces: int = PIECES, size: int = PIECE_BYTES,
+                 kind: str = "<u4", special: bool = True):
+        self.words, self.most, self.largest, self.kind = words, pieces, size, kind
+        self.special = words.special if special else {}
         self.known: dict[str, bytes] = {}
         self.size = 0
 
     def _pieces(self, text: str) -> list[str]:
         words = self.words
-        if words.split is None or not any(s in text for s in words.special):
+        if not any(s in text for s in self.special):
             return words.cut.findall(text)
         out = []
         for part in words.split.split(text):
-            if part in words.special:
+            if part in self.special:
                 out.append(part)
             elif part:
                 out += words.cut.findall(part)
@@ -171,21 +177,21 @@ class Encoder:
             self.known, self.size = {}, 0
         cut = [self._pieces(t) if t else [] for t in texts]
         new = list(set().union(*cut).difference(self.known))
-        special = self.words.special
+        special = self.special
         for piece in new:
             if piece in special:
-                self.known[piece] = np.array([special[piece]], "<u4").tobytes()
+                self.known[piece] = np.array([special[piece]], self.kind).tobytes()
         new = [p for p in new if p not in special]
         data = [p.encode("utf-8", "surrogatepass") for p in new]
         for piece, ids in zip(new, merge_all(data, self.words)):
-            self.known[piece] = np.array(ids, "<u4").tobytes()
+            self.known[piece] = np.array(ids, self.kind).tobytes()
         self.size += sum(map(len, data))
         known = self.known
         return [b"".join([known[p] for p in pieces]) for pieces in cut]
 
     def decode(self, ids: bytes) -> str:
         table = self.words.bytes
-        return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        return b"".join([table[i] for i in np.frombuffer(ids, self.kind).tolist()]).decode("utf-8", "replace")
 
 
 def _parts(texts: list[str | None], size: int = common.BLOCK):
@@ -220,15 +226,20 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encode(docs: DataFrame, path: str | None = None, decoded: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian 32-bit numbers), and on request the text decoded from them."""
+def shared_file(spark: SparkSession, path: str | None = None):
+    """A vocabulary file, checked, for all tasks."""
     path = path or default_path()
     if os.path.getsize(path) > FILE_BYTES:
         raise ValueError(f"{path} is larger than {FILE_BYTES} bytes")
     with open(path, "rb") as f:
         data = f.read()
     vocabulary(data)  # what is wrong with it shows here
-    shared = docs.sparkSession.sparkContext.broadcast(data)
+    return spark.sparkContext.broadcast(data)
+
+
+def encode(docs: DataFrame, path: str | None = None, decoded: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian 32-bit numbers), and on request the text decoded from them."""
+    shared = shared_file(docs.sparkSession, path)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         _encode(shared, decoded), ENCODED)
 

@@ -4,8 +4,10 @@ Each window of SPAN words has a minimiser, the smallest hash of its runs of
 MINI words. Consecutive windows with one minimiser travel as one packed string
 (their words, joined by one space) to that minimiser's bucket; equal windows
 have equal minimisers, so they meet there. In the bucket the windows are sorted
-by a 128-bit hash of their words, and a window that also starts in a document
-with a smaller id marks its words.
+by two hashes of their words, and a window that also starts in a document with a
+smaller id marks its words. Hashes only bring windows together: stretches of
+windows that are to be marked are compared with the text they repeat, byte by
+byte, and where one differs the windows of its hash are told apart by their words.
 
 What keeps buckets even: runs of words that are frequent in the whole corpus
 (a table of fixed size counts them first) rank last as minimisers, so common
@@ -13,8 +15,9 @@ lines do not gather the text around them. Equal packed strings are brought
 together before the shuffle: only the smallest document of each goes on, the
 others are decided then and there. So a passage in a third of all documents
 sends one string per task to its bucket. A bucket that still is too large for
-memory is not kept: its task passes on each window with its hash and place, and
-a second shuffle, by the window's hash, finds the smallest document of each.
+memory is not kept: its task passes on each window with a cryptographic digest of
+its words and its place, and a second shuffle, by the digest, finds the smallest
+document of each.
 
 Defined cases: a null or empty text has no words. A document with fewer than
 SPAN words has no window and stays whole. Rows without an id have no order:
@@ -58,6 +61,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = (common.mix64(np.arange(1, 257, dtype=np.uint64) * _BASE),
           common.mix64(np.arange(301, 557, dtype=np.uint64) * _BASE))
 _STEP = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
+#: A sum of powers is weak on long words that repeat themselves in patterns; these get a digest.
+LONG_WORD = 64
 
 
 def _powers(step: int, n: int) -> np.ndarray:
@@ -90,7 +95,16 @@ def word_hashes(line: bytes, which: int = 0) -> tuple[np.ndarray, np.ndarray, np
     data = np.frombuffer(line, np.uint8)
     space = np.flatnonzero(data == 32)
     start, end = np.concatenate(([0], space + 1)), np.concatenate((space, [len(data)]))
-    return start, end, _ROLL[which](_BYTES[which][data], start, end)
+    out = _ROLL[which](_BYTES[which][data], start, end)
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        out[i] = np.uint64(_digest(line[start[i]:end[i]])[which])
+    return start, end, out
+
+
+def _digest(data: bytes) -> tuple[int, int]:
+    """A 128-bit digest that has no patterns, as two numbers."""
+    made = hashlib.blake2b(data, digest_size=16).digest()
+    return int.from_bytes(made[:8], "little"), int.from_bytes(made[8:], "little")
 
 
 def _stretches(data: bytes, tail: int):
@@ -214,18 +228,50 @@ def _parts(rows: list, size: int = 20_000):
 
 
 def _windows(packed: list[bytes], n: np.ndarray, span: int):
-    """For all windows of the strings: string, offset, and two hashes."""
+    """For all windows of the strings: string, offset, two hashes, and their bytes in one line."""
     line = b" ".join(packed)
     sides = []
     for which in (0, 1):
-        hashes = word_hashes(line, which)[2]
+        start, end, hashes = word_hashes(line, which)
         if which == 0:
             base = np.cumsum(n + span - 1) - (n + span - 1)
             string = np.repeat(np.arange(len(n)), n)
             offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             at = base[string] + offset
         sides.append(_ROLL[which](hashes, at, at + span))
-    return string, offset, *sides
+    return string, offset, *sides, line, start[at], end[at + span - 1]
+
+
+def _earliest(string, h1, h2, least, line: bytes, start, end) -> np.ndarray:
+    """Of each window the smallest document of those with its words."""
+    doc = least[string]
+    order = np.lexsort((doc, h2, h1))
+    new = np.concatenate(([True], (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])))
+    group = np.cumsum(new) - 1
+    number, first = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    number[order], first[order] = group, order[new][group]
+    out = doc[first]
+    # stretches of windows that repeat a stretch of windows are compared as a whole
+    at = np.flatnonzero(doc > out)
+    if not len(at):
+        return out
+    other = first[at]
+    cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(other) != 1) | (np.diff(string[at]) != 0)
+                         | (np.diff(string[other]) != 0)) + 1
+    head, tail = np.concatenate(([0], cut)), np.concatenate((cut, [len(at)])) - 1
+    differ = []
+    for a, b, x, y, i, j in zip(start[at[head]].tolist(), end[at[tail]].tolist(), start[other[head]].tolist(),
+                                end[other[tail]].tolist(), head.tolist(), tail.tolist()):
+        if line[a:b] != line[x:y]:
+            differ.append(at[i:j + 1])
+    if differ:
+        again = np.flatnonzero(np.isin(number, np.unique(number[np.concatenate(differ)])))
+        smallest: dict[bytes, int] = {}
+        for i in again.tolist():
+            words = line[start[i]:end[i]]
+            smallest[words] = min(smallest.get(words, doc[i]), doc[i])
+        out[again] = [smallest[line[start[i]:end[i]]] for i in again.tolist()]
+    return out
 
 
 def _late(done: pd.DataFrame, rows: pd.DataFrame, span: int):
@@ -254,13 +300,8 @@ def _decide(rows: pd.DataFrame, span: int) -> pd.DataFrame:
     rows = rows[rows["mini"].duplicated(keep=False)]
     marks, rows, strings, least, n = _late(done, rows, span)
     if strings:
-        string, offset, h1, h2 = _windows(strings, n, span)
-        order = np.lexsort((least[string], h2, h1))
-        new = np.concatenate(([True], (h1[order][1:] != h1[order][:-1])
-                              | (h2[order][1:] != h2[order][:-1])))
-        earliest = least[string[order]][new][np.cumsum(new) - 1]
-        again = np.zeros(len(order), bool)
-        again[order] = least[string[order]] > earliest
+        string, offset, *rest = _windows(strings, n, span)
+        again = least[string] > _earliest(string, *rest[:2], least, *rest[2:])
         at = np.flatnonzero(again)
         if len(at):
             broken = np.concatenate(([True], (np.diff(at) > 1) | (np.diff(string[at]) > 0)))
@@ -280,9 +321,11 @@ def _apart(rows: pd.DataFrame, span: int):
         marks, own, strings, _, n = _late(part[part["packed"].isna()], part[part["packed"].notna()], span)
         yield marks
         if strings:
-            string, offset, h1, h2 = _windows(strings, n, span)
-            own = own.merge(pd.DataFrame({"number": string, "a": offset, "h1": h1.view(np.int64),
-                                          "h2": h2.view(np.int64)}), on="number")
+            string, offset, _, _, line, first, last = _windows(strings, n, span)
+            made = np.array([_digest(line[x:y]) for x, y in zip(first.tolist(), last.tolist())], np.uint64)
+            made = made.view(np.int64)
+            own = own.merge(pd.DataFrame({"number": string, "a": offset, "h1": made[:, 0], "h2": made[:, 1]}),
+                            on="number")
             start = own["first"] + own["a"]
             yield _ranges(own["doc_id"], own["tag"], start, start + span).assign(
                 h1=own["h1"], h2=own["h2"])
