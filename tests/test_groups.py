@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tslines.operators import bursts, land, symbols
+from tslines.operators import bursts, land, store, symbols
 
 S = 1_000_000
 
@@ -211,11 +211,11 @@ def test_second_load_adds_and_keeps_columns(spark, tmp_path):
     root = f"{tmp_path}/landed"
     base = "tbl string, at timestamp, x int"
     when = dt.datetime(2024, 5, 1, 12)
-    assert land.land(spark.createDataFrame([("a", when, 1)], base), root).count() == 0
+    assert store.land(spark.createDataFrame([("a", when, 1)], base), root).count() == 0
     more = spark.createDataFrame([("a", when, 2.0, "new"), ("b", None, 2.5, "lost")],
                                  "tbl string, at timestamp, x double, y string")
-    assert [r["value"] for r in land.land(more, root).collect()] == ["2.5"]
-    back = land.landed(spark, root)
+    assert [r["value"] for r in store.land(more, root).collect()] == ["2.5"]
+    back = store.landed(spark, root)
     assert dict(back.dtypes)["x"] == "int"
     assert sorted(map(tuple, back.select("x", "y").collect())) == [(1, None), (2, "new")]
 
@@ -233,3 +233,19 @@ def test_evolve_refuses_new_decimals(spark):
     b = spark.createDataFrame([("2", 3.0)], "x string, y double")
     rows = sorted(map(tuple, land.append(a, b).collect()))
     assert rows == [(1, None), (2, 3.0)] and land.append(a, b).dtypes == [("x", "int"), ("y", "double")]
+
+
+@pytest.mark.parametrize("kind,keeps,loses", [
+    ("decimal(10,2)", ["1.23", "1.230", "-0.50", "1e2", "125e-2", "0.000", "12345678.9", "1.234e1", None],
+     ["1.23456", "1e-3", "123456789012", "x", "1.234e-1", ""]),
+    ("double", ["1.5", "0.1", "Infinity", "-inf", "NaN", "0", "-0.0", "1e308", "123456789012345", "100000000000000000000"],
+     ["1e400", "1e-400", "x", "0.12345678901234567890123", "12345678901234567891"]),
+    ("timestamp", ["2024-05-01 12:00:00", "2024-05-01 12:00:00.123456", "2024-05-01 12:00:00.123456000"],
+     ["2024-05-01 12:00:00.123456789", "2024-05-01 12:00:00.0000001", "x"]),
+    ("date", ["2024-05-01", "2024-05-01 00:00:00"], ["2024-05-01 12:00:00", "2024-05-01T00:00:01"]),
+    ("int", ["1", " 7 ", "-5"], ["1.5", "3000000000", "x"]), ("boolean", ["true", "f"], ["x", "2"])])
+def test_texts_that_would_change_are_rejects(spark, kind, keeps, loses):
+    df = spark.createDataFrame([(v,) for v in keeps + loses], "x string")
+    to = T.StructType([T.StructField("x", T.StructType.fromDDL(f"x {kind}")[0].dataType)])
+    assert sorted(r["value"] for r in land.conform_rejects(df, to).collect()) == sorted(loses)
+    assert land.conform(df, to).count() == len(keeps)

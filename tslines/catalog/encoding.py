@@ -388,9 +388,38 @@ SELECT page_id, CAST(unnest(range(len(parts))) AS INTEGER) AS part, regexp_full_
   '([^ ,=\\]|\\.)+ n=[0-9]+i,html="([^"\\]|\\.)*"') AS ok FROM w"""
 
 
+def decode_bad_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers and instants beyond 64 bits make a line a reject, in both forms."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
+    x, at = F.concat(cents, F.lit("000000000000")), F.concat(F.lit("-"), cents, F.lit("99999999999"))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.concat(
+        F.lit("t x="), F.when(F.col("l_linenumber") % 2 == 0, x).otherwise(cents), F.lit("i "),
+        F.when(F.col("l_linenumber") % 3 == 0, at).otherwise(cents)).alias("line"))
+    key = ("l_orderkey", "l_linenumber", "l_partkey")
+    text = decode.text_lines(rows, *key)
+    raw = decode.binary_lines(rows.select(*key, F.col("line").cast("binary").alias("line")), *key)
+    out = None
+    for form, got in (("text", text), ("binary", raw)):
+        got = got.select(*key, F.lit(form).alias("form"), "ok", decode.field("x").alias("x"), "at")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+DECODE_BAD_NUMBERS = """
+WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey,
+    CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS cents FROM lineitem),
+t AS (SELECT *, CASE WHEN l_linenumber % 2 = 0 THEN cents || '000000000000' ELSE cents END AS x,
+    CASE WHEN l_linenumber % 3 = 0 THEN '-' || cents || '99999999999' ELSE cents END AS stamp FROM n),
+k AS (SELECT *, TRY_CAST(x AS BIGINT) IS NOT NULL AND TRY_CAST(stamp AS BIGINT) IS NOT NULL AS ok FROM t)
+SELECT l_orderkey, l_linenumber, l_partkey, form, ok, CASE WHEN ok THEN x END AS x,
+  CASE WHEN ok THEN TRY_CAST(stamp AS BIGINT) END AS "at"
+FROM k, (VALUES ('text'), ('binary')) f(form)"""
+
+
 QUERIES = {f.__name__: f for f in (
     encode_v1_orders, encode_v1_events_nulls, encode_v1_documents, encode_v2_lineitem,
     encode_v3_lineitem, payload_size_by_table, symbol_auto_true_list, widen_types, u64_guard,
     at_normalise, decimal_parts, array_shape, drop_null_columns, pivot_long_rows, roundtrip_v1,
-    roundtrip_v1_documents, roundtrip_v2, roundtrip_v3, decode_wide, decode_rejects)}
+    roundtrip_v1_documents, roundtrip_v2, roundtrip_v3, decode_wide, decode_rejects,
+    decode_bad_numbers)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}

@@ -11,7 +11,7 @@ from tslines.operators import batch, decode
 from tslines.operators.batch import Limits
 from tslines.operators.encode import encode
 from tslines.plans import roles
-from tslines.sources import payloads, tables
+from tslines.sources import messages, payloads, tables
 from tslines.streaming import flows
 
 DAY_MS = 86_400_000
@@ -76,6 +76,17 @@ def payload_frames_binary(spark: SparkSession, sf: str) -> DataFrame:
 PAYLOAD_FRAMES_BINARY = PLAIN
 
 
+def message_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Binary payloads as message files, cut by many tasks and decoded."""
+    lines = _lines(tables.table(spark, sf, "events"), version=2)
+    path = session.scratch(spark, "messages")
+    messages.write(payloads.payloads(lines, "user_id", order=["event_id"]), path)
+    return _plain(decode.binary_lines(messages.read(spark, path)), version=2)
+
+
+MESSAGE_FILES = PLAIN
+
+
 def payload_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and bytes of each payload agree with the batch it came from."""
     lines = _lines(tables.table(spark, sf, "events"))
@@ -254,7 +265,7 @@ SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_ids, CAST(0 AS BIGINT)
 
 QUERIES = {f.__name__: f for f in (
     parquet_roundtrip, payload_frames, payload_frames_binary, payload_ledger, payload_build, fan_out, sink_replay,
-    stream_equals_batch, stream_batches, stream_alerts, stream_dedup, text_stream, synthetic_rows,
+    message_files, stream_equals_batch, stream_batches, stream_alerts, stream_dedup, text_stream, synthetic_rows,
     synthetic_profile)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES if name.upper() in globals()}
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tslines import session
 from tslines.functions import times
-from tslines.operators import land
+from tslines.operators import land, store
 from tslines.operators.ordered import global_index
 from tslines.plans import roles
-from tslines.sources.tables import parquet, table
+from tslines.sources.tables import table
 
 
 def _events(spark, sf):
@@ -87,16 +89,23 @@ SELECT o_orderkey, epoch_us(o_orderdate) AS at_us,
   row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS position FROM orders"""
 
 
+def _routed(spark, sf):
+    return table(spark, sf, "events").select(
+        F.col("event_type").alias("tbl"), F.col("ts").cast("timestamp").alias("at"), "event_id",
+        "user_id", "value")
+
+
+def _root(spark, name="landed"):
+    return session.scratch(session.configure(spark), name)
+
+
 def land_day_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Events landed per table and day, read back by partition."""
-    root = session.scratch(session.configure(spark), "landed")
-    ev = table(spark, sf, "events").select(
-        F.col("event_type").alias("tbl"), F.col("ts").cast("timestamp").alias("at"), "value")
-    land.land(ev, root)
-    back = parquet(spark, root)
-    return back.groupBy("tbl", F.col("day").cast("string").alias("day")).agg(
-        F.count("*").alias("n_rows"), F.min(times.micros(F.col("at"))).alias("first_us"),
-        F.max(times.micros(F.col("at"))).alias("last_us"))
+    """Events landed per table and day, in files of one table and day each."""
+    root = _root(spark)
+    store.land(_routed(spark, sf), root)
+    us = times.micros(F.col("at"))
+    return store.landed(spark, root).groupBy("tbl", F.col("day").cast("string").alias("day")).agg(
+        F.count("*").alias("n_rows"), F.min(us).alias("first_us"), F.max(us).alias("last_us"))
 
 
 LAND_DAY_COUNTS = """
@@ -107,17 +116,15 @@ SELECT event_type AS tbl, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS
 
 def land_twice(spark: SparkSession, sf: str) -> DataFrame:
     """A second load brings a new column and a wider type; lost values are rejects."""
-    root = session.scratch(session.configure(spark), "landed")
-    ev = table(spark, sf, "events").select(
-        F.col("event_type").alias("tbl"), F.col("ts").cast("timestamp").alias("at"), "event_id",
-        F.col("user_id").cast("int").alias("user_id"), "value")
-    land.land(ev.filter("event_id % 2 = 0").drop("value"), root)
+    root = _root(spark)
+    ev = _routed(spark, sf).withColumn("user_id", F.col("user_id").cast("int"))
+    store.land(ev.filter("event_id % 2 = 0").drop("value"), root)
     later = ev.filter("event_id % 2 = 1").withColumn("user_id", F.when(
         F.col("user_id") == 7, F.lit(1.5)).otherwise(F.col("user_id").cast("double")))
-    bad = land.land(later, root).select(
+    bad = store.land(later, root).select(
         F.lit("reject").alias("what"), F.lit(None).cast("bigint").alias("event_id"),
         F.lit(None).cast("int").alias("user_id"), F.col("value").cast("double").alias("value"))
-    return land.landed(spark, root).select(
+    return store.landed(spark, root).select(
         F.lit("row").alias("what"), "event_id", "user_id", "value").unionByName(bad)
 
 
@@ -128,6 +135,147 @@ SELECT CASE WHEN event_id % 2 = 1 AND user_id = 7 THEN 'reject' ELSE 'row' END A
   CASE WHEN event_id % 2 = 1 AND user_id = 7 THEN 1.5 WHEN event_id % 2 = 1 THEN value END AS value
 FROM events"""
 
+
+
+def land_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """A commit that is sent again adds nothing; rows of a write that died are not seen."""
+    root, ev = _root(spark), _routed(spark, sf)
+    store.land(ev.filter("event_id % 3 = 0"), root, commit="first")
+    store.land(ev.filter("event_id % 3 = 0"), root, commit="first")
+    lost = ev.filter("event_id % 3 = 2").withColumns({"day": F.to_date("at"), "_slot": F.lit(0)})
+    store.write_rows(lost, root, "tbl", "at")
+    store.land(ev.filter("event_id % 3 = 1"), root, commit="second")
+    store.land(ev.filter("event_id % 3 = 0"), root, commit="first")
+    log = F.lit(",".join(c.name for c in store.history(spark, root)))
+    return store.landed(spark, root).select("tbl", "event_id", times.micros(F.col("at")).alias("at_us"),
+                                            "value", log.alias("commits"))
+
+
+LAND_RERUN = """
+SELECT event_type AS tbl, event_id, epoch_us(ts) AS at_us, value, 'first,second' AS commits
+FROM events WHERE event_id % 3 < 2"""
+
+
+def land_writers(spark: SparkSession, sf: str) -> DataFrame:
+    """Writers at the same time, on the same tables and days: each commit lands once."""
+    root, ev = _root(spark), _routed(spark, sf)
+    with ThreadPoolExecutor(3) as pool:
+        work = [pool.submit(store.land, ev.filter(f"event_id % 3 = {i}"), root, commit=f"c{i}") for i in range(3)]
+        for w in work:
+            w.result()
+    log = store.history(spark, root)
+    names = F.lit(",".join(sorted(c.name for c in log)) + f" {[c.version for c in log]}")
+    return store.landed(spark, root).select("tbl", "event_id", "user_id", "value", names.alias("commits"))
+
+
+LAND_WRITERS = """
+SELECT event_type AS tbl, event_id, user_id, value, 'c0,c1,c2 [0, 1, 2]' AS commits FROM events"""
+
+
+def land_case_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Later rows spell columns in another way, and find the columns that are there."""
+    root, ev = _root(spark), _routed(spark, sf)
+    store.land(ev.filter("user_id % 2 = 0"), root)
+    store.land(ev.filter("user_id % 2 = 1").toDF("TBL", "At", "EVENT_ID", "User_Id", "VALUE").withColumn(
+        "Extra", F.col("VALUE") * 2), root, table="Tbl", at="AT")
+    back = store.landed(spark, root)
+    return back.select("tbl", "event_id", "user_id", "value", "extra",
+                       F.lit(",".join(back.columns)).alias("columns")).withColumnRenamed("Extra", "extra")
+
+
+LAND_CASE_VARIANTS = """
+SELECT event_type AS tbl, event_id, user_id, value, CASE WHEN user_id % 2 = 1 THEN value * 2 END AS extra,
+  'tbl,at,event_id,user_id,value,day,Extra' AS columns FROM events"""
+
+
+def land_resent(spark: SparkSession, sf: str) -> DataFrame:
+    """A slice is sent again as it was, then with other values for clicks; files elsewhere stay."""
+    root, ev = _root(spark), _routed(spark, sf)
+    keys = ["event_id", "user_id"]
+    store.land(ev, root, commit="all", keys=keys)
+    store.land(ev.filter("event_id % 5 < 2"), root, commit="again", keys=keys)
+    changed = F.when(F.col("tbl") == "click", F.col("value") + 1).otherwise(F.col("value"))
+    store.land(ev.filter("event_id % 5 = 0").withColumn("value", changed), root, commit="changed", keys=keys)
+    same = store.touched(spark, root, 1).count() == 0
+    other = store.touched(spark, root, 2).filter("tbl <> 'click'").count() == 0
+    return store.landed(spark, root).select("tbl", "event_id", "user_id", "value", F.lit(same).alias("same"),
+                                            F.lit(other).alias("others_stay"))
+
+
+LAND_RESENT = """
+SELECT event_type AS tbl, event_id, user_id,
+  CASE WHEN event_id % 5 = 0 AND event_type = 'click' THEN value + 1 ELSE value END AS value,
+  true AS same, true AS others_stay FROM events"""
+
+
+def land_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows come in four loads in no order of time; files stay in time order and apart."""
+    root, ev = _root(spark), _routed(spark, sf)
+    for i in (2, 0, 3, 1):
+        store.land(ev.filter(f"(event_id * 7919) % 4 = {i}"), root)
+    live = store.files(spark, root)
+    day = Window.partitionBy("tbl", "day").orderBy("first_us", "last_us")
+    apart = live.withColumn("ok", F.coalesce(F.lead("first_us").over(day) > F.col("last_us"), F.lit(True)))
+    apart = apart.groupBy("tbl", "day").agg(F.bool_and("ok").alias("apart"), F.sum("n_rows").alias("n_rows"))
+    # in each file a row is not earlier than the one before it
+    us, place = times.micros(F.col("at")), F.col("_metadata")
+    rows = store.landed(spark, root).select("tbl", "day", us.alias("us"), place["file_path"].alias("file"),
+                                            place["row_index"].alias("i"))
+    inside = rows.withColumn("ok", F.coalesce(F.col("us") >= F.lag("us").over(
+        Window.partitionBy("file").orderBy("i")), F.lit(True)))
+    inside = inside.groupBy("tbl", "day").agg(F.bool_and("ok").alias("sorted"), F.sum("us").alias("sum_us"))
+    return apart.join(inside, ["tbl", "day"]).withColumn("day", F.col("day").cast("string"))
+
+
+LAND_LATE = """
+SELECT event_type AS tbl, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, true AS apart, count(*) AS n_rows,
+  true AS sorted, CAST(sum(epoch_us(ts)) AS BIGINT) AS sum_us FROM events GROUP BY 1, 2"""
+
+
+def _texts(spark, sf):
+    price = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
+    stamp = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    odd = F.col("l_linenumber") % 3
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", price.alias("price"),
+        F.when(odd == 0, F.concat(price, F.lit("e400"))).when(odd == 1, F.concat(price, F.lit("e-2"))).otherwise(
+            F.concat(price, F.lit("00000000000000000001"))).alias("weight"),
+        F.concat(stamp, F.when(odd == 0, ".123456789").when(odd == 1, ".123456000").otherwise("")).alias("seen"),
+        F.concat(F.col("l_quantity").cast("int").cast("string"), F.when(odd == 0, ".5").otherwise("")).alias("n"))
+
+
+_TEXT_TARGET = T.StructType([T.StructField(n, t) for n, t in (
+    ("l_orderkey", T.LongType()), ("l_linenumber", T.IntegerType()), ("l_partkey", T.LongType()),
+    ("price", T.DecimalType(12, 1)), ("weight", T.DoubleType()), ("seen", T.TimestampType()),
+    ("n", T.IntegerType()))])
+
+
+def conform_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts to decimals, doubles, instants and integers: what would change is a reject."""
+    bad = land.conform_rejects(_texts(spark, sf), _TEXT_TARGET, "l_orderkey", "l_linenumber", "l_partkey")
+    kept = land.conform(_texts(spark, sf), _TEXT_TARGET).select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.lit("kept").alias("column"), F.concat_ws(
+            "|", F.col("price").cast("string"), F.round(F.col("weight") * 10000).cast("bigint").cast("string"),
+            times.micros(F.col("seen")).cast("string"), F.col("n").cast("string")).alias("value"))
+    return bad.unionByName(kept)
+
+
+CONFORM_TEXTS = """
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_linenumber % 3 AS odd, l_shipdate,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+    CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS q FROM lineitem),
+w AS (SELECT *, price || CASE odd WHEN 0 THEN 'e400' WHEN 1 THEN 'e-2' ELSE '00000000000000000001' END AS weight,
+    strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') || CASE odd WHEN 0 THEN '.123456789' WHEN 1 THEN '.123456000' ELSE '' END
+      AS seen, q || CASE WHEN odd = 0 THEN '.5' ELSE '' END AS n FROM t)
+SELECT l_orderkey, l_linenumber, l_partkey, 'price' AS "column", price AS value FROM w WHERE price NOT LIKE '%0'
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'weight', weight FROM w WHERE odd <> 1
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'seen', seen FROM w WHERE odd = 0
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'n', n FROM w WHERE odd = 0
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'kept', left(price, length(price) - 1) || '|'
+  || CAST(CAST(price AS DECIMAL(12,2)) * 100 AS BIGINT) || '|'
+  || (epoch_us(date_trunc('second', l_shipdate)) + 123456) || '|' || q
+FROM w WHERE odd = 1 AND price LIKE '%0'"""
+
 _TARGET = T.StructType([
     T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.LongType()),
     T.StructField("l_quantity", T.LongType()), T.StructField("price", T.DecimalType(8, 3)),
@@ -240,6 +388,7 @@ SELECT event_type AS tbl, count(*) AS n_rows, min(epoch_us(ts)) AS first_us,
 
 
 QUERIES = {f.__name__: f for f in (
-    land_dedup, land_lateness, land_lateness_spread, land_time_order, land_day_counts, land_twice, conform_types, conform_rejects,
+    land_dedup, land_lateness, land_lateness_spread, land_time_order, land_day_counts, land_twice, land_rerun,
+    land_writers, land_case_variants, land_resent, land_late, conform_types, conform_texts, conform_rejects,
     add_columns, table_catalogue, arrival_stamp, route_stats)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}

@@ -1,40 +1,18 @@
 """Decode protocol lines back into rows.
 
-Text lines (version 1) are taken apart by built-in regular expressions with
-possessive loops, which neither backtrack nor recurse on long strings. Binary
-lines need lengths read from the line itself and go through an Arrow function.
+Lines are taken apart by an Arrow function that works on whole buffers
+(`functions.lines`): the cells of many lines at a time, and no Python per line.
 """
 
 from __future__ import annotations
 
-import math
-import re
-import struct
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tslines.functions.binary import ARRAY_TAG, DECIMAL_TAG, DOUBLE_TAG
-from tslines.functions.text import unescape
+from tslines.functions import lines
 from tslines.functions.times import nanos_to_micros
 
-# Tokens of the text format.
-TABLE_TOKEN = r"[^\\, ]*+(?:\\.[^\\, ]*+)*+"
-KEY_TOKEN = r"[^\\=, ]*+(?:\\.[^\\=, ]*+)*+"
-BARE_TOKEN = r"[^\\, ]*+(?:\\.[^\\, ]*+)*+"
-QUOTED_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-VALUE_TOKEN = (r"(?:-?[0-9]++[itn]|[tfTF]|true|false|-?(?:NaN|Infinity)"
-               r"|[-+]?(?:[0-9]++\.?[0-9]*+|\.[0-9]++)(?:[eE][-+]?[0-9]++)?)(?=[, ]|\z)")
-FIELD_TOKEN = f"{KEY_TOKEN}=(?:{QUOTED_TOKEN}|{BARE_TOKEN})"
-_FIELDS = (f" {KEY_TOKEN}=(?:{QUOTED_TOKEN}|{VALUE_TOKEN})"
-           f"(?:,{KEY_TOKEN}=(?:{QUOTED_TOKEN}|{VALUE_TOKEN}))*+")
-LINE = (f"(?s)^(?=[^, ]){TABLE_TOKEN}(?:(?:,{KEY_TOKEN}={BARE_TOKEN})++(?:{_FIELDS})?|{_FIELDS})"
-        f"(?: -?[0-9]++[tn]?)?\\z")
-
 SYMBOLS = T.ArrayType(T.StructType([
     T.StructField("name", T.StringType()), T.StructField("value", T.StringType())]))
 FIELDS = T.ArrayType(T.StructType([
@@ -54,235 +32,6 @@ def split_text(payloads: DataFrame, column: str = "payload", *keep: str) -> Data
     return payloads.select(*keep, F.posexplode(lines).alias("line_no", "line"))
 
 
-def _plain(v: Column) -> Column:
-    """Unescape; most text has nothing to unescape and skips the regex."""
-    return F.when(v.contains("\\"), unescape(v)).otherwise(v)
-
-
-def _kind(v: Column) -> Column:
-    """The kind of a well-formed value, by its ends."""
-    return (
-        F.when(v.startswith('"'), "string")
-        .when(v.isin("t", "f", "T", "F", "true", "false"), "boolean")
-        .when(v.endswith("i"), "integer")
-        .when(v.endswith("t"), "timestamp_us")
-        .when(v.endswith("n"), "timestamp_ns")
-        .otherwise("float")
-    )
-
-
-def _value(v: Column, kind: Column) -> Column:
-    return (
-        F.when(kind == "float", v)
-        .when(kind == "string", _plain(F.substring(v, F.lit(2), F.length(v) - 2)))
-        .when(kind == "boolean", F.lower(F.substring(v, F.lit(1), F.lit(1))))
-        .otherwise(F.substring(v, F.lit(1), F.length(v) - 1))
-    )
-
-
-def _pairs(text: Column, token: str) -> Column:
-    """(key, rest) of each `key=rest` match, still escaped."""
-    found = F.regexp_extract_all(text, F.lit(token), F.lit(1))
-    keyed = F.transform(found, lambda p: F.struct(
-        p.alias("p"), F.regexp_extract(p, f"(?s)^{KEY_TOKEN}", 0).alias("k")))
-    return F.transform(keyed, lambda s: F.struct(
-        _plain(s["k"]).alias("name"),
-        F.substring(s["p"], F.length(s["k"]) + 2, F.length(s["p"])).alias("raw")))
-
-
-def text_lines(df: DataFrame, *keep: str, column: str = "line") -> DataFrame:
-    """`keep`, `tbl`, `symbols`, `fields`, `at`, `at_unit` and `ok` for each text line."""
-    line = F.col(column)
-    head = F.regexp_extract(line, f"(?s)^{TABLE_TOKEN}(?:,{KEY_TOKEN}={BARE_TOKEN})*+", 0)
-    cut = df.select(*keep, line.alias("_line"), head.alias("_head"))
-    cut = cut.withColumn("_rest", F.substring("_line", F.length("_head") + 1, F.length("_line")))
-    symbols = F.transform(
-        _pairs(F.col("_head"), f"(?s),({KEY_TOKEN}={BARE_TOKEN})"),
-        lambda s: F.struct(s["name"].alias("name"), _plain(s["raw"]).alias("value")))
-    kinds = F.transform(
-        _pairs(F.col("_rest"), f"(?s)[ ,]({FIELD_TOKEN})"),
-        lambda s: F.struct(s["name"].alias("name"), _kind(s["raw"]).alias("kind"),
-                           s["raw"].alias("raw")))
-    fields = F.transform(kinds, lambda s: F.struct(
-        s["name"].alias("name"), s["kind"].alias("kind"),
-        _value(s["raw"], s["kind"]).alias("text")))
-    stamp = F.regexp_extract("_rest", r" (-?[0-9]++[tn]?)\z", 1)
-    cut = cut.select(
-        *keep,
-        _plain(F.regexp_extract("_head", f"(?s)^{TABLE_TOKEN}", 0)).alias("tbl"),
-        symbols.alias("symbols"), fields.alias("fields"), stamp.alias("_at"),
-        F.col("_line").rlike(LINE).alias("ok"))
-    return cut.select(
-        *keep, "tbl", "symbols", "fields",
-        F.rtrim(F.col("_at"), F.lit("tn")).try_cast("bigint").alias("at"),
-        F.when(F.col("_at") != "", F.when(F.col("_at").endswith("t"), "us").otherwise("ns")
-               ).alias("at_unit"),
-        "ok")
-
-
-_LINE_KEY = r"[^\\=, \n]*+(?:\\.[^\\=, \n]*+)*+"
-_LINE_BARE = r"[^\\, \n]*+(?:\\.[^\\, \n]*+)*+"
-_TABLE = re.compile(_LINE_BARE.encode(), re.S)
-_SYMBOL = re.compile(f",({_LINE_KEY})=({_LINE_BARE})".encode(), re.S)
-# key, then the mark of a binary value, a quoted or a bare one
-_FIELD = re.compile(f"({_LINE_KEY})=(?:(=)|({QUOTED_TOKEN})|({_LINE_BARE}))".encode(), re.S)
-_AT = re.compile(rb"(-?[0-9]+)([tn]?)(?=\n|\Z)")
-_ESCAPE = re.compile(rb"\\(.)", re.S)
-_KINDS = {105: "integer", 116: "timestamp_us", 110: "timestamp_ns"}  # i, t, n
-_TRUTH = {b"t": "t", b"T": "t", b"true": "t", b"f": "f", b"F": "f", b"false": "f"}
-
-
-def _text(raw: bytes) -> str:
-    return (_ESCAPE.sub(rb"\1", raw) if b"\\" in raw else raw).decode()
-
-
-class _Lines:
-    """Decoded lines as growing columns, to be turned into one Arrow array."""
-
-    def __init__(self):
-        self.tbl, self.at, self.unit, self.ok = [], [], [], []
-        self.symbol_ends, self.symbol_names, self.symbol_values = [0], [], []
-        self.field_ends, self.names, self.kinds, self.texts = [0], [], [], []
-        self.numbers, self.arrays, self.dims = [], [], []
-        self.seen = {}
-
-    def _binary(self, buf: bytes, pos: int) -> int:
-        tag = buf[pos]
-        kind = text = number = values = dims = None
-        if tag == DOUBLE_TAG:
-            kind, number, pos = "float", struct.unpack_from("<d", buf, pos + 1)[0], pos + 9
-        elif tag == ARRAY_TAG:
-            dims = struct.unpack_from(f"<{buf[pos + 2]}i", buf, pos + 3)
-            start, count = pos + 3 + 4 * len(dims), math.prod(dims)
-            kind, values = "array", np.frombuffer(buf, "<f8", count, start)
-            pos = start + 8 * count
-        elif tag == DECIMAL_TAG:
-            scale, end = buf[pos + 1], pos + 3 + buf[pos + 2]
-            whole = int.from_bytes(buf[pos + 3:end], "big", signed=True)
-            digits = str(abs(whole)).rjust(scale + 1, "0")
-            text = ("-" if whole < 0 else "") + (
-                f"{digits[:-scale]}.{digits[-scale:]}" if scale else digits)
-            kind, pos = "decimal", end
-        else:
-            raise ValueError("unknown binary tag")
-        self._field(kind, text, number, values, dims)
-        return pos
-
-    def _field(self, kind, text, number=None, values=None, dims=None):
-        self.kinds.append(kind)
-        self.texts.append(text)
-        self.numbers.append(number)
-        self.arrays.append(values)
-        self.dims.append(dims)
-
-    def _bare(self, raw: bytes) -> None:
-        if raw in _TRUTH:
-            self._field("boolean", _TRUTH[raw])
-        elif raw[-1] in _KINDS:
-            int(raw[:-1])
-            self._field(_KINDS[raw[-1]], raw[:-1].decode())
-        else:
-            self._field("float", raw.decode(), float(raw))
-
-    def read(self, buf: bytes, pos: int = 0) -> int:
-        """Append the line that starts at `pos`; returns its end, ValueError when malformed."""
-        m = _TABLE.match(buf, pos)
-        tbl, pos, size = m.group(), m.end(), len(buf)
-        symbols = fields = 0
-        while pos < size and buf[pos] == 44:  # comma
-            m = _SYMBOL.match(buf, pos)
-            if not m:
-                raise ValueError("symbol without value")
-            self.symbol_names.append(self._name(m.group(1)))
-            self.symbol_values.append(_text(m.group(2)))
-            symbols, pos = symbols + 1, m.end()
-        if pos < size and buf[pos] == 32 and not _AT.match(buf, pos + 1):  # blank
-            while True:
-                m = _FIELD.match(buf, pos + 1)
-                if not m:
-                    raise ValueError("field without value")
-                key, marked, quoted, bare = m.groups()
-                self.names.append(self._name(key))
-                pos = m.end()
-                if marked:
-                    pos = self._binary(buf, pos)
-                elif quoted:
-                    self._field("string", _text(quoted[1:-1]))
-                else:
-                    self._bare(bare)
-                fields += 1
-                if pos >= size or buf[pos] != 44:
-                    break
-        at = unit = None
-        if buf[pos:pos + 1] == b" ":
-            a = _AT.match(buf, pos + 1)
-            if not a:
-                raise ValueError("bad timestamp")
-            at, unit, pos = int(a.group(1)), ("us" if a.group(2) == b"t" else "ns"), a.end()
-        if not tbl or not (symbols or fields) or pos < len(buf) and buf[pos] != 10:
-            raise ValueError("malformed line")
-        self._end(self._name(tbl), at, unit, True)
-        return pos
-
-    def _name(self, raw: bytes) -> str:
-        """Names repeat from line to line."""
-        name = self.seen.get(raw)
-        if name is None:
-            name = self.seen[raw] = _text(raw)
-        return name
-
-    def _end(self, tbl, at, unit, ok):
-        self.tbl.append(tbl)
-        self.at.append(at)
-        self.unit.append(unit)
-        self.ok.append(ok)
-        self.symbol_ends.append(len(self.symbol_names))
-        self.field_ends.append(len(self.kinds))
-
-    def read_whole(self, buf: bytes | None) -> None:
-        """Append one line, or a row that is not `ok`."""
-        rows = len(self.tbl)
-        try:
-            whole = buf is not None and self.read(buf) == len(buf)
-        except (ValueError, IndexError, struct.error):
-            whole = False
-        if not whole:
-            # forget whatever the broken line left behind
-            for col in (self.tbl, self.at, self.unit, self.ok):
-                del col[rows:]
-            del self.symbol_ends[rows + 1:], self.field_ends[rows + 1:]
-            del self.symbol_names[self.symbol_ends[-1]:], self.symbol_values[self.symbol_ends[-1]:]
-            for col in (self.names, self.kinds, self.texts, self.numbers, self.arrays, self.dims):
-                del col[self.field_ends[-1]:]
-            self._end(None, None, None, False)
-
-    def arrow(self) -> pa.Array:
-        def lists(parts, flat):
-            sizes = [0 if p is None else len(p) for p in parts]
-            missing = pa.array([p is None for p in parts] + [False])
-            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-            return pa.ListArray.from_arrays(pc.if_else(missing, pa.scalar(None, pa.int32()), ends),
-                                            flat)
-
-        kept = [a for a in self.arrays if a is not None]
-        values = lists(self.arrays, pa.array(np.concatenate(kept) if kept else np.zeros(0)))
-        dims = lists(self.dims, pa.array([d for ds in self.dims if ds for d in ds], pa.int32()))
-        fields = pa.StructArray.from_arrays(
-            [pa.array(self.names, pa.string()), pa.array(self.kinds, pa.string()),
-             pa.array(self.texts, pa.string()), pa.array(self.numbers, pa.float64()),
-             values, dims], ["name", "kind", "text", "number", "numbers", "dims"])
-        symbols = pa.StructArray.from_arrays(
-            [pa.array(self.symbol_names, pa.string()), pa.array(self.symbol_values, pa.string())],
-            ["name", "value"])
-        return pa.StructArray.from_arrays(
-            [pa.array(self.tbl, pa.string()),
-             pa.ListArray.from_arrays(pa.array(self.symbol_ends, pa.int32()), symbols),
-             pa.ListArray.from_arrays(pa.array(self.field_ends, pa.int32()), fields),
-             pa.array(self.at, pa.int64()), pa.array(self.unit, pa.string()),
-             pa.array(self.ok, pa.bool_())],
-            ["tbl", "symbols", "fields", "at", "at_unit", "ok"])
-
-
 DECODED = T.StructType([
     T.StructField("tbl", T.StringType()),
     T.StructField("symbols", SYMBOLS),
@@ -293,40 +42,36 @@ DECODED = T.StructType([
 ])
 
 
-def _parse(lines: pa.Array) -> pa.Array:
-    rows = _Lines()
-    for cell in lines:
-        rows.read_whole(cell.as_py())
-    return rows.arrow()
-
-
-# Declared non-deterministic so that a filter on the result does not run it twice.
-_parsed = F.arrow_udf(_parse, DECODED).asNondeterministic()
+TEXT_FIELDS = T.ArrayType(T.StructType(FIELDS.elementType.fields[:3]))
+DECODED_TEXT = T.StructType([
+    T.StructField("fields", TEXT_FIELDS) if f.name == "fields" else f for f in DECODED.fields])
 
+# Declared non-deterministic so that a filter on the result does not run them twice.
+_parsed = F.arrow_udf(lambda cells: lines.take_apart(cells, False), DECODED).asNondeterministic()
+_parsed_text = F.arrow_udf(lambda cells: lines.take_apart(cells, True), DECODED_TEXT).asNondeterministic()
+_framed = F.arrow_udf(lines.split, T.ArrayType(T.BinaryType())).asNondeterministic()
 
-def binary_lines(df: DataFrame, *keep: str, column: str = "line") -> DataFrame:
-    """The same columns as `text_lines` for version 2 and 3 lines."""
-    return df.select(*keep, _parsed(F.col(column)).alias("_row")).select(*keep, "_row.*")
 
+def text_lines(df: DataFrame, *keep: str, column: str = "line") -> DataFrame:
+    """`keep`, `tbl`, `symbols`, `fields`, `at`, `at_unit` and `ok` for each text line.
 
-def _frames(payload: bytes) -> list[bytes]:
-    out, pos, rows = [], 0, _Lines()
-    while pos < len(payload):
-        end = rows.read(payload, pos)
-        out.append(payload[pos:end])
-        pos = end + 1
-    return out
+    A line that is malformed, or holds a whole number or an instant of more than
+    64 bits, is not `ok`; it has no cells.
+    """
+    return df.select(*keep, _parsed_text(F.col(column)).alias("_row")).select(*keep, "_row.*")
 
 
-_framed = F.arrow_udf(
-    lambda payloads: pa.array([_frames(p) for p in payloads.to_pylist()], pa.list_(pa.binary())),
-    T.ArrayType(T.BinaryType())).asNondeterministic()
+def binary_lines(df: DataFrame, *keep: str, column: str = "line") -> DataFrame:
+    """The same columns as `text_lines` for version 2 and 3 lines, and binary cells in `fields`."""
+    return df.select(*keep, _parsed(F.col(column)).alias("_row")).select(*keep, "_row.*")
 
 
 def split_binary(payloads: DataFrame, column: str = "payload", *keep: str) -> DataFrame:
     """One row per line of each binary payload, hopping over binary cells by their length.
 
-    A payload is at most one batch, so its size is bounded by the batch limit.
+    A malformed line goes up to its first line end that is not escaped, and is a
+    reject when it is decoded. A payload is at most one batch, so its size is
+    bounded by the batch limit.
     """
     return payloads.select(*keep, F.posexplode(_framed(F.col(column))).alias("line_no", "line"))
 

@@ -1,15 +1,14 @@
-"""Landing effects: deduplication, time order, schema evolution, partitioned storage."""
+"""Landing effects: deduplication, time order, arrival, schema evolution. `store` keeps the rows."""
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tslines import session
 from tslines.functions import times
 from tslines.operators.ordered import running
 from tslines.plans.roles import Roles
@@ -64,18 +63,49 @@ def day(at_us: Column) -> Column:
     return F.to_date(F.timestamp_micros(at_us))
 
 
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Significant decimal digits that always survive in a float and in a double.
+_DIGITS = {T.FloatType: 6, T.DoubleType: 15}
+
+
+def _text_changes(c: Column, out: Column, target: T.DataType) -> Column:
+    """Does a text that can be converted say more than its conversion keeps?"""
+    text = F.trim(c)
+    mantissa = F.regexp_replace(text, "[eE].*$", "")
+    digits = F.regexp_replace(mantissa, "[^0-9]", "")
+    fraction = F.regexp_replace(F.regexp_extract(mantissa, r"\.([0-9]*)$", 1), "0+$", "")
+    power = F.coalesce(F.regexp_extract(text, r"[eE]([-+]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    places = F.length(fraction) - power
+    if isinstance(target, T.DecimalType):
+        return (places > target.scale) & (F.ltrim(digits, F.lit("0")) != "")
+    if isinstance(target, (T.FloatType, T.DoubleType)):
+        said = text.rlike("(?i)^[-+]?(inf|infinity|nan)$")
+        n = F.length(F.ltrim(F.rtrim(digits, F.lit("0")), F.lit("0")))
+        # beyond these digits the number must be the one that the double holds exactly
+        exact = (places <= 15) & (out.cast("double").cast("decimal(38,15)") == text.try_cast("decimal(38,15)"))
+        return ~said & (F.isnan(out) | (F.abs(out) == float("inf")) | ((out == 0) & (n > 0))
+                        | ((n > _DIGITS[type(target)] + 2) & ~F.coalesce(exact, F.lit(False))))
+    if isinstance(target, (T.TimestampType, T.TimestampNTZType)):
+        return text.rlike(r"\.[0-9]{6}[0-9]*[1-9]")
+    if isinstance(target, T.DateType):
+        return text.rlike("[T ].*[1-9]")
+    return F.lit(False)
+
+
 def _fits(c: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Column]:
     """(converted cell, was something lost?)"""
     if source == target:
         return c, F.lit(False)
     if isinstance(target, T.BooleanType) and not isinstance(source, (T.BooleanType, T.StringType)):
         return F.lit(None).cast(target), c.isNotNull()
-    if isinstance(source, (T.FloatType, T.DoubleType)) and isinstance(
-            target, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+    if isinstance(source, (T.FloatType, T.DoubleType)) and isinstance(target, _INTEGERS):
         out = F.when(c == F.floor(c), c).try_cast(target.simpleString())
     else:
         out = c.try_cast(target.simpleString())
-    if isinstance(source, T.StringType) or isinstance(target, T.StringType):
+    if isinstance(source, T.StringType):
+        lost = c.isNotNull() & (out.isNull() | F.coalesce(_text_changes(c, out, target), F.lit(True)))
+        return F.when(~lost, out), lost
+    if isinstance(target, T.StringType):
         return out, c.isNotNull() & out.isNull()
     # only values that come back unchanged have lost nothing
     same = F.coalesce(out.try_cast(source.simpleString()) == c, F.lit(False))
@@ -108,6 +138,22 @@ def conform_rejects(df: DataFrame, target: T.StructType, *key: str) -> DataFrame
                      ).select(*key, "r.*")
 
 
+def spelling(df: DataFrame) -> Callable[[str], str]:
+    """How the frame spells a column, names compared as the session does."""
+    fold = (lambda s: s) if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    known = {fold(c): c for c in df.columns}
+    if len(known) < len(df.columns):
+        raise ValueError(f"columns {df.columns} name one column twice")
+    return lambda name: known.get(fold(name), name)
+
+
+def named(df: DataFrame, known: T.StructType | None) -> DataFrame:
+    """The frame with a table's spelling of its columns."""
+    own = spelling(df)
+    table = {own(n): n for n in known.names} if known else {}
+    return df.toDF(*[table.get(c, c) for c in df.columns])
+
+
 def evolve(existing: T.StructType, incoming: T.StructType) -> T.StructType:
     """The table after `incoming` rows: new columns are added, known ones keep their type.
 
@@ -123,6 +169,7 @@ def evolve(existing: T.StructType, incoming: T.StructType) -> T.StructType:
 
 def append(table: DataFrame, incoming: DataFrame) -> DataFrame:
     """Existing rows plus conformed new ones under the evolved schema."""
+    incoming = named(incoming, table.schema)
     schema = evolve(table.schema, incoming.schema)
     return table.unionByName(conform(incoming, schema), allowMissingColumns=True).select(
         *schema.names)
@@ -156,47 +203,5 @@ def catalogue(rows: DataFrame) -> DataFrame:
     return cols.withColumn("position", F.row_number().over(order)).drop("role_pos")
 
 
-def landed_schema(spark: SparkSession, root: str) -> T.StructType | None:
-    """The columns that rows below `root` were landed with, or None."""
-    kept = f"{root}/_schema"
-    if not session.exists(spark, kept):
-        return None
-    rows = spark.read.text(kept).select(
-        F.get_json_object("value", "$.version").cast("int").alias("v"), "value").collect()
-    latest = max(rows, key=lambda r: r["v"])["value"]
-    return T.StructType.fromJson(json.loads(latest)["schema"])
-
-
-def landed(spark: SparkSession, root: str) -> DataFrame:
-    """All landed rows; columns that were added later are NULL in older ones."""
-    return spark.read.schema(landed_schema(spark, root)).parquet(root)
-
-
-def land(df: DataFrame, root: str, *, table: str = "tbl", at: str = "at",
-         mode: str = "append") -> DataFrame:
-    """Write rows below `root/tbl=…/day=…`, in time order inside each file.
-
-    Range partitioning on (table, day, at) splits a large day over several
-    tasks and keeps small days together. The schema is kept beside the rows:
-    columns that are new are added to it, known ones keep their type. Rows that
-    do not fit are not written; their values are returned (`conform_rejects`).
-    """
-    spark = df.sparkSession
-    known = None if mode == "overwrite" else landed_schema(spark, root)
-    day_ = T.StructField("day", T.DateType())
-    incoming = T.StructType([f for f in df.schema.fields if f.name != "day"] + [day_])
-    schema = evolve(known, incoming) if known else incoming
-    bad = conform_rejects(df, schema)
-    out = stamp(conform(df, schema), at).withColumn("day", F.to_date(at))
-    cols = [F.col(table), F.col("day"), F.col(at)]
-    (out.repartitionByRange(*cols).sortWithinPartitions(*cols)
-     .write.mode(mode).partitionBy(table, "day").parquet(root))
-    if known is None or schema != known:
-        note = json.dumps({"version": len(schema), "schema": schema.jsonValue()})
-        spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("append").text(
-            f"{root}/_schema")
-    return bad
-
-
 def at_us(df: DataFrame, at: str, name: str = "at_us") -> DataFrame:
     return df.withColumn(name, times.micros(F.col(at)))

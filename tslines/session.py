@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -91,5 +92,40 @@ def publish(spark: SparkSession, staged: str, path: str) -> None:
         raise OSError(f"{staged} could not be moved to {path}")
 
 
+def claim(spark: SparkSession, body: str, staged: str, path: str) -> bool:
+    """Write a small file and move it to its place; false if something is there already.
+
+    The move is one step that does not overwrite on file systems that promise it.
+    """
+    fs, source = _file_system(spark, staged)
+    _, target = _file_system(spark, path)
+    out = fs.create(source, False)
+    try:
+        out.write(bytearray(body, "utf-8"))
+    finally:
+        out.close()
+    fs.mkdirs(target.getParent())
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.valueOf("NONE")
+    try:
+        hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(
+            fs.makeQualified(source), fs.makeQualified(target), how)
+        return True
+    except Py4JJavaError as taken:
+        if "FileAlreadyExistsException" not in str(taken.java_exception):
+            raise
+        fs.delete(source, False)
+        return False
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove folders that were made for one piece of work."""
+    for path in paths:
+        fs, where = _file_system(spark, path)
+        fs.delete(where, True)
+
+
 def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
