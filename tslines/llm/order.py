@@ -14,10 +14,12 @@ ids of two bytes, and a zero mark of two bytes, all little-endian. Slot s is
 at byte (s mod PER_SHARD) * STRIDE of shard s div PER_SHARD, so a reader can
 stop and go on anywhere.
 
-Tokens are made twice, once to count the sequences and once to write them, and
-cross the network once; keeping them in between would cost a second copy. The
-numbers do not depend on how files are split. Should the splits differ between
-the two passes (the file set changed meanwhile), the job fails and says so.
+Tokens are made once: tasks store them compressed, in blocks of documents that
+follow each other, without padding. The number of sequences of each stretch of
+rows that a task read is all that the driver needs for numbering. A second job
+reads the blocks, gives every sequence its slot, and sends what goes to one task
+as one compressed string; padding is made where the shards are written. The
+numbers do not depend on how files are split.
 
 Defined cases: a null or empty text is one sequence of the end mark alone.
 Null ids are written as the smallest 64-bit number and read back as null.
@@ -53,6 +55,10 @@ KEY = 0x5EED0FDA7A
 ROUNDS = 6
 #: Bytes of text that are encoded at once.
 PIECE = 1 << 20
+#: Bytes of token ids that are compressed together, and how hard.
+BLOCK_BYTES, LEVEL = 8 << 20, 6
+#: Shards that one task writes, at most.
+SHARDS_PER_TASK = 8
 HEAD = np.dtype([("doc", "<i8"), ("part", "<i4"), ("n", "<i4")])
 NO_ID = np.iinfo(np.int64).min
 SHOWN = "slot bigint, shard bigint, doc_id bigint, part int, n_tokens int, tokens_xxh128 string"
@@ -116,12 +122,6 @@ def _cut(text: str | None, path: str) -> bytes:
     return tokens(text or "", path) + array("H", [END]).tobytes()
 
 
-def _counted(text: str | None, path: str) -> int:
-    """The number of ids that `_cut` makes."""
-    coder = _encoder(path)
-    return sum(len(coder.encode_ordinary(p)) for p in _pieces(text or "")) + 1
-
-
 def _runs(batch: pa.RecordBatch):
     """Row ranges of a batch that follow each other in one file."""
     files, rows = batch.column("file").to_pylist(), batch.column("row").to_numpy()
@@ -132,62 +132,108 @@ def _runs(batch: pa.RecordBatch):
             start = i
 
 
-def _count(path: str, length: int):
-    """(file, first row, sequences) of every stretch of rows that a task reads."""
+_STAGED = "file string, stretch bigint, before bigint, n bigint, n_docs int, raw bigint, body binary"
+_TYPES = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+
+
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=LEVEL)
+
+
+def _tokenise(path: str, length: int):
+    """Blocks of token ids of rows that follow each other in a file.
+
+    `stretch` is the first row of those that the task reads in one go, `before`
+    the sequences of it that come before the block, `n` those of the block.
+    """
+    def block(codec, file, stretch, before, n, docs, sizes, ids):
+        body = b"".join((np.array(docs, "<i8").tobytes(), np.array(sizes, "<i4").tobytes(), *ids))
+        row = (file, stretch, before, n, len(docs), len(body), codec.compress(body, asbytes=True))
+        return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, _TYPES)],
+                                          names=[f.split()[0] for f in _STAGED.split(", ")])
+
     def run(batches):
-        found: list[list] = []
+        codec = _codec()
+        file, stretch, row, before = None, 0, -1, 0
+        docs, sizes, ids, n, held = [], [], [], 0, 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b, file, first in _runs(batch):
-                n = sum(-(-_counted(t, path) // length) for t in texts[a:b])
-                if found and found[-1][0] == file and found[-1][1] + found[-1][2] == first:
-                    found[-1][2] += b - a
-                    found[-1][3] += n
-                else:
-                    found.append([file, first, b - a, n])
-        cols = list(zip(*found)) or [()] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])],
-            names=["file", "first", "n_rows", "n"])
+            texts, names = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+            for a, b, name, first in _runs(batch):
+                if (name, first) != (file, row):
+                    if docs:
+                        yield block(codec, file, stretch, before, n, docs, sizes, ids)
+                    docs, sizes, ids, n, held = [], [], [], 0, 0
+                    file, stretch, before = name, first, 0
+                row = first + b - a
+                for doc, text in zip(names[a:b], texts[a:b]):
+                    own = _cut(text, path)
+                    docs.append(NO_ID if doc is None else doc)
+                    sizes.append(len(own) // 2)
+                    ids.append(own)
+                    n += -(-len(own) // (2 * length))
+                    held += len(own)
+                    if held >= BLOCK_BYTES:
+                        yield block(codec, file, stretch, before, n, docs, sizes, ids)
+                        before += n
+                        docs, sizes, ids, n, held = [], [], [], 0, 0
+        if docs:
+            yield block(codec, file, stretch, before, n, docs, sizes, ids)
     return run
 
 
-def _records(path: str, length: int, starts, total: int, key: int):
-    """Records with their slots; the sequence numbers go on from the stretch's start."""
+def _sequences(body: bytes, n_docs: int, length: int) -> np.ndarray:
+    """The records of a block, each document's tokens cut and padded."""
     kind = record(length)
+    docs = np.frombuffer(body, "<i8", n_docs)
+    sizes = np.frombuffer(body, "<i4", n_docs, 8 * n_docs).astype(np.int64)
+    ids = np.frombuffer(body, "<u2", offset=12 * n_docs)
+    count = -(-sizes // length)
+    last = np.cumsum(count)
+    out = np.zeros(last[-1], kind)
+    out["doc"] = np.repeat(docs, count)
+    out["part"] = np.arange(last[-1]) - np.repeat(last - count, count)
+    out["n"] = length
+    out["n"][last - 1] = sizes - (count - 1) * length
+    flat = np.zeros(last[-1] * length, "<u2")
+    flat[np.arange(len(ids)) + np.repeat((last - count) * length - (np.cumsum(sizes) - sizes), sizes)] = ids
+    out["ids"] = flat.reshape(-1, length)
+    return out
+
+
+def _deal(length: int, starts, total: int, key: int, per_task: int):
+    """What of a block goes to each task: slots and records, as one compressed string."""
+    def run(batches):
+        codec = _codec()
+        for batch in batches:
+            for file, stretch, before, n_docs, raw, body in zip(*(
+                    batch.column(c).to_pylist() for c in ("file", "stretch", "before", "n_docs", "raw", "body"))):
+                rows = _sequences(codec.decompress(body, raw, asbytes=True), n_docs, length)
+                number = starts.value[file, stretch] + before
+                slots = permute(np.arange(number, number + len(rows)), total, key)
+                order = np.argsort(slots)
+                slots, rows = slots[order], rows[order]
+                task = slots // per_task
+                cut = np.concatenate(([0], np.flatnonzero(np.diff(task)) + 1, [len(task)]))
+                made = [codec.compress(slots[a:b].tobytes() + rows[a:b].tobytes(), asbytes=True)
+                        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(task[cut[:-1]].astype(np.int32)), pa.array(np.diff(cut).astype(np.int32)),
+                     pa.array(made, pa.binary())], names=["task", "n", "body"])
+    return run
+
 
+def _unpack(length: int):
+    """(slot, record) of the strings that a task got."""
     def run(batches):
-        file, row, number = None, -1, 0
+        codec, kind = _codec(), record(length)
         for batch in batches:
-            texts, docs = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for a, b, name, first in _runs(batch):
-                if (name, first) != (file, row):
-                    if (name, first) not in starts.value:
-                        raise RuntimeError("the files are split differently than when they were counted")
-                    number = starts.value[name, first]
-                file, row = name, first + b - a
-                parts = [_cut(t, path) for t in texts[a:b]]
-                count = [-(-len(p) // (2 * length)) for p in parts]
-                out = np.zeros(sum(count), kind)
-                at = 0
-                for d, p, c in zip(docs[a:b], parts, count):
-                    here = out[at:at + c]
-                    here["doc"] = NO_ID if d is None else d
-                    here["part"] = np.arange(c)
-                    ids = np.frombuffer(p.ljust(c * 2 * length, b"\0"), "<u2")
-                    here["ids"] = ids.reshape(c, length)
-                    here["n"] = length
-                    here["n"][-1] = len(p) // 2 - (c - 1) * length
-                    at += c
-                slots = permute(np.arange(number, number + at), total, key)
-                number += at
-                for k in range(0, at, 4096):
-                    part = out[k:k + 4096]
-                    ends = np.arange(len(part) + 1, dtype=np.int32) * kind.itemsize
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(slots[k:k + 4096]), pa.Array.from_buffers(
-                            pa.binary(), len(part), [None, pa.py_buffer(ends), pa.py_buffer(part)])],
-                        names=["slot", "body"])
+            for n, body in zip(batch.column("n").to_pylist(), batch.column("body").to_pylist()):
+                data = codec.decompress(body, n * (8 + kind.itemsize), asbytes=True)
+                ends = np.arange(n + 1, dtype=np.int32) * kind.itemsize
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(data, "<i8", n)), pa.Array.from_buffers(
+                        pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(data).slice(8 * n)])],
+                    names=["slot", "body"])
     return run
 
 
@@ -196,28 +242,32 @@ def write_shards(docs: DataFrame, folder: str, path: str = VOCABULARY, length: i
     """Write shards of a stored table of documents; returns the number of sequences.
 
     `docs` must be a scan of files. The only thing that reaches the driver is a
-    number for each stretch of rows that a task reads.
+    number for each stretch of rows that a task reads. The blocks of tokens stay
+    below the shared folder until the job that reads them is done.
     """
     spark = docs.sparkSession
-    # both passes, whatever becomes of the executors, cut the files alike
-    least = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(least, None) is None:
-        spark.conf.set(least, str(spark.sparkContext.defaultParallelism))
     place = docs.metadataColumn("_metadata")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                        place["file_path"].alias("file"), place["row_index"].alias("row"))
-    counts = rows.mapInArrow(_count(path, length), "file string, first bigint, n_rows bigint, n bigint")
+    stored = session.scratch(spark, "tokens")
+    rows.mapInArrow(_tokenise(path, length), _STAGED).write.option("compression", "none").parquet(stored)
+    blocks = spark.read.schema(_STAGED).parquet(stored)
     starts, total = {}, 0
-    for r in sorted(counts.collect()):
-        starts[r["file"], r["first"]] = total
+    for r in sorted(blocks.groupBy("file", "stretch").agg(F.sum("n").alias("n")).collect()):
+        starts[r["file"], r["stretch"]] = total
         total += r["n"]
     shared = spark.sparkContext.broadcast(starts)
-    out = rows.mapInArrow(_records(path, length, shared, total, key), "slot bigint, body binary")
-    out = out.withColumn("shard", F.expr(f"slot div {per_shard}"))
-    width = max(1, -(-total // per_shard))
-    (out.repartitionById(width, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
+    # a few shards to a task, but as many tasks as there are anyway
+    n_shards = max(1, -(-total // per_shard))
+    shards = min(SHARDS_PER_TASK, max(1, n_shards // session.default_partitions(spark)))
+    dealt = blocks.mapInArrow(_deal(length, shared, total, key, shards * per_shard), "task int, n int, body binary")
+    out = (dealt.repartitionById(-(-n_shards // shards), F.col("task"))
+           .mapInArrow(_unpack(length), "slot bigint, body binary")
+           .withColumn("shard", F.expr(f"slot div {per_shard}")))
+    (out.sortWithinPartitions("shard", "slot")
      .select("shard", F.col("body").cast("string").alias("value"))
      .write.partitionBy("shard").option("lineSep", "\0\0").text(folder))
+    session.discard(spark, stored)
     return total
 
 
