@@ -44,6 +44,12 @@ def unsigned_share(name: str, *parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(name), *parts), 11) / F.lit(float(1 << 53))
 
 
+def orderable(df: DataFrame, name: str) -> Column:
+    """A column as it can be hashed and compared: one that holds maps as its JSON text."""
+    column = F.col(f"`{name}`")
+    return F.to_json(F.struct(column)) if "map<" in df.schema[name].dataType.simpleString() else column
+
+
 def remainder(column: Column, by: int) -> Column:
     """crc32 of a value's text modulo `by`; null for null."""
     return F.crc32(column.cast("string")) % by

@@ -26,6 +26,7 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -127,6 +128,23 @@ def _round(items: DataFrame, largest: int, fan: int) -> DataFrame:
     return reduce(DataFrame.unionByName, decided)
 
 
+# Fixed form: what Spark's writers put into file names to tell jobs apart.
+_JOB = "[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+
+
+def _file(docs: DataFrame) -> Column:
+    """A number for a row's file that does not depend on the folder, nor on the job that wrote it.
+
+    So the joins below deal rows out and sort them alike when the same rows are
+    stored again. Files whose names do not tell them apart are known by their paths.
+    """
+    path = docs.metadataColumn("_metadata")["file_path"]
+    names = [re.sub(_JOB, "", f.rpartition("/")[2]) for f in docs.inputFiles()]
+    if len(set(names)) < len(names):
+        return F.xxhash64(path)
+    return F.xxhash64(F.regexp_replace(F.regexp_extract(path, "[^/]+$", 0), _JOB, ""))
+
+
 def copies(docs: DataFrame, id_: str = "doc_id", text: str = "text", source: str = "source",
            weights=WEIGHTS, most: int = MOST, fan: int = FAN) -> DataFrame:
     """How often each row of a stored table is taken.
@@ -137,8 +155,8 @@ def copies(docs: DataFrame, id_: str = "doc_id", text: str = "text", source: str
     place = docs.metadataColumn("_metadata")
     rows = common.stage(docs.select(
         F.col(id_).alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("key"),
-        F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row")), "sizes")
+        F.xxhash64(*[common.orderable(docs, c) for c in docs.columns]).alias("key"),
+        _file(docs).alias("file"), place["row_index"].alias("row")), "sizes")
     per = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     per = common.stage(ordered.global_index(per.withColumn("_null", F.col("source").isNull()),
                                             ["_null", "source"], "pos").drop("_null"), "sources")
@@ -167,8 +185,7 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     """The rows of a stored table, each as often as the mix takes it."""
     place = docs.metadataColumn("_metadata")
     names = [F.col(f"`{c}`").alias(f"_{n}") for n, c in enumerate(docs.columns)]
-    rows = docs.select(*names, F.xxhash64(place["file_path"]).alias("file"),
-                       place["row_index"].alias("row"))
+    rows = docs.select(*names, _file(docs).alias("file"), place["row_index"].alias("row"))
     taken = copies(docs, **how).where("copies > 0").select("file", "row", "copies")
     rows = rows.join(taken, ["file", "row"]).withColumn(
         "_again", F.explode(F.expr("sequence(1, copies)")))

@@ -55,8 +55,8 @@ KEY = 0x5EED0FDA7A
 ROUNDS = 6
 #: Bytes of text that are encoded at once.
 PIECE = 1 << 20
-#: Bytes of token ids that are compressed together, and how hard.
-BLOCK_BYTES, LEVEL = 8 << 20, 6
+#: Bytes of token ids that are compressed together, and how hard: as stored, and as sent.
+BLOCK_BYTES, LEVEL, SENT_LEVEL = 8 << 20, 6, 9
 #: Shards that one task writes, at most.
 SHARDS_PER_TASK = 8
 HEAD = np.dtype([("doc", "<i8"), ("part", "<i4"), ("n", "<i4")])
@@ -136,8 +136,8 @@ _STAGED = "file string, stretch bigint, before bigint, n bigint, n_docs int, raw
 _TYPES = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
 
 
-def _codec() -> pa.Codec:
-    return pa.Codec("zstd", compression_level=LEVEL)
+def _codec(level: int = LEVEL) -> pa.Codec:
+    return pa.Codec("zstd", compression_level=level)
 
 
 def _tokenise(path: str, length: int):
@@ -203,7 +203,7 @@ def _sequences(body: bytes, n_docs: int, length: int) -> np.ndarray:
 def _deal(length: int, starts, total: int, key: int, per_task: int):
     """What of a block goes to each task: slots and records, as one compressed string."""
     def run(batches):
-        codec = _codec()
+        codec = _codec(SENT_LEVEL)
         for batch in batches:
             for file, stretch, before, n_docs, raw, body in zip(*(
                     batch.column(c).to_pylist() for c in ("file", "stretch", "before", "n_docs", "raw", "body"))):

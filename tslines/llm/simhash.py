@@ -288,7 +288,8 @@ def keep_first(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFra
     id_, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
     kept = rows.select(*keyed(id_, F.xxhash64(text)), *names).join(first.distinct(), keys)
     # repeated rows lie where the join has put them
-    kept = kept.groupBy(*keys).agg(F.min(F.struct(*names)).alias("_row"))
+    order = [common.orderable(rows, n).alias(n) for n in names]
+    kept = kept.groupBy(*keys).agg(F.min_by(F.struct(*names), F.struct(*order)).alias("_row"))
     return kept.select(*[F.col("_row")[n].alias(c) for n, c in zip(names, docs.columns)])
 
 
