@@ -7,7 +7,7 @@ import tiktoken
 
 import corpus_pipeline
 from tslines import session
-from tslines.llm import mixing, order
+from tslines.llm import mixing, order, simhash
 from llm.support import CLASH, DOCS, clashing, store, words
 
 
@@ -140,3 +140,31 @@ def test_pipeline_stages(spark, tmp_path):
     assert counts[0] >= counts[1] > counts[2] > counts[3] and counts[5] > 0
     whole = corpus_pipeline.run(spark, sf)
     assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
+
+
+def test_maps_may_be_among_the_columns(spark, tmp_path):
+    from pyspark.sql import functions as F
+    rows = [(i, "a b c " * (i % 4), "en", "st"[i % 2], 1) for i in range(30)] * 2
+    df = store(spark, tmp_path, rows).withColumn("extra", F.create_map(F.lit("k"), F.col("doc_id")))
+    df.write.parquet(f"{tmp_path}/maps")
+    df = spark.read.parquet(f"{tmp_path}/maps")
+    assert mixing.copies(df).count() == 60 and mixing.mix(df).columns == df.columns
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns and sorted(r["extra"]["k"] - r["doc_id"] for r in kept.collect()) == [0] * kept.count()
+
+
+def test_order_does_not_depend_on_folders(spark, tmp_path):
+    rows = corpus(120)
+    key, found = "spark.sql.autoBroadcastJoinThreshold", []
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        for run in range(2):
+            path = f"{tmp_path}/{run}"
+            spark.createDataFrame(rows, DOCS).coalesce(4).write.parquet(path)
+            mixing.mix(spark.read.parquet(path)).write.parquet(f"{path}-mixed")
+            out = order.materialise(spark.read.parquet(f"{path}-mixed"), length=16, per_shard=50)
+            found.append(sorted(map(tuple, out.collect())))
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] == found[1] and len(found[0]) > 100
