@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tslines import session
+from tslines.catalog import batches, groups
 from tslines.functions import times
 from tslines.operators import batch, decode
 from tslines.operators.batch import Limits
 from tslines.operators.encode import encode
 from tslines.plans import roles
-from tslines.sources import messages, payloads, tables
-from tslines.streaming import flows
+from tslines.sources import messages, payload_files, payloads, tables
+from tslines.streaming import event_time, flows
 
 DAY_MS = 86_400_000
 PLAIN = """
@@ -215,6 +216,57 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return _stream_table(flows.alerts(ev, ["user_id"], "t", day, 4, 2 * day), spark, "alerts")
 
 
+def _late(rows: DataFrame, at: str, last: DataFrame) -> DataFrame:
+    """A stream of four files whose rows come up to 30 days late, then one row that ends it."""
+    spark = rows.sparkSession
+    kept, root = session.scratch(spark, "kept"), session.scratch(spark, "late")
+    month = 30 * DAY_MS * 1000
+    rows.withColumn("arrive", F.unix_micros(at) + F.pmod(F.xxhash64(*rows.columns), F.lit(month))).write.parquet(kept)
+    kept = spark.read.parquet(kept)
+    cuts = [0, *kept.approxQuantile("arrive", [0.25, 0.5, 0.75], 0.01), 1e19]
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        some = kept.filter((F.col("arrive") >= low) & (F.col("arrive") < high))
+        some.drop("arrive").coalesce(1).write.mode("append").parquet(root)
+    last.coalesce(1).write.mode("append").parquet(root)
+    return spark.readStream.schema(last.schema).option("maxFilesPerTrigger", 1).parquet(root)
+
+
+def stream_alerts_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Burst alerts of events that arrive in no order of time."""
+    ev = tables.table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("at"))
+    last = ev.limit(1).select(F.lit(-1).cast("bigint").alias("user_id"), F.expr("timestamp'2200-01-01'").alias("at"))
+    day = DAY_MS * 1000
+    found = event_time.alerts(_late(ev, "at", last), ["user_id"], "at", "40 days", day, 4, 2 * day)
+    return _stream_table(found, spark, "late_alerts").withColumnRenamed("at_us", "t")
+
+
+def stream_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """Lowest free slots of sessions that arrive in no order of time."""
+    daily = groups.daily_sessions(spark, sf).select(
+        "day", "user_id", F.timestamp_micros("start_us").alias("start"), F.timestamp_micros("end_us").alias("stop"))
+    none = F.expr("timestamp'2200-01-01'")
+    last = daily.limit(1).select(F.lit(-1).cast("bigint").alias("day"), F.lit(-1).cast("bigint").alias("user_id"),
+                                 none.alias("start"), none.alias("stop"))
+    found = event_time.slots(_late(daily, "start", last), ["day"], "start", "stop", "user_id", delay="40 days")
+    return _stream_table(found, spark, "late_slots").filter("day >= 0").select("day", "user_id", "start_us", "slot")
+
+
+def payload_files_written(spark: SparkSession, sf: str) -> DataFrame:
+    """One file for each payload: its name, bytes and lines."""
+    root = session.scratch(session.configure(spark), "payload_files")
+    lines = _lines(tables.table(spark, sf, "events"))
+    joined = payloads.payloads(lines, "user_id", order=["event_id"])
+    payloads.fan_out(joined, [lambda df: payload_files.write(df, root, 1, "user_id")] * 2)
+    return payload_files.read(spark, root).select(
+        "name", "n_bytes", F.regexp_count(F.decode("payload", "utf-8"), F.lit("\n")).cast("bigint").alias("n_rows"))
+
+
+PAYLOAD_FILES_WRITTEN = f"""
+WITH RECURSIVE {_LEDGER_ROWS}
+SELECT '=' || user_id || '-=' || batch_id AS name, max(size) AS n_bytes, count(*) AS n_rows
+FROM s GROUP BY user_id, batch_id"""
+
+
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every event arrives twice, over several micro-batches; without an instant both stay."""
     root = session.scratch(session.configure(spark), "arrivals")
@@ -265,16 +317,16 @@ SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_ids, CAST(0 AS BIGINT)
 
 QUERIES = {f.__name__: f for f in (
     parquet_roundtrip, payload_frames, payload_frames_binary, payload_ledger, payload_build, fan_out, sink_replay,
-    message_files, stream_equals_batch, stream_batches, stream_alerts, stream_dedup, text_stream, synthetic_rows,
+    payload_files_written, message_files, stream_equals_batch, stream_batches, stream_alerts, stream_alerts_late,
+    stream_slots, stream_dedup, text_stream, synthetic_rows,
     synthetic_profile)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES if name.upper() in globals()}
 
 
 def _shared_oracles() -> dict[str, str]:
     """Streams whose batch form already has an oracle."""
-    from tslines.catalog import batches, groups
-
-    return {"stream_batches": batches.BATCH_COMBINED, "stream_alerts": groups.BURST_ALERTS}
+    return {"stream_batches": batches.BATCH_COMBINED, "stream_alerts": groups.BURST_ALERTS,
+            "stream_alerts_late": groups.BURST_ALERTS, "stream_slots": groups.SLOT_ASSIGN}
 
 
 ORACLES |= _shared_oracles()

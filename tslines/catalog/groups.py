@@ -156,13 +156,13 @@ EVENT_SESSIONS_SPREAD = EVENT_SESSIONS.replace(
     "SELECT user_id, epoch_us(ts)", "SELECT nullif(user_id, 7) AS user_id, epoch_us(ts)")
 
 
-def _daily(spark, sf):
+def daily_sessions(spark, sf):
     return _sessions(spark, sf).withColumn(
         "day", F.call_function("div", F.col("start_us"), F.lit(DAY_US)))
 
 
 def session_concurrency(spark: SparkSession, sf: str) -> DataFrame:
-    return bursts.concurrency(_daily(spark, sf), ["day"], "start_us", "end_us")
+    return bursts.concurrency(daily_sessions(spark, sf), ["day"], "start_us", "end_us")
 
 
 SESSION_CONCURRENCY = f"""
@@ -176,7 +176,7 @@ SELECT day, at_us, CAST(sum(d) OVER (PARTITION BY day ORDER BY at_us) AS BIGINT)
 def session_concurrency_spread(spark: SparkSession, sf: str) -> DataFrame:
     """The plan for groups that are too large for one task."""
     some = F.when(F.col("day") % 3 != 0, F.col("day"))
-    return bursts.concurrency(_daily(spark, sf).withColumn("day", some), ["day"], "start_us",
+    return bursts.concurrency(daily_sessions(spark, sf).withColumn("day", some), ["day"], "start_us",
                               "end_us", spread_above=0)
 
 
@@ -185,13 +185,13 @@ SESSION_CONCURRENCY_SPREAD = SESSION_CONCURRENCY.replace(
 
 
 def slot_assign(spark: SparkSession, sf: str) -> DataFrame:
-    return bursts.slots(_daily(spark, sf), ["day"], "start_us", "end_us", "user_id").select(
+    return bursts.slots(daily_sessions(spark, sf), ["day"], "start_us", "end_us", "user_id").select(
         "day", "user_id", "start_us", "slot")
 
 
 def slot_assign_spread(spark: SparkSession, sf: str) -> DataFrame:
     """The plan for busy periods that are too large for one task."""
-    return bursts.slots(_daily(spark, sf), ["day"], "start_us", "end_us", "user_id",
+    return bursts.slots(daily_sessions(spark, sf), ["day"], "start_us", "end_us", "user_id",
                         spread_above=0).select("day", "user_id", "start_us", "slot")
 
 

@@ -38,10 +38,6 @@ def escape_name(name: str) -> str:
     return reduce(lambda x, ch: x.replace(ch, "\\" + ch), BARE_SPECIAL, name)
 
 
-def unescape(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?s)\\(.)", "$1")
-
-
 def _shortest(values: pa.Array) -> pa.Array:
     if values.null_count == len(values):
         return pa.nulls(len(values), pa.string())
