@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 FILE_BYTES = 64 << 20
 #: Pieces, and bytes of pieces, that a task remembers.
 PIECES, PIECE_BYTES = 400_000, 24 << 20
+#: Bits of a token id in the key of a pair.
+SHIFT = 24
 ENCODED = "doc_id bigint, n_tokens bigint, ids binary, decoded string"
 
 
@@ -75,14 +77,15 @@ class Vocabulary:
             self.special[t["content"]] = t["id"]
             self.bytes[t["id"]] = t["content"].encode()
         self.merges: list[tuple[int, int, int]] = []
-        self.rank: dict[tuple[int, int], int] = {}
+        # of a pair (a, b), under a << SHIFT | b
+        self.rank: dict[int, int] = {}
         made: dict[int, int] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             left, right, new = ids[a], ids[b], ids[a + b]
             made[new] = rank
             self.merges.append((left, right, new))
-            self.rank[left, right] = rank
+            self.rank[left << SHIFT | right] = rank
         # else a merge could make a pair of lower rank than its own
         for rank, (left, right, _) in enumerate(self.merges):
             if max(made.get(left, -1), made.get(right, -1)) >= rank:
@@ -99,7 +102,7 @@ def vocabulary(data: bytes) -> Vocabulary:
 
 def merge_all(pieces: list[bytes], words: Vocabulary) -> list[list[int]]:
     """Token ids of each piece, by one index of all their pairs."""
-    first, rank_of, merges = words.first, words.rank, words.merges
+    first, rank_of, merges = words.first, words.rank.get, words.merges
     symbol = [first[b] for piece in pieces for b in piece]
     total = len(symbol)
     after, before = list(range(1, total + 1)), list(range(-1, total - 1))
@@ -110,13 +113,19 @@ def merge_all(pieces: list[bytes], words: Vocabulary) -> list[list[int]]:
             begin += len(piece)
             after[begin - 1] = -1
     where: dict[int, list[int]] = {}
-    for i in range(total):
-        if after[i] >= 0:
-            rank = rank_of.get((symbol[i], symbol[i + 1]))
-            if rank is not None:
-                where.setdefault(rank, []).append(i)
-    active = list(where)
-    heapify(active)
+    active: list[int] = []
+
+    def add(rank: int, place: int) -> None:
+        places = where.get(rank)
+        if places is None:
+            where[rank] = [place]
+            heappush(active, rank)
+        else:
+            places.append(place)
+
+    for i, (a, b, j) in enumerate(zip(symbol, symbol[1:], after)):
+        if j >= 0 and (rank := rank_of(a << SHIFT | b)) is not None:
+            add(rank, i)
     while active:
         rank = heappop(active)
         left, right, new = merges[rank]
@@ -124,20 +133,15 @@ def merge_all(pieces: list[bytes], words: Vocabulary) -> list[list[int]]:
             j = after[i]
             if symbol[i] != left or j < 0 or symbol[j] != right:
                 continue  # another place of this list, or a lower rank, took one of the two
-            k, h = after[j], before[i]
-            symbol[i], symbol[j], after[i] = new, -1, k
+            symbol[i], symbol[j] = new, -1
+            after[i] = k = after[j]
+            h = before[i]
+            if h >= 0 and (found := rank_of(symbol[h] << SHIFT | new)) is not None:
+                add(found, h)
             if k >= 0:
                 before[k] = i
-            for place, other in ((h, i), (i, k)):
-                if place >= 0 and other >= 0:
-                    found = rank_of.get((symbol[place], symbol[other]))
-                    if found is not None:
-                        places = where.get(found)
-                        if places is None:
-                            where[found] = [place]
-                            heappush(active, found)
-                        else:
-                            places.append(place)
+                if (found := rank_of(new << SHIFT | symbol[k])) is not None:
+                    add(found, i)
     out, begin = [], 0
     for piece in pieces:
         out.append([s for s in symbol[begin:begin + len(piece)] if s >= 0])
