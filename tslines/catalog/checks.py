@@ -163,6 +163,29 @@ SELECT 'customer,c_name=' || c_name || ',c_mktsegment=' || c_mktsegment || ' c_c
   AS line FROM customer"""
 
 
+def strict_refused(spark: SparkSession, sf: str) -> DataFrame:
+    """A strict load of each table in turn: one bad row refuses all of its table's rows."""
+    ev = table(spark, sf, "events").withColumn("hot", F.when(
+        (F.col("event_type") != "error") | (F.col("user_id") % 3 != 0), F.col("value") > 50))
+    kept = None
+    for (kind,) in sorted(map(tuple, ev.select("event_type").distinct().collect())):
+        rows = ev.filter(F.col("event_type") == kind)
+        plan = roles.resolve(rows, table=kind, at="ts", version=1)
+        try:
+            part = validate.strict(rows, plan, "event_id").select("event_id", F.lit(None).cast("string").alias("error"))
+        except validate.RejectedRows as refused:
+            part = rows.agg(F.lit(None).cast("bigint").alias("event_id"), F.lit(str(refused)).alias("error"))
+        part = part.withColumn("tbl", F.lit(kind))
+        kept = part if kept is None else kept.unionByName(part)
+    return kept
+
+
+STRICT_REFUSED = """
+SELECT event_type AS tbl, event_id, CAST(NULL AS VARCHAR) AS error FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'error', CAST(NULL AS BIGINT), 'row [' || min(event_id) || '], column ''hot'': a boolean must not be null (value None)'
+FROM events WHERE event_type = 'error' AND user_id % 3 = 0"""
+
+
 def sniff_types(spark: SparkSession, sf: str) -> DataFrame:
     """Kinds of loosely typed text columns by their first value."""
     ev = table(spark, sf, "events").select(
@@ -300,6 +323,7 @@ SELECT event_id, CASE WHEN event_type = 'error' AND value <= 50 THEN 'all_null_r
 
 
 QUERIES = {f.__name__: f for f in (
-    name_check, bool_strict_rejects, rejects, clean_rows, lines_and_rejects, first_error, strict_load, sniff_types,
+    name_check, bool_strict_rejects, rejects, clean_rows, lines_and_rejects, first_error, strict_load, strict_refused,
+    sniff_types,
     typed_rows, typed_rejects, null_profile, version_loss, utf8_check, all_null_rows)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}

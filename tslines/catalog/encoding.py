@@ -288,6 +288,33 @@ SELECT * FROM (SELECT event_id, nullif(event_type, 'error') AS kind,
 WHERE kind IS NOT NULL OR value IS NOT NULL"""
 
 
+def pivot_all_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows given as cells of nine types, some of them absent, become typed columns."""
+    ev = table(spark, sf, "events")
+    us = times.micros(F.col("ts"))
+    cells = {
+        "flag": F.col("value") > 50, "count": F.col("user_id"), "level": F.col("value"),
+        "kind": F.nullif("event_type", F.lit("error")), "text": F.col("props"), "seen": F.col("ts").cast("timestamp"),
+        "nanos": us * 1000 + 1, "pair": F.array("value", F.col("value") * 2),
+        "price": F.col("value").cast("decimal(12,2)")}
+    types = {n: ev.select(c.alias(n)).schema[n].dataType for n, c in cells.items()}
+    rows = [F.struct(F.lit(n).alias("name"), *[(c if n == m else F.lit(None).cast(types[m])).alias(f"as_{m}")
+                                               for m in cells]) for n, c in cells.items()]
+    # every fifth event has no cell at all, users above 50 have no level
+    long = ev.select("event_id", F.explode(F.array(*rows)).alias("c"), "user_id").select("event_id", "user_id", "c.*")
+    long = long.filter("event_id % 5 <> 0 AND NOT (name = 'level' AND user_id > 50)").drop("user_id")
+    wide = from_events(long, "event_id", "name", {n: f"as_{n}" for n in cells}, {n: n for n in cells})
+    return wide.select("event_id", "flag", "count", "level", "kind", "text", times.micros(F.col("seen")).alias("seen_us"),
+                       "nanos", F.get("pair", F.lit(1)).alias("second"), F.col("price").cast("string").alias("price"))
+
+
+PIVOT_ALL_TYPES = """
+SELECT event_id, value > 50 AS flag, user_id AS "count", CASE WHEN user_id <= 50 THEN value END AS level,
+  nullif(event_type, 'error') AS kind, props AS text, epoch_us(ts) AS seen_us, epoch_us(ts) * 1000 + 1 AS nanos,
+  value * 2 AS second, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS price
+FROM events WHERE event_id % 5 <> 0"""
+
+
 def roundtrip_v1(spark: SparkSession, sf: str) -> DataFrame:
     rows = decode.text_lines(encode_v1_orders(spark, sf))
     return rows.filter("ok").select(
@@ -419,7 +446,7 @@ FROM k, (VALUES ('text'), ('binary')) f(form)"""
 QUERIES = {f.__name__: f for f in (
     encode_v1_orders, encode_v1_events_nulls, encode_v1_documents, encode_v2_lineitem,
     encode_v3_lineitem, payload_size_by_table, symbol_auto_true_list, widen_types, u64_guard,
-    at_normalise, decimal_parts, array_shape, drop_null_columns, pivot_long_rows, roundtrip_v1,
+    at_normalise, decimal_parts, array_shape, drop_null_columns, pivot_long_rows, pivot_all_types, roundtrip_v1,
     roundtrip_v1_documents, roundtrip_v2, roundtrip_v3, decode_wide, decode_rejects,
     decode_bad_numbers)}
 ORACLES = {name: globals()[name.upper()] for name in QUERIES}
