@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tslines.llm import language, neighbours, toxicity
@@ -53,12 +54,27 @@ def test_mixtures_of_three_languages_are_kept(spark, monkeypatch):
     assert 500 in kept and 501 not in kept and len(kept) == 91
 
 
-def test_slices_change_little(monkeypatch):
-    long = text(random.Random(1), "x", 3000)
-    at, n = language.trigrams(long)
-    monkeypatch.setattr(language, "SLICE", 1000)
-    again = dict(zip(*language.trigrams(long)))
-    assert set(at.tolist()) <= set(again) and abs(sum(again.values()) - n.sum()) < 100
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_slices_change_nothing(monkeypatch, size):
+    rng = random.Random(1)
+    for long in (text(rng, "x", 600), "", "1 2", "a", "ab", "..ab..", "a  b" * 9 + "  ", "  \u00e9t\u00e9 1x", " " * 50 + "a"):
+        monkeypatch.setattr(language, "SLICE", 1 << 20)
+        whole = language.trigrams(long)
+        monkeypatch.setattr(language, "SLICE", size)
+        again = language.trigrams(long)
+        assert (whole is None) == (again is None)
+        assert whole is None or [x.tolist() for x in whole] == [x.tolist() for x in again]
+
+
+def test_mixtures_reach_the_greatest_likelihood():
+    """Expectation-maximisation of two languages against all shares on a grid."""
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        p, n = rng.dirichlet(np.ones(30), 2).T, rng.integers(0, 20, 30)
+        got = language._mixture(p, n, 2000)
+        grid = np.linspace(0, 1, 2001)
+        best = max(n @ np.log(p @ np.array([a, 1 - a]) + 1e-300) for a in grid)
+        assert abs(got.sum() - 1) < 1e-9 and n @ np.log(p @ got) > best - 0.01
 
 
 def test_held_out_accuracy(spark):

@@ -53,12 +53,14 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     """Buckets of a text's letter trigrams and their counts; None without a letter."""
     if not text:
         return None
-    total = None
+    total, before = None, [0]
     for start in range(0, len(text), SLICE):
         raw = text[start:start + SLICE].encode("utf-32-le", "replace")
         code = _letters()[np.frombuffer(raw, "<u4")]
-        code = np.concatenate(([0], code, [0])).astype(np.uint32)
+        after = [0] if start + SLICE >= len(text) else []
+        code = np.concatenate((before, code, after)).astype(np.uint32)
         code = code[np.concatenate(([True], (code[1:] != 0) | (code[:-1] != 0)))]
+        before = code[-2:]  # the trigrams that begin here end in the next slice
         if len(code) < 3:
             continue
         h = (code[:-2] * np.uint32(0x9E3779B1) + code[1:-1] * np.uint32(0x85EBCA77)
