@@ -89,9 +89,10 @@ SELECT o_orderkey, epoch_us(o_orderdate) AS at_us,
   row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS position FROM orders"""
 
 
-def _routed(spark, sf):
+def _routed(spark, sf, one=False):
+    """Events for a table of their type, or all for one."""
     return table(spark, sf, "events").select(
-        F.col("event_type").alias("tbl"), F.col("ts").cast("timestamp").alias("at"), "event_id",
+        F.lit("events").alias("tbl") if one else F.col("event_type").alias("tbl"), F.col("ts").cast("timestamp").alias("at"), "event_id",
         "user_id", "value")
 
 
@@ -139,7 +140,7 @@ FROM events"""
 
 def land_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """A commit that is sent again adds nothing; rows of a write that died are not seen."""
-    root, ev = _root(spark), _routed(spark, sf)
+    root, ev = _root(spark), _routed(spark, sf, one=True)
     store.land(ev.filter("event_id % 3 = 0"), root, commit="first")
     store.land(ev.filter("event_id % 3 = 0"), root, commit="first")
     lost = ev.filter("event_id % 3 = 2").withColumns({"day": F.to_date("at"), "_slot": F.lit(0)})
@@ -152,13 +153,13 @@ def land_rerun(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LAND_RERUN = """
-SELECT event_type AS tbl, event_id, epoch_us(ts) AS at_us, value, 'first,second' AS commits
+SELECT 'events' AS tbl, event_id, epoch_us(ts) AS at_us, value, 'first,second' AS commits
 FROM events WHERE event_id % 3 < 2"""
 
 
 def land_writers(spark: SparkSession, sf: str) -> DataFrame:
     """Writers at the same time, on the same tables and days: each commit lands once."""
-    root, ev = _root(spark), _routed(spark, sf)
+    root, ev = _root(spark), _routed(spark, sf, one=True)
     with ThreadPoolExecutor(3) as pool:
         work = [pool.submit(store.land, ev.filter(f"event_id % 3 = {i}"), root, commit=f"c{i}") for i in range(3)]
         for w in work:
@@ -169,7 +170,7 @@ def land_writers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LAND_WRITERS = """
-SELECT event_type AS tbl, event_id, user_id, value, 'c0,c1,c2 [0, 1, 2]' AS commits FROM events"""
+SELECT 'events' AS tbl, event_id, user_id, value, 'c0,c1,c2 [0, 1, 2]' AS commits FROM events"""
 
 
 def land_case_variants(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,7 +211,7 @@ SELECT event_type AS tbl, event_id, user_id,
 
 def land_late(spark: SparkSession, sf: str) -> DataFrame:
     """Rows come in four loads in no order of time; files stay in time order and apart."""
-    root, ev = _root(spark), _routed(spark, sf)
+    root, ev = _root(spark), _routed(spark, sf, one=True)
     for i in (2, 0, 3, 1):
         store.land(ev.filter(f"(event_id * 7919) % 4 = {i}"), root)
     live = store.files(spark, root)
@@ -228,7 +229,7 @@ def land_late(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LAND_LATE = """
-SELECT event_type AS tbl, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, true AS apart, count(*) AS n_rows,
+SELECT 'events' AS tbl, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, true AS apart, count(*) AS n_rows,
   true AS sorted, CAST(sum(epoch_us(ts)) AS BIGINT) AS sum_us FROM events GROUP BY 1, 2"""
 
 
