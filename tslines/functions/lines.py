@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from tslines.functions.binary import ARRAY_ELEMENT_TAG, ARRAY_TAG, DECIMAL_TAG, DOUBLE_TAG, MAX_DIMS
 
 #: Bytes that are indexed together; a longer line is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Zero bytes behind a buffer, so that a look ahead stays inside.
 _PAD = 160
 KINDS = ("string", "boolean", "integer", "timestamp_us", "timestamp_ns", "float", "double", "array", "decimal")
@@ -83,17 +83,16 @@ class Index:
         self._quote = self._next((data == _QUOTE) & plain)
         self.ends = np.flatnonzero((data == _END) & plain)
         self.digits = np.zeros(self.n + _PAD, np.int32)
-        np.cumsum((data >= 48) & (data <= 57), out=self.digits[1:self.n + 1])
+        np.cumsum(((data >= 48) & (data <= 57)).astype(np.int32), out=self.digits[1:self.n + 1])
         self.digits[self.n + 1:] = self.digits[self.n]
 
-    def _next(self, mask: np.ndarray):
-        before = np.zeros(self.n + 1, np.int32)
-        np.cumsum(mask, out=before[1:])
-        return np.append(np.flatnonzero(mask), self.n), before
+    def _next(self, mask: np.ndarray) -> np.ndarray:
+        """For every place the next one, itself included, that is marked; the end if there is none."""
+        places = np.append(np.flatnonzero(mask), self.n)
+        return np.repeat(places.astype(np.int32), np.diff(places, prepend=-1))
 
-    def _at(self, table, at):
-        places, before = table
-        return places[before[np.minimum(at, self.n)]]
+    def _at(self, table: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return table[np.minimum(at, self.n)].astype(np.int64)
 
     def bare(self, at):
         """The next unescaped comma, blank or line end."""
