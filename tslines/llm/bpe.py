@@ -93,6 +93,10 @@ class Vocabulary:
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
                                    + ")") if self.special else None
         self.cut = regex.compile(PATTERN)
+        # ranks of pairs of bytes, -1 for none
+        self.byte_rank = np.array([[self.rank.get(a << SHIFT | b, -1) for b in self.first] for a in self.first],
+                                  np.int64)
+        self.byte_id = np.array(self.first, np.int64)
 
 
 @lru_cache(2)
@@ -100,53 +104,62 @@ def vocabulary(data: bytes) -> Vocabulary:
     return Vocabulary(data)
 
 
-def merge_all(pieces: list[bytes], words: Vocabulary) -> list[list[int]]:
-    """Token ids of each piece, by one index of all their pairs."""
-    first, rank_of, merges = words.first, words.rank.get, words.merges
-    symbol = [first[b] for piece in pieces for b in piece]
-    total = len(symbol)
-    after, before = list(range(1, total + 1)), list(range(-1, total - 1))
-    begin = 0
-    for piece in pieces:
-        if piece:
-            before[begin] = -1
-            begin += len(piece)
-            after[begin - 1] = -1
-    where: dict[int, list[int]] = {}
-    active: list[int] = []
-
-    def add(rank: int, place: int) -> None:
-        places = where.get(rank)
-        if places is None:
-            where[rank] = [place]
-            heappush(active, rank)
-        else:
-            places.append(place)
-
-    for i, (a, b, j) in enumerate(zip(symbol, symbol[1:], after)):
-        if j >= 0 and (rank := rank_of(a << SHIFT | b)) is not None:
-            add(rank, i)
+def merge_all(pieces: list[bytes], words: Vocabulary, kind: str = "<u4") -> list[bytes]:
+    """Token ids of each piece, by one index of all their pairs; ids as numbers of type `kind`."""
+    rank_of, merges = words.rank.get, words.merges
+    size = np.array([len(p) for p in pieces], np.int64)
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    total, ends = len(data), np.cumsum(size)
+    if not total:
+        return [b""] * len(pieces)
+    last, begin = ends[size > 0] - 1, (ends - size)[size > 0]
+    after, before = np.arange(1, total + 1), np.arange(-1, total - 1)
+    after[last], before[begin] = -1, -1
+    # the places of all pairs of bytes, by rank
+    found = np.append(words.byte_rank[data[:-1], data[1:]], -1)
+    found[last] = -1
+    place = np.argsort(found, kind="stable")
+    place = place[np.searchsorted(found[place], 0):]
+    ranks, at = np.unique(found[place], return_index=True)
+    where = dict(zip(ranks.tolist(), (x.tolist() for x in np.split(place, at[1:])))) if len(place) else {}
+    active = ranks.tolist()  # in order, which makes it a heap
+    symbol, after, before = words.byte_id[data].tolist(), after.tolist(), before.tolist()
     while active:
         rank = heappop(active)
         left, right, new = merges[rank]
+        base = new << SHIFT
         for i in sorted(where.pop(rank)):
+            if symbol[i] != left:
+                continue  # another place of this list, or a lower rank, took it
             j = after[i]
-            if symbol[i] != left or j < 0 or symbol[j] != right:
-                continue  # another place of this list, or a lower rank, took one of the two
+            if j < 0 or symbol[j] != right:
+                continue
             symbol[i], symbol[j] = new, -1
             after[i] = k = after[j]
             h = before[i]
-            if h >= 0 and (found := rank_of(symbol[h] << SHIFT | new)) is not None:
-                add(found, h)
+            if h >= 0:
+                got = rank_of(symbol[h] << SHIFT | new)
+                if got is not None:
+                    if got in where:
+                        where[got].append(h)
+                    else:
+                        where[got] = [h]
+                        heappush(active, got)
             if k >= 0:
                 before[k] = i
-                if (found := rank_of(new << SHIFT | symbol[k])) is not None:
-                    add(found, i)
-    out, begin = [], 0
-    for piece in pieces:
-        out.append([s for s in symbol[begin:begin + len(piece)] if s >= 0])
-        begin += len(piece)
-    return out
+                got = rank_of(base | symbol[k])
+                if got is not None:
+                    if got in where:
+                        where[got].append(i)
+                    else:
+                        where[got] = [i]
+                        heappush(active, got)
+    symbols = np.array(symbol)
+    left_over = symbols >= 0
+    ids = symbols[left_over].astype(kind)
+    stop = np.concatenate(([0], np.cumsum(left_over)))[ends] * ids.itemsize
+    raw, stop = ids.tobytes(), stop.tolist()
+    return [raw[a:b] for a, b in zip([0, *stop], stop)]
 
 
 class Encoder:
@@ -187,8 +200,7 @@ class Encoder:
                 self.known[piece] = np.array([special[piece]], self.kind).tobytes()
         new = [p for p in new if p not in special]
         data = [p.encode("utf-8", "surrogatepass") for p in new]
-        for piece, ids in zip(new, merge_all(data, self.words)):
-            self.known[piece] = np.array(ids, self.kind).tobytes()
+        self.known.update(zip(new, merge_all(data, self.words, self.kind)))
         self.size += sum(map(len, data))
         known = self.known
         return [b"".join([known[p] for p in pieces]) for pieces in cut]
