@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from tslines.catalog import landing
 from tslines.operators import store
 
 SCHEMA = "tbl string, at timestamp, id bigint, v double"
@@ -173,3 +174,26 @@ def test_rejects_stay_with_their_commit(spark, tmp_path):
     assert store.land(empty, root).count() == 0 and store.landed(spark, root).count() == 2
     store.land(empty, f"{tmp_path}/new")
     assert store.landed(spark, f"{tmp_path}/new").count() == 0
+
+
+def _busy_days(spark, folder, each):
+    """Two days of events, `each` rows at every one of 2,000 instants a day."""
+    ts = F.timestamp_micros(F.lit(1_714_521_600_000_000) + F.col("id") % 4000 * 43_000_000)
+    spark.range(4000 * each).select(
+        F.col("id").alias("event_id"), ts.cast("timestamp_ntz").alias("ts"), (F.col("id") % 7).alias("user_id"),
+        F.lit("click").alias("event_type"), F.lit(0.5).alias("value"), F.lit("{}").alias("props"),
+    ).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_late_rows_whose_sum_is_beyond_64_bits(spark, tmp_path):
+    folder = _busy_days(spark, f"{tmp_path}/events", 6)
+    got = {r["day"]: r for r in landing.land_late(spark, folder).collect()}
+    want = {}
+    for r in spark.read.parquet(f"{folder}/events.parquet").select("ts").collect():
+        us = (r["ts"] - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        n, total = want.get(str(r["ts"].date()), (0, 0))
+        want[str(r["ts"].date())] = (n + 1, total + us)
+    assert {d: (r["n_rows"], int(r["sum_us"])) for d, r in got.items()} == want
+    assert max(total for _, total in want.values()) > 1 << 63
+    assert all(r["apart"] and r["sorted"] for r in got.values())
