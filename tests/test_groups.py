@@ -249,3 +249,23 @@ def test_texts_that_would_change_are_rejects(spark, kind, keeps, loses):
     to = T.StructType([T.StructField("x", T.StructType.fromDDL(f"x {kind}")[0].dataType)])
     assert sorted(r["value"] for r in land.conform_rejects(df, to).collect()) == sorted(loses)
     assert land.conform(df, to).count() == len(keeps)
+
+
+def test_conversions_are_made_once_for_a_row(spark):
+    """No filter below the conversions repeats them, and cells that cannot be cast are not asked."""
+    df = spark.range(3000).select(F.concat(F.col("id").cast("string"), F.lit(".5")).alias("a"),
+                                  F.concat(F.lit("0."), F.col("id").cast("string")).alias("b"))
+    to = T.StructType.fromDDL("a decimal(12,1), b double")
+    for out in (land.conform(df, to), land.conform_rejects(df, to)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("try_cast(a#") == 1 and plan.count("try_cast(b#") == 1
+    assert land.conform(df, to).count() == 3000 and land.conform_rejects(df, to).count() == 0
+
+
+@pytest.mark.parametrize("kind,keeps,loses", [
+    ("double", ["+Infinity", "nan", "0e5", "0000000000000000000000.5", "1.50000000000000000000000", "5e-1"],
+     ["1e-999", "-1e999", "0.1000000000000000055511151231257827", "e5", ".", "1.2.3"]),
+    ("decimal(10,1)", ["0.00e-9", "1E1", "+7.10", "00012.50", "15e-1"], ["1.25E0", "-0.05", "7e-2", "1e", "e"]),
+    ("bigint", ["+5", "-0", "007"], ["1e3", "5.", "0x1", "9223372036854775808", "NaN", ""])])
+def test_odd_texts_that_would_change_are_rejects(spark, kind, keeps, loses):
+    test_texts_that_would_change_are_rejects(spark, kind, keeps, loses)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,74 +69,97 @@ _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _DIGITS = {T.FloatType: 6, T.DoubleType: 15}
 
 
-def _text_changes(c: Column, out: Column, target: T.DataType) -> Column:
-    """Does a text that can be converted say more than its conversion keeps?"""
-    text = F.trim(c)
-    mantissa = F.regexp_replace(text, "[eE].*$", "")
-    digits = F.regexp_replace(mantissa, "[^0-9]", "")
-    fraction = F.regexp_replace(F.regexp_extract(mantissa, r"\.([0-9]*)$", 1), "0+$", "")
-    power = F.coalesce(F.regexp_extract(text, r"[eE]([-+]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    places = F.length(fraction) - power
-    if isinstance(target, T.DecimalType):
-        return (places > target.scale) & (F.ltrim(digits, F.lit("0")) != "")
-    if isinstance(target, (T.FloatType, T.DoubleType)):
-        said = text.rlike("(?i)^[-+]?(inf|infinity|nan)$")
-        n = F.length(F.ltrim(F.rtrim(digits, F.lit("0")), F.lit("0")))
-        # beyond these digits the number must be the one that the double holds exactly
-        exact = (places <= 15) & (out.cast("double").cast("decimal(38,15)") == text.try_cast("decimal(38,15)"))
-        return ~said & (F.isnan(out) | (F.abs(out) == float("inf")) | ((out == 0) & (n > 0))
-                        | ((n > _DIGITS[type(target)] + 2) & ~F.coalesce(exact, F.lit(False))))
+def _text_changes(i: int, target: T.DataType) -> tuple[list[dict[str, Column]], Column]:
+    """Does a text that can be converted say more than its conversion keeps?
+
+    Steps, each of columns made from those before, and the answer made from them.
+    """
+    text, out = F.col(f"_text{i}"), F.col(f"_out{i}")
     if isinstance(target, (T.TimestampType, T.TimestampNTZType)):
-        return text.rlike(r"\.[0-9]{6}[0-9]*[1-9]")
+        return [], text.rlike(r"\.[0-9]{6}[0-9]*[1-9]")
     if isinstance(target, T.DateType):
-        return text.rlike("[T ].*[1-9]")
-    return F.lit(False)
-
-
-def _fits(c: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Column]:
-    """(converted cell, was something lost?)"""
-    if source == target:
-        return c, F.lit(False)
+        return [], text.rlike("[T ].*[1-9]")
+    if not isinstance(target, (T.DecimalType, T.FloatType, T.DoubleType)):
+        return [], F.lit(False)
+    mantissa, places, raised = F.col(f"_mantissa{i}"), F.col(f"_places{i}"), F.col(f"_power{i}")
+    # patterns are asked only where they may find something, and so is `try_cast`,
+    # which raises and catches where it fails
+    scaled = F.contains(text, F.lit("e")) | F.contains(text, F.lit("E"))
+    fraction = F.when(F.contains(mantissa, F.lit(".")), F.regexp_extract(mantissa, r"\.([0-9]*)$", 1)).otherwise("")
+    power = F.coalesce(F.when(raised != "", raised.try_cast("int")), F.lit(0))
+    steps = [{f"_mantissa{i}": F.when(scaled, F.regexp_replace(text, "[eE].*$", "")).otherwise(text),
+              f"_power{i}": F.when(scaled, F.regexp_extract(text, r"[eE]([-+]?[0-9]+)$", 1)).otherwise("")},
+             {f"_places{i}": F.length(F.rtrim(fraction, F.lit("0"))) - power}]
+    if isinstance(target, T.DecimalType):
+        return steps, (places > target.scale) & mantissa.rlike("[1-9]")
+    said = text.rlike("(?i)^[-+]?(inf|infinity|nan)$")
+    most = _DIGITS[type(target)] + 2
+    digits = F.trim(F.regexp_replace(mantissa, "[^0-9]", ""), F.lit("0"))
+    # beyond these digits the number must be the one that the double holds exactly
+    exact = (places <= 15) & (out.cast("double").cast("decimal(38,15)") == text.try_cast("decimal(38,15)"))
+    return steps, (((F.isnan(out) | (F.abs(out) == float("inf"))) & ~said) | ((out == 0) & mantissa.rlike("[1-9]"))
+                   | ((F.length(mantissa) > most) & (F.length(digits) > most) & ~F.coalesce(exact, F.lit(False))))
+
+
+def _fits(i: int, c: Column, source: T.DataType, target: T.DataType) -> list[dict[str, Column]]:
+    """Steps to `_lost<i>`, was something lost, and `_cell<i>`, the converted cell."""
+    out, lost = F.col(f"_out{i}"), F.col(f"_lost{i}")
     if isinstance(target, T.BooleanType) and not isinstance(source, (T.BooleanType, T.StringType)):
-        return F.lit(None).cast(target), c.isNotNull()
+        return [{f"_lost{i}": c.isNotNull(), f"_cell{i}": F.lit(None).cast(target)}]
     if isinstance(source, (T.FloatType, T.DoubleType)) and isinstance(target, _INTEGERS):
-        out = F.when(c == F.floor(c), c).try_cast(target.simpleString())
+        first = {f"_out{i}": F.when(c == F.floor(c), c).try_cast(target.simpleString())}
+    elif isinstance(source, T.StringType) and isinstance(target, _INTEGERS):
+        # no whole number has one of these
+        first = {f"_out{i}": F.when(~c.rlike("[A-Za-z.]"), c).try_cast(target.simpleString())}
     else:
-        out = c.try_cast(target.simpleString())
+        first = {f"_out{i}": c.try_cast(target.simpleString())}
     if isinstance(source, T.StringType):
-        lost = c.isNotNull() & (out.isNull() | F.coalesce(_text_changes(c, out, target), F.lit(True)))
-        return F.when(~lost, out), lost
+        steps, changes = _text_changes(i, target)
+        gone = c.isNotNull() & (out.isNull() | F.coalesce(changes, F.lit(True)))
+        return [first | {f"_text{i}": F.trim(c)}, *steps, {f"_lost{i}": gone}, {f"_cell{i}": F.when(~lost, out)}]
     if isinstance(target, T.StringType):
-        return out, c.isNotNull() & out.isNull()
+        return [first, {f"_lost{i}": c.isNotNull() & out.isNull(), f"_cell{i}": out}]
     # only values that come back unchanged have lost nothing
     same = F.coalesce(out.try_cast(source.simpleString()) == c, F.lit(False))
-    return F.when(same, out), c.isNotNull() & ~same
+    return [first, {f"_lost{i}": c.isNotNull() & ~same}, {f"_cell{i}": F.when(~lost, out)}]
 
 
-def _conversions(df: DataFrame, target: T.StructType):
+def _converted(df: DataFrame, target: T.StructType) -> tuple[DataFrame, list[tuple[str, Column, Column]]]:
+    """Rows with their conversions, and (name, converted cell, was something lost?) of each column.
+
+    What is needed more than once is a column of its own, so that it is made once
+    for a row. A filter would be moved below those columns and bring all of them
+    along for each use; callers drop rows by a generator, which is not.
+    """
     known = {f.name: f.dataType for f in target.fields}
-    for f in df.schema.fields:
-        if f.name in known:
-            yield f.name, *_fits(F.col(f.name), f.dataType, known[f.name])
+    parts, todo = [], []
+    for i, f in enumerate(df.schema.fields):
+        if f.name in known and f.dataType != known[f.name]:
+            todo.append(_fits(i, F.col(f.name), f.dataType, known[f.name]))
+            parts.append((f.name, F.col(f"_cell{i}"), F.col(f"_lost{i}")))
         else:
-            yield f.name, F.col(f.name), F.lit(False)
+            parts.append((f.name, F.col(f.name), F.lit(False)))
+    for step in zip_longest(*todo, fillvalue={}):
+        df = df.withColumns({n: c for columns in step for n, c in columns.items()})
+    return df, parts
 
 
 def conform(df: DataFrame, target: T.StructType) -> DataFrame:
     """Rows cast to the types of an existing table; rows that would lose a value are left out."""
-    parts = list(_conversions(df, target))
-    return df.filter(~reduce(lambda a, b: a | b, [lost for _, _, lost in parts])).select(*[c.alias(n) for n, c, _ in parts])
+    wide, parts = _converted(df, target)
+    kept = ~reduce(lambda a, b: a | b, [lost for _, _, lost in parts])
+    return wide.select(*[c.alias(n) for n, c, _ in parts], F.explode(F.when(kept, F.array(F.lit(0)))).alias("_kept")
+                       ).drop("_kept")
 
 
 def conform_rejects(df: DataFrame, target: T.StructType, *key: str) -> DataFrame:
     """One row per value that `conform` could not keep."""
-    parts = list(_conversions(df, target))
+    wide, parts = _converted(df, target)
     found = [F.when(lost, F.struct(F.lit(n).alias("column"),
                                    F.col(n).cast("string").alias("value")))
              for n, _, lost in parts]
-    df = df.filter(reduce(lambda a, b: a | b, [lost for _, _, lost in parts]))
-    return df.select(*key, F.explode(F.filter(F.array(*found), lambda r: r.isNotNull())).alias("r")
-                     ).select(*key, "r.*")
+    return wide.select(*key, F.explode(F.filter(F.array(*found), lambda r: r.isNotNull())).alias("r")
+                       ).select(*key, "r.*")
 
 
 def spelling(df: DataFrame) -> Callable[[str], str]:
