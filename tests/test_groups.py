@@ -1,5 +1,6 @@
 """Bursts, sessions, slots, symbols and landing against small loops, with a dominant key."""
 
+import bisect
 import datetime as dt
 import heapq
 
@@ -269,3 +270,20 @@ def test_conversions_are_made_once_for_a_row(spark):
     ("bigint", ["+5", "-0", "007"], ["1e3", "5.", "0x1", "9223372036854775808", "NaN", ""])])
 def test_odd_texts_that_would_change_are_rejects(spark, kind, keeps, loses):
     test_texts_that_would_change_are_rejects(spark, kind, keeps, loses)
+
+
+def test_dense_windows_are_running_sums(spark):
+    """What a window holds does not have to be added up anew for every instant."""
+    df = spark.range(30_000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 10_000_019 - 5_000_000).alias("t"))
+    df = df.unionByName(df.filter("t % 5 = 0"))
+    out = bursts.counts(df, ["k"], "t", 1_000_000, slice_windows=2)
+    assert "RangeFrame, -" not in out._jdf.queryExecution().analyzed().toString()
+    times = {}
+    for k, t in map(tuple, df.collect()):
+        times.setdefault(k, []).append(t)
+    for v in times.values():
+        v.sort()
+    got = sorted(map(tuple, out.collect()))
+    assert got == sorted((k, t, bisect.bisect_right(v, t) - bisect.bisect_left(v, t),
+                          bisect.bisect_right(v, t) - bisect.bisect_left(v, t - 1_000_000))
+                         for k, v in times.items() for t in set(v))

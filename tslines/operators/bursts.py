@@ -43,16 +43,22 @@ def counts(df: DataFrame, keys: list[str], ts: str, window_us: int = DEFAULT_WIN
 
     The key's time line is cut into slices of `slice_windows` windows; the last
     window of a slice is copied into the next one, so a slice is complete on
-    its own and a busy key spreads over many tasks.
+    its own and a busy key spreads over many tasks. An instant counts from its
+    own time and leaves after the window, so a running sum over both says what
+    is in the window, however many instants that are.
     """
     width = window_us * slice_windows
     own = F.call_function("div", F.col(ts), F.lit(width))
     spills = F.call_function("div", F.col(ts) + window_us, F.lit(width))
     line = instants(df, keys, ts).withColumn("_own", own)
     line = line.withColumn("_slice", F.explode(F.array_distinct(F.array("_own", spills))))
-    near = Window.partitionBy(*keys, "_slice").orderBy(ts).rangeBetween(-window_us, 0)
-    return (line.withColumn("n_recent", F.sum("n_events").over(near))
-            .filter(F.col("_slice") == F.col("_own")).drop("_own", "_slice"))
+    edges = line.withColumn("_e", F.explode(F.array(
+        F.struct(F.col(ts).alias("at"), F.col("n_events").alias("n"), F.lit(True).alias("comes")),
+        F.struct((F.col(ts) + window_us + 1).alias("at"), (-F.col("n_events")).alias("n"),
+                 F.lit(False).alias("comes")))))
+    so_far = Window.partitionBy(*keys, "_slice").orderBy("_e.at").rangeBetween(Window.unboundedPreceding, 0)
+    return (edges.withColumn("n_recent", F.sum("_e.n").over(so_far))
+            .filter(F.col("_e.comes") & (F.col("_slice") == F.col("_own"))).drop("_own", "_slice", "_e"))
 
 
 def alerts(df: DataFrame, keys: list[str], ts: str, window_us: int = DEFAULT_WINDOW_US,
