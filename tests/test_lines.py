@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tslines import session
 from tslines.functions import lines
 from tslines.operators import decode
 from tslines.sources import messages
@@ -309,3 +310,14 @@ def test_messages_written_and_read(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [(True, float(i)) for i in range(50)]
     messages.write(df.limit(0), f"{tmp_path}/none")
     assert messages.read(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_what_a_python_task_gets_is_bounded_by_bytes(spark):
+    """Payloads are large rows, so a batch of many rows would be a large part of a task's input."""
+    spark = session.configure(spark)
+    lines = spark.range(0, 1200, 1, 1).select(F.encode(F.repeat(F.concat(
+        F.lit("t x="), F.col("id").cast("string"), F.lit("i 1t\n")), 3000), "utf-8").alias("payload"))
+    held = F.arrow_udf(lambda cells: pa.array([cells.nbytes] * len(cells)), "bigint")
+    assert lines.select(held("payload").alias("n")).agg(F.max("n")).first()[0] < 12 << 20
+    few = decode.split_binary(lines.limit(3)).groupBy("line").count()
+    assert sorted(map(tuple, few.collect())) == [(bytearray(b"t x=%di 1t" % i), 3000) for i in range(3)]

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What a Python task holds at a time is a few of these, whatever the size of the rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Stateful streaming operators need this store.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
