@@ -8,9 +8,11 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tslines.functions import binary
 from tslines.operators import decode, validate
 from tslines.operators.encode import encode
 from tslines.plans import roles
@@ -303,3 +305,22 @@ def test_long_rows(spark):
     twice = long.unionByName(long.where("d = 0"))
     with pytest.raises(Exception, match="several values in row 3"):
         tables.from_events(twice, "id", "name", *kinds).collect()
+
+
+def test_plain_decimal_texts_go_together(monkeypatch):
+    """Only texts that Arrow would not read are taken one by one; the bytes are the same."""
+    one, asked = binary._one_decimal, []
+    plain = ["0", "-0.00", "+127", "128", "-128", "-32769.5", ".5", "-.25", "5.", "0" * 40 + ".10", "9" * 76,
+             "-0." + "1" * 75, str(-(1 << 247)), str((1 << 247) + 1), str((1 << 248) - 1)]
+    odd = ["1e5", "9" * 77, "0." + "0" * 76 + "1", "NaN", "x", "", "1.2.3", " 5", "5\n", "1_0"]
+    cells = pa.array([*plain, None, *odd, *plain], pa.string())
+    want = [one(v) for v in cells.to_pylist()]
+    monkeypatch.setattr(binary, "_one_decimal", lambda v: asked.append(v) or one(v))
+    assert binary._text_decimal(cells).to_pylist() == want
+    assert binary._decimal_problem(cells).to_pylist() == [None] * (len(plain) + 1) + [
+        None, "mantissa too large", "scale too large", None, "not a decimal", "not a decimal", "not a decimal",
+        None, None, None] + [None] * len(plain)
+    assert set(asked) <= {None, *odd}
+    asked.clear()
+    assert binary._text_decimal(cells[:5]).to_pylist() == want[:5] and binary._decimal_problem(cells[:5]).null_count == 5
+    assert binary._text_decimal(cells[:0]).to_pylist() == [] and not asked

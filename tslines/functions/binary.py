@@ -146,8 +146,51 @@ def _one_decimal(text: str | None) -> bytes | None:
     return bytes([scale, width]) + number.to_bytes(width, "big", signed=True)
 
 
+#: Decimals that Arrow reads as they are; its widest have 76 digits.
+_PLAIN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z"
+
+
+def _plain_decimals(values: pa.Array) -> np.ndarray:
+    """Which texts are digits with a sign and a point at most, and none too many."""
+    size = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    plain = pc.fill_null(pc.match_substring_regex(values, _PLAIN), False).to_numpy(zero_copy_only=False)
+    long = np.flatnonzero(plain & (size > 76))
+    if len(long):
+        digits = pc.utf8_ltrim(pc.replace_substring(values.take(pa.array(long)), ".", ""), "+-")
+        plain = plain.copy()
+        plain[long] = pc.binary_length(digits).to_numpy(zero_copy_only=False) <= 76
+    return plain
+
+
+def _written(text: pa.Array) -> pa.Array:
+    """`_one_decimal` of plain texts, all together."""
+    n = len(text)
+    point = pc.find_substring(text, ".").to_numpy(zero_copy_only=False)
+    size = pc.binary_length(text).to_numpy(zero_copy_only=False)
+    scale = np.where(point < 0, 0, size - 1 - point)
+    whole = pc.replace_substring(text, ".", "").cast(pa.decimal256(76, 0))
+    # a 256-bit decimal is 32 little-endian bytes
+    raw = np.frombuffer(whole.buffers()[1], np.uint8)[32 * whole.offset:32 * (whole.offset + n)]
+    cells = np.zeros((n, 34), np.uint8)
+    cells[:, 2:] = raw.reshape(n, 32)[:, ::-1]
+    # the first byte that is not all sign, and whether it leaves a bit for the sign
+    bits = cells[:, 2:] ^ np.where(cells[:, 2:3] >= 128, 255, 0).astype(np.uint8)
+    first, row = np.where(bits.any(axis=1), (bits != 0).argmax(axis=1), 31), np.arange(n)
+    width = np.maximum(32 - first + (bits[row, first] >= 128), 2)
+    cells[row, 32 - width], cells[row, 33 - width] = scale, width
+    ends = np.concatenate(([0], np.cumsum(width + 2))).astype(np.int32)
+    out = cells[np.arange(34) >= (32 - width)[:, None]]
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(out)])
+
+
 def _text_decimal(values: pa.Array) -> pa.Array:
-    return pa.array([_one_decimal(v) for v in values.to_pylist()], pa.binary())
+    """Plain texts go together, others (exponents, too many digits, no numbers) one by one."""
+    plain = _plain_decimals(values)
+    if plain.all():
+        return _written(values)
+    rest = pa.array([_one_decimal(v) for v in values.filter(pa.array(~plain)).to_pylist()], pa.binary())
+    at = np.argsort(np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain))))
+    return pa.concat_arrays([_written(values.filter(pa.array(plain))), rest]).take(pa.array(at))
 
 
 text_decimal = F.arrow_udf(_text_decimal, T.BinaryType())
@@ -170,4 +213,9 @@ def _decimal_problem(values: pa.Array) -> pa.Array:
             return None
         return "scale too large" if -value.as_tuple().exponent > 76 else "mantissa too large"
 
-    return pa.array([problem(v) for v in values.to_pylist()], pa.string())
+    # what is plain has 76 digits at most, so neither it nor its scale is too large
+    odd = ~_plain_decimals(values) & ~_null_mask(values)
+    if not odd.any():
+        return pa.nulls(len(values), pa.string())
+    found = pa.array([problem(v) for v in values.filter(pa.array(odd)).to_pylist()], pa.string())
+    return pc.replace_with_mask(pa.nulls(len(values), pa.string()), pa.array(odd), found)

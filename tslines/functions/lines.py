@@ -50,6 +50,12 @@ def slices(data: np.ndarray, a: np.ndarray, b: np.ndarray, without: np.ndarray |
         None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out)])
 
 
+def _each(data: np.ndarray, kind: str, at: np.ndarray) -> np.ndarray:
+    """The value of a fixed size that begins at each place, aligned or not."""
+    kind = np.dtype(kind)
+    return np.ndarray((len(data) - kind.itemsize + 1,), kind, data, 0, (1,))[at]
+
+
 class Index:
     """Where separators, quotes and escapes of a buffer stand.
 
@@ -308,28 +314,37 @@ def _float(text: pa.Array) -> np.ndarray:
     return pc.cast(pc.replace_substring_regex(text, "Infinity", "inf"), pa.float64()).to_numpy(False)
 
 
+def _pointed(text: pa.Array, scale: int) -> pa.Array:
+    """Whole numbers as text, with a point `scale` digits from the right."""
+    digits = pc.utf8_lpad(pc.utf8_ltrim(text, "-"), scale + 1, "0")
+    return pc.binary_join_element_wise(
+        pc.if_else(pc.starts_with(text, "-"), "-", ""), pc.binary_join_element_wise(
+            pc.utf8_slice_codeunits(digits, 0, -scale), pc.utf8_slice_codeunits(digits, -scale), "."), "")
+
+
 def _decimal(index: Index, a, b, scale) -> pa.Array:
     """Big-endian two's complement of up to 32 bytes, with a point `scale` digits from the right."""
-    size = b - a
-    raw = index.data[np.minimum(a[:, None] + np.arange(32), len(index.data) - 1)]
-    turned = np.take_along_axis(raw, np.maximum(size[:, None] - 1 - np.arange(32), 0), 1)
-    sign = np.where(raw[:, :1] >= 128, 255, 0).astype(np.uint8)
-    wide = np.where(np.arange(32) < size[:, None], turned, sign)
-    text = pa.Array.from_buffers(pa.decimal256(76, 0), len(a), [
-        None, pa.py_buffer(np.ascontiguousarray(wide))]).cast(pa.string())
-    digits = pc.utf8_ltrim(text, "-")
-    minus = pc.if_else(pc.starts_with(text, "-"), "-", "")
+    data = np.concatenate((np.zeros(32, np.uint8), index.data))
+    # the 32 bytes up to the end of every cell, lowest first
+    turned = _each(data, "V32", b).view(np.uint8).reshape(-1, 32)[:, ::-1]
+    sign = np.where(index.data[a] >= 128, 255, 0).astype(np.uint8)
+    wide = np.where(np.arange(32) < (b - a)[:, None], turned, sign[:, None])
     order, parts = [], []
     for s in np.unique(scale).tolist():
         at = np.flatnonzero(scale == s)
-        own = pc.utf8_lpad(digits.take(pa.array(at)), s + 1, "0")
-        if s:
-            own = pc.binary_join_element_wise(
-                pc.utf8_slice_codeunits(own, 0, -s), pc.utf8_slice_codeunits(own, -s), ".")
+        whole, own = pa.py_buffer(np.ascontiguousarray(wide[at])), pa.decimal256(76, s)
+        own = pa.Array.from_buffers(own, len(at), [None, whole]).cast(pa.string())
+        # small numbers come with an exponent
+        small = pc.match_substring(own, "E")
+        if pc.any(small).as_py():
+            text = pa.Array.from_buffers(pa.decimal256(76, 0), len(at), [None, whole]).cast(pa.string())
+            own = pc.replace_with_mask(own, small, _pointed(text.filter(small), s))
         order.append(at)
         parts.append(own)
+    if len(parts) == 1:
+        return parts[0]
     back = np.argsort(np.concatenate(order), kind="stable")
-    return pc.binary_join_element_wise(minus, pa.concat_arrays(parts).take(pa.array(back)), "")
+    return pa.concat_arrays(parts).take(pa.array(back))
 
 
 def _lists(size: np.ndarray, missing: np.ndarray, values: pa.Array) -> pa.Array:
@@ -403,8 +418,7 @@ def _block(data: np.ndarray, start: np.ndarray, stop: np.ndarray, text: bool) ->
     if not text:
         double, bare, arrays = kind == _DOUBLE, kind == _FLOAT, kind == _ARRAY
         number = np.zeros(len(kind))
-        eight = np.arange(8)
-        number[double] = np.ascontiguousarray(index.data[a[double][:, None] + eight]).view("<f8")[:, 0]
+        number[double] = _each(index.data, "<f8", a[double])
         if bare.any():
             number[bare] = _float(held.filter(pa.array(bare)))
         parts["number"] = pa.array(number, mask=~(double | bare))
