@@ -321,3 +321,23 @@ def test_what_a_python_task_gets_is_bounded_by_bytes(spark):
     assert lines.select(held("payload").alias("n")).agg(F.max("n")).first()[0] < 12 << 20
     few = decode.split_binary(lines.limit(3)).groupBy("line").count()
     assert sorted(map(tuple, few.collect())) == [(bytearray(b"t x=%di 1t" % i), 3000) for i in range(3)]
+
+
+def test_cells_are_looked_up_without_a_lambda(spark):
+    """The first cell of a name, as compiled code; what is absent is null."""
+    df = spark.createDataFrame([(x,) for x in (b"t,s=a,s=b x=1i,y=2i,x=3i", b"t y=5i", b"no line")], "line binary")
+    got = decode.binary_lines(df, "line").select(
+        decode.symbol("s"), decode.field("x"), decode.field("y", "kind"), decode.field("none", "number"))
+    assert [tuple(r) for r in got.collect()] == [("a", "1", "integer", None), (None, None, "integer", None), (None,) * 4]
+    assert "lambdafunction" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_escapes_do_not_slow_all_cells(monkeypatch):
+    """Backslashes in binary cells are none; only cells that hold an escape are taken byte by byte."""
+    asked, plain_slices = [], lines.slices
+    monkeypatch.setattr(lines, "slices", lambda data, a, b, without=None: asked.append(len(a)) or plain_slices(
+        data, a, b, without))
+    cells = [b"t,s=v x==\x10" + b"\\\\\\abcde" + b",y=1i 5t"] * 500 + [b't,s=v\\ w x="a\\"b",y=1i 5t'] * 2
+    got = taken(pa.array(cells, pa.binary()), False)
+    assert got == [plain(c, False) for c in cells] and got[-1][1] == [("s", "v w")] and got[-1][2][0][2] == 'a"b'
+    assert max(asked) <= 2

@@ -15,6 +15,7 @@ byte is always looked at itself.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ _STRING, _BOOLEAN, _INTEGER, _MICROS, _NANOS, _FLOAT, _DOUBLE, _ARRAY, _DECIMAL,
 SHOWN = pa.array(["float" if k == "double" else k for k in KINDS])
 _FLOAT_TEXT = r"^(?:-?(?:NaN|Infinity)|[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?)$"
 _LARGEST = "9223372036854775807"
+#: The bits of a byte below each.
+_BELOW = ((1 << np.arange(8)) - 1).astype(np.uint8)
 _COMMA, _BLANK, _EQUALS, _END, _QUOTE, _BACK, _MINUS = 44, 32, 61, 10, 34, 92, 45
 
 
@@ -56,6 +59,33 @@ def _each(data: np.ndarray, kind: str, at: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) - kind.itemsize + 1,), kind, data, 0, (1,))[at]
 
 
+class Marks:
+    """Marked places of a buffer: one bit a byte, and how many there are before every eight."""
+
+    def __init__(self, mask: np.ndarray):
+        self.n, self.mask = len(mask), mask
+        # one byte more than needed, for the place behind the end
+        self.bits = np.zeros(self.n // 8 + 1, np.uint8)
+        packed = np.packbits(mask, bitorder="little")
+        self.bits[:len(packed)] = packed
+        self.before = np.zeros(len(self.bits), np.int64)
+        np.cumsum(np.bitwise_count(self.bits[:-1]), out=self.before[1:])
+
+    @cached_property
+    def places(self):
+        return np.append(np.flatnonzero(self.mask), self.n)
+
+    def rank(self, at):
+        """How many marked places there are before each one."""
+        at = np.minimum(at, self.n)
+        eight = at >> 3
+        return self.before[eight] + np.bitwise_count(self.bits[eight] & _BELOW[at & 7])
+
+    def next(self, at):
+        """The next marked place, itself included; the end if there is none."""
+        return self.places[self.rank(at)]
+
+
 class Index:
     """Where separators, quotes and escapes of a buffer stand.
 
@@ -66,7 +96,7 @@ class Index:
     def __init__(self, data: np.ndarray, starts: np.ndarray, text: bool):
         self.n, self.text = len(data), text
         self.data = np.concatenate((data, np.zeros(_PAD, np.uint8)))
-        self.escaping = None
+        self.escaping = self.escapes = None
         plain = np.ones(self.n, bool)
         back = np.flatnonzero(data == _BACK)
         if len(back):
@@ -78,38 +108,30 @@ class Index:
             back = back[(place - head) % 2 == 0]
             self.escaping = np.zeros(self.n + _PAD, bool)
             self.escaping[back] = True
+            self.escapes = back
             after = back[~begins[back + 1]] + 1
             plain[after[after < self.n]] = False
         bare = (data == _COMMA) | (data == _BLANK)
         if not text:
             bare |= data == _END
         bare &= plain
-        self._bare = self._next(bare)
-        self._key = self._next(bare | ((data == _EQUALS) & plain))
-        self._quote = self._next((data == _QUOTE) & plain)
+        self._bare = Marks(bare)
+        self._key = Marks(bare | ((data == _EQUALS) & plain))
+        self._quote = Marks((data == _QUOTE) & plain)
         self.ends = np.flatnonzero((data == _END) & plain)
-        self.digits = np.zeros(self.n + _PAD, np.int32)
-        np.cumsum(((data >= 48) & (data <= 57)).astype(np.int32), out=self.digits[1:self.n + 1])
-        self.digits[self.n + 1:] = self.digits[self.n]
-
-    def _next(self, mask: np.ndarray) -> np.ndarray:
-        """For every place the next one, itself included, that is marked; the end if there is none."""
-        places = np.append(np.flatnonzero(mask), self.n)
-        return np.repeat(places.astype(np.int32), np.diff(places, prepend=-1))
-
-    def _at(self, table: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return table[np.minimum(at, self.n)].astype(np.int64)
+        # a digit is less than ten after taking away a zero
+        self._digits = Marks(data - np.uint8(48) < 10)
 
     def bare(self, at):
         """The next unescaped comma, blank or line end."""
-        return self._at(self._bare, at)
+        return self._bare.next(at)
 
     def key(self, at):
         """The same, or the next unescaped `=`."""
-        return self._at(self._key, at)
+        return self._key.next(at)
 
     def quote(self, at):
-        return self._at(self._quote, at)
+        return self._quote.next(at)
 
     def open_escape(self, at):
         """Is the byte before `at` a backslash that escapes what would follow?"""
@@ -125,11 +147,25 @@ class Index:
     def whole_number(self, a, b):
         """Is [a, b) an optional minus and digits?"""
         first = a + (self.data[a] == _MINUS)
-        return (b > first) & (self.digits[np.maximum(b, 0)] - self.digits[first] == b - first)
+        return (b > first) & (self._digits.rank(b) - self._digits.rank(first) == b - first)
 
     def gather(self, a, b, unescape: bool = True) -> pa.Array:
         """The bytes [a, b) of every cell as one binary array."""
-        return slices(self.data, a, b, self.escaping if unescape else None)
+        if unescape and self.escaping is not None:
+            # mostly few cells hold an escape
+            some = np.searchsorted(self.escapes, a) < np.searchsorted(self.escapes, b)
+            if some.any():
+                own = slices(self.data, a[some], b[some], self.escaping)
+                return own if some.all() else pc.replace_with_mask(
+                    self.gather(a, b, False), pa.array(some), own)
+        # cells in the order of the buffer are every second one of a cut of the whole of it
+        ends = np.empty(2 * len(a) + 1, np.int64)
+        ends[:-1:2], ends[1::2], ends[-1] = a, b, self.n
+        if len(a) == 0 or self.n > 1 << 30 or (ends[1:] < ends[:-1]).any():
+            return slices(self.data, a, b)
+        cut = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+            None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(self.data)])
+        return cut.take(pa.array(np.arange(0, len(ends) - 1, 2)))
 
 
 class Cells:
@@ -388,24 +424,39 @@ def _block(data: np.ndarray, start: np.ndarray, stop: np.ndarray, text: bool) ->
     # text that is not UTF-8
     tables = index.gather(scan.table_start, np.where(ok, scan.table_end, scan.table_start))
     ok &= _valid(tables)
-    if not text:
-        quoted = np.flatnonzero(kind == _STRING)
-        for line, x, y in ((fields.line, name, name_end), (fields.line[quoted], a[quoted], b[quoted]),
-                           (symbols.line, *symbols.cols[:2]), (symbols.line, *symbols.cols[2:])):
-            ok[line[~_valid(index.gather(x, y))]] = False
-    symbols.only(ok[symbols.line])
-    fields.only(ok[fields.line])
-    name, name_end, kind, a, b, more = fields.cols
     lines = len(start)
 
     def strings(x, y):
         return index.gather(x, y).cast(pa.string())
 
+    def shown_texts():
+        """Texts of the cells that are shown as they stand; the place of others is empty."""
+        return strings(a, np.where(kind <= _FLOAT, b, a))
+
+    def texts():
+        return strings(name, name_end), shown_texts(), strings(*symbols.cols[:2]), strings(*symbols.cols[2:])
+
+    try:
+        # mostly all of it is
+        names, held, keys, values = texts()
+        whole = bool(ok.all())
+    except pa.ArrowInvalid:
+        whole = False
+    if not whole:
+        if not text:
+            quoted = np.flatnonzero(kind == _STRING)
+            for line, x, y in ((fields.line, name, name_end), (fields.line[quoted], a[quoted], b[quoted]),
+                               (symbols.line, *symbols.cols[:2]), (symbols.line, *symbols.cols[2:])):
+                ok[line[~_valid(index.gather(x, y))]] = False
+        symbols.only(ok[symbols.line])
+        fields.only(ok[fields.line])
+        name, name_end, kind, a, b, more = fields.cols
+        names, held, keys, values = texts()
+
     def ends(cells):
         return pa.array(np.searchsorted(cells.line, np.arange(lines + 1)).astype(np.int32))
 
     shown = kind <= _FLOAT
-    held = strings(np.where(shown, a, 0), np.where(shown, b, 0))
     held = pc.if_else(pa.array(shown | (kind == _DECIMAL)), held, pa.scalar(None, pa.string()))
     truth = kind == _BOOLEAN
     if truth.any():
@@ -414,7 +465,7 @@ def _block(data: np.ndarray, start: np.ndarray, stop: np.ndarray, text: bool) ->
     exact = kind == _DECIMAL
     if exact.any():
         held = pc.replace_with_mask(held, pa.array(exact), _decimal(index, a[exact], b[exact], more[exact]))
-    parts = {"name": strings(name, name_end), "kind": SHOWN.take(pa.array(kind)), "text": held}
+    parts = {"name": names, "kind": SHOWN.take(pa.array(kind)), "text": held}
     if not text:
         double, bare, arrays = kind == _DOUBLE, kind == _FLOAT, kind == _ARRAY
         number = np.zeros(len(kind))
@@ -423,16 +474,15 @@ def _block(data: np.ndarray, start: np.ndarray, stop: np.ndarray, text: bool) ->
             number[bare] = _float(held.filter(pa.array(bare)))
         parts["number"] = pa.array(number, mask=~(double | bare))
         size = np.where(arrays, (b - a) // 8, 0)
-        values = index.gather(a[arrays], b[arrays], False)
+        cells = slices(index.data, a[arrays], b[arrays])
         parts["numbers"] = _lists(size, ~arrays, pa.array(
-            np.frombuffer(values.buffers()[2], "<f8") if arrays.any() else np.zeros(0)))
+            np.frombuffer(cells.buffers()[2], "<f8") if arrays.any() else np.zeros(0)))
         rank = np.where(arrays, more, 0)
         place = np.repeat(a - 4 * rank, rank) + 4 * (np.arange(rank.sum())
                                                       - np.repeat(np.cumsum(rank) - rank, rank))
         parts["dims"] = _lists(rank, ~arrays, pa.array(index.number(place, 4).astype(np.int32)))
     found = pa.StructArray.from_arrays(list(parts.values()), list(parts))
-    pairs = pa.StructArray.from_arrays(
-        [strings(*symbols.cols[:2]), strings(*symbols.cols[2:])], ["name", "value"])
+    pairs = pa.StructArray.from_arrays([keys, values], ["name", "value"])
 
     at = np.zeros(lines, np.int64)
     timed = np.zeros(lines, bool)
@@ -472,7 +522,7 @@ def take_apart(cells: pa.Array, text: bool) -> pa.Array:
         part = data[ends[first]:ends[last]] if len(cells) else data
         out.append(_block(part, base[:-1], base[1:], text))
         first = last
-    return pa.concat_arrays(out)
+    return out[0] if len(out) == 1 else pa.concat_arrays(out)
 
 
 def line_ends(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

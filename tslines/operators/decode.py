@@ -76,14 +76,24 @@ def split_binary(payloads: DataFrame, column: str = "payload", *keep: str) -> Da
     return payloads.select(*keep, F.posexplode(_framed(F.col(column))).alias("line_no", "line"))
 
 
+def _first(cells: str, name: str) -> Column:
+    """The first cell of a name, NULL if there is none.
+
+    Looked up by position, which is compiled code over names that all lookups of a
+    row share; a lambda would be interpreted and copy every cell for each of them.
+    """
+    place = F.array_position(F.col(cells)["name"], name)
+    return F.get(F.col(cells), (place - 1).cast("int"))
+
+
 def symbol(name: str) -> Column:
     """The value of a symbol in a decoded row, NULL when it was left out."""
-    return F.get(F.filter("symbols", lambda s: s["name"] == name), F.lit(0))["value"]
+    return _first("symbols", name)["value"]
 
 
 def field(name: str, part: str = "text") -> Column:
     """A part of a field in a decoded row, NULL when it was left out."""
-    return F.get(F.filter("fields", lambda f: f["name"] == name), F.lit(0))[part]
+    return _first("fields", name)[part]
 
 
 def wide(decoded: DataFrame, columns: dict[str, str], *keep: str) -> DataFrame:
